@@ -86,25 +86,41 @@ def to_text(v) -> Column:
 # Staged resolvers
 # ---------------------------------------------------------------------------
 
-def resolve_texts(df: DataFrame, fields: dict[str, tuple[list[Column], str]]) -> DataFrame:
+def _sql_truthy(v: str, t: str) -> str:
+    return (f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN false "
+            f"WHEN {t} = 'STRING' THEN variant_get({v}, '$', 'string') <> '' "
+            f"WHEN {t} = 'BOOLEAN' THEN variant_get({v}, '$', 'boolean') "
+            f"WHEN {t} IN ('BIGINT','INT','SMALLINT','TINYINT','DOUBLE','FLOAT') "
+            f"OR startswith({t}, 'DECIMAL') "
+            f"THEN variant_get({v}, '$', 'double') <> 0 AND NOT isnan(variant_get({v}, '$', 'double')) "
+            f"ELSE true END")
+
+
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def resolve_texts(df: DataFrame, fields: dict[str, tuple[list[str], str]]) -> DataFrame:
     """Add ``name = String(c1 || c2 || ... || default)`` for every field.
 
-    ``fields`` maps an output name to (candidate variant columns, default text).
+    ``fields`` maps an output name to (candidate variant SQL expressions,
+    default text).  Each stage is one ``selectExpr`` (SQL text, one JVM call).
     """
-    slots = {f"__{n}_v{i}": c for n, (cs, _) in fields.items() for i, c in enumerate(cs)}
-    df = df.withColumns(slots)
-    df = df.withColumns({f"__{n}_t{i}": vtype(f"__{n}_v{i}")
-                         for n, (cs, _) in fields.items() for i in range(len(cs))})
-    df = df.withColumns({f"__{n}_b{i}": truthy_from_type(f"__{n}_v{i}", f"__{n}_t{i}")
-                         for n, (cs, _) in fields.items() for i in range(len(cs))})
-    out = {}
+    keep = [f"`{c}`" for c in df.columns]
+    slots = [f"{e} AS `__{n}_v{i}`" for n, (cs, _) in fields.items() for i, e in enumerate(cs)]
+    df = df.selectExpr(*keep, *slots)
+    types = [f"schema_of_variant(`__{n}_v{i}`) AS `__{n}_t{i}`"
+             for n, (cs, _) in fields.items() for i in range(len(cs))]
+    df = df.selectExpr("*", *types)
+    flags = [f"{_sql_truthy(f'`__{n}_v{i}`', f'`__{n}_t{i}`')} AS `__{n}_b{i}`"
+             for n, (cs, _) in fields.items() for i in range(len(cs))]
+    df = df.selectExpr("*", *flags)
+    out = []
     for n, (cs, default) in fields.items():
-        picks = [F.when(F.col(f"__{n}_b{i}"), to_text(f"__{n}_v{i}")) for i in range(len(cs))]
-        out[n] = F.coalesce(*picks, F.lit(default))
-    df = df.withColumns(out)
-    helpers = [c for c in df.columns if c.startswith("__") and any(
-        c.startswith(f"__{n}_") for n in fields)]
-    return df.drop(*helpers)
+        picks = [f"CASE WHEN `__{n}_b{i}` THEN variant_get(`__{n}_v{i}`, '$', 'string') END"
+                 for i in range(len(cs))]
+        out.append(f"coalesce({', '.join(picks + [_sql_str(default)])}) AS `{n}`")
+    return df.selectExpr(*keep, *out)
 
 
 _MONEY_PREFIX = r"^(-?(?:[0-9]+\.?[0-9]*|\.[0-9]+))"

@@ -21,22 +21,15 @@ from shopfold.functions.values import (as_array, is_truthy, resolve_numbers, res
 from shopfold.schema import DEFAULT_CURRENCY, STANDARD_COLUMNS
 from shopfold.sources.raw import as_list
 
-PLATFORM = F.col  # alias for readability below
+def _slot(src: str, rules: dict[str, str | None]) -> str:
+    """SQL: variant at a per-platform path of column ``src`` (NULL where no rule)."""
+    arms = " ".join(f"WHEN '{p}' THEN variant_get(`{src}`, '$.{path}', 'variant')"
+                    for p, path in rules.items() if path)
+    return f"CASE platform {arms} END"
 
 
-def _slot(src: str, rules: dict[str, str | None]) -> Column:
-    """Variant at a per-platform path of column ``src`` (NULL where no rule)."""
-    expr = None
-    for p, path in rules.items():
-        v = F.variant_get(F.col(src), "$." + path, "variant") if path else F.lit(None).cast(
-            "variant")
-        expr = F.when(F.col("platform") == p, v) if expr is None else expr.when(
-            F.col("platform") == p, v)
-    return expr
-
-
-def _slots(src: str, table: dict[str, list[str]]) -> list[Column]:
-    """Slot columns from per-platform candidate path lists."""
+def _slots(src: str, table: dict[str, list[str]]) -> list[str]:
+    """Slot expressions from per-platform candidate path lists."""
     n = max(len(v) for v in table.values())
     return [_slot(src, {p: (paths[i] if i < len(paths) else None) for p, paths in table.items()})
             for i in range(n)]
@@ -77,7 +70,7 @@ ITEM_FIELDS = {
 SHOPIFY_NULL_STATUS = "unfulfilled"
 
 
-def _fields(src: str, spec: dict) -> dict[str, tuple[list[Column], str]]:
+def _fields(src: str, spec: dict) -> dict[str, tuple[list[str], str]]:
     out = {}
     for name, (table, default) in spec.items():
         full = {p: table.get(p, []) for p in ("woocommerce", "gomag", "merchantpro", "shopify")}
@@ -98,6 +91,30 @@ def _items() -> Column:
     return F.when(F.col("platform") == "gomag", gomag).otherwise(woo_like)
 
 
+def order_headers(raw: DataFrame) -> DataFrame:
+    """Order-level fields (text rules applied, total parsed and rounded)."""
+    orders = raw.select("source_site", "platform", "raw")
+    orders = resolve_texts(orders, _fields("raw", ORDER_FIELDS))
+    orders = orders.withColumn("order_status", F.when(
+        (F.col("platform") == "shopify") & (F.col("order_status") == ""),
+        F.lit(SHOPIFY_NULL_STATUS)).otherwise(F.col("order_status")))
+    orders = resolve_numbers(orders, {"_order_total": ("_total_text", "money")})
+    return orders.select(
+        "source_site", "platform", "raw", "order_id", "order_date_text", "order_status",
+        "currency", js_round2(F.col("_order_total")).alias("order_total"),
+        F.try_to_timestamp(F.col("order_date_text")).alias("order_date"))
+
+
+def raw_item_lists(raw: DataFrame) -> DataFrame:
+    """Per order: all line items before the service filter, and the kept ones."""
+    r = F.col("raw")
+    g = [F.variant_get(r, f"$.{k}", "variant") for k in ("items", "products", "line_items")]
+    g_pick = F.when(is_truthy(g[0]), g[0]).when(is_truthy(g[1]), g[1]).when(is_truthy(g[2]), g[2])
+    all_items = F.when(F.col("platform") == "gomag", as_list(g_pick)).otherwise(
+        as_array(F.variant_get(r, "$.line_items", "variant")))
+    return raw.select("*", all_items.alias("_all_items"), _items().alias("_items"))
+
+
 def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     """(source_site, platform, raw) -> fact rows + helper columns.
 

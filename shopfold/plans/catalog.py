@@ -30,6 +30,8 @@ def register(name: str):
 
 
 def registry() -> dict[str, Query]:
+    # Importing the query modules fills the registry.
+    from shopfold.plans import q_runs, q_sources  # noqa: F401
     return dict(_REGISTRY)
 
 

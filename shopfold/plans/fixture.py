@@ -53,3 +53,10 @@ def for_compare(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
                        for f in df.schema.fields])
+
+# Run scenario: the table before the run holds an earlier run over orders in
+# [RUN_TARGET_START, RUN_TARGET_END), overlapping the sites' since windows.
+RUN_TARGET_START = _dt.datetime(2000, 6, 1)
+RUN_TARGET_END = _dt.datetime(2001, 7, 20)
+# The one site of the single-site runs.
+RUN_SITE = "store_3"

@@ -170,4 +170,272 @@ SELECT t.order_id, t.order_date,
        CASE WHEN s.order_id IS NOT NULL THEN s.synced_at ELSE t.synced_at END AS synced_at
 FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
      AND t.product_sku = s.product_sku AND t.source_site = s.source_site""")
+    q.update(more_sql())
+    return q
+
+
+# ---------------------------------------------------------------------------
+# Sites, windows, runs
+# ---------------------------------------------------------------------------
+
+def _site_rule_rows() -> str:
+    from shopfold.schema import LOOKBACK_OPTIONS
+    from shopfold.sources.sites import DISABLED_SITES, SITES_WITHOUT_FEED
+    rows = []
+    for n in range(N_SITES):
+        sid = f"store_{n}"
+        p = PLATFORM_OF_SITE[n]
+        name = f"Store {n} {p.capitalize()}"
+        lb = LOOKBACK_OPTIONS[n % len(LOOKBACK_OPTIONS)]
+        rows.append(f"('{sid}', '{p}', '{name}', {lb}, {str(n % 2 == 0).lower()}, "
+                    f"{str(sid not in DISABLED_SITES).lower()}, "
+                    f"{str(sid not in SITES_WITHOUT_FEED).lower()})")
+    return ("SELECT * FROM (VALUES " + ", ".join(rows) +
+            ") t(site_id, platform, name, lookback_days, hourly, enabled, has_feed)")
+
+
+def sites_cte() -> str:
+    # Only sites that occur in the data exist.
+    return f"""sites AS (
+  SELECT r.* FROM ({_site_rule_rows()}) r
+  WHERE r.site_id IN (SELECT DISTINCT 'store_' || CAST(o_orderkey % 6 AS VARCHAR) FROM orders)
+)"""
+
+
+def window_cte(mode: str = "full", site_filter: str = "true") -> str:
+    if mode == "hourly":
+        since = f"date_trunc('day', {AS_OF})"
+    else:
+        since = f"({AS_OF} - to_days(CAST(s.lookback_days AS INTEGER)))"
+    return f"""win AS (
+  SELECT n.* FROM norm n JOIN sites s ON s.site_id = n.source_site
+  WHERE ({site_filter})
+    AND CASE WHEN n.platform = 'gomag' THEN n.order_date >= {since}
+             ELSE n.order_date > {since} END
+)"""
+
+
+def run_target_cte() -> str:
+    return f"""tgt AS (
+  SELECT order_id, order_date, '{fx.TARGET_STATUS}' AS order_status, order_total, currency,
+         product_id, product_sku, product_name, product_price, product_quantity, product_total,
+         source_site, {ts(fx.TARGET_SYNCED_AT)} AS synced_at
+  FROM flat WHERE order_date >= {ts(fx.RUN_TARGET_START)} AND order_date < {ts(fx.RUN_TARGET_END)}
+)"""
+
+
+MERGE_BODY = f"""
+SELECT t.order_id,
+       CASE WHEN s.order_id IS NOT NULL THEN s.order_date ELSE t.order_date END AS order_date,
+       CASE WHEN s.order_id IS NOT NULL THEN s.order_status ELSE t.order_status END AS order_status,
+       CASE WHEN s.order_id IS NOT NULL THEN s.order_total ELSE t.order_total END AS order_total,
+       CASE WHEN s.order_id IS NOT NULL THEN s.currency ELSE t.currency END AS currency,
+       t.product_id,
+       CASE WHEN s.order_id IS NOT NULL THEN s.product_sku ELSE t.product_sku END AS product_sku,
+       CASE WHEN s.order_id IS NOT NULL THEN s.product_name ELSE t.product_name END AS product_name,
+       CASE WHEN s.order_id IS NOT NULL THEN s.product_price ELSE t.product_price END AS product_price,
+       CASE WHEN s.order_id IS NOT NULL THEN s.product_quantity ELSE t.product_quantity END
+         AS product_quantity,
+       CASE WHEN s.order_id IS NOT NULL THEN s.product_total ELSE t.product_total END AS product_total,
+       t.source_site,
+       CASE WHEN s.order_id IS NOT NULL THEN s.synced_at ELSE t.synced_at END AS synced_at
+FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
+     AND t.product_sku = s.product_sku AND t.source_site = s.source_site
+UNION ALL
+SELECT {FACT} FROM src s WHERE NOT EXISTS (
+  SELECT 1 FROM tgt t WHERE t.order_id = s.order_id AND t.product_id = s.product_id
+     AND t.product_sku = s.product_sku AND t.source_site = s.source_site)"""
+
+STATUS_MERGE_BODY = """
+SELECT t.order_id, t.order_date,
+       CASE WHEN s.order_id IS NOT NULL THEN s.order_status ELSE t.order_status END AS order_status,
+       t.order_total, t.currency, t.product_id, t.product_sku, t.product_name, t.product_price,
+       t.product_quantity, t.product_total, t.source_site,
+       CASE WHEN s.order_id IS NOT NULL THEN s.synced_at ELSE t.synced_at END AS synced_at
+FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
+     AND t.product_sku = s.product_sku AND t.source_site = s.source_site"""
+
+SRC_FROM_WIN = """src AS (
+  SELECT * FROM win
+  QUALIFY row_number() OVER (PARTITION BY order_id, product_id, product_sku, source_site
+                             ORDER BY synced_at DESC, item_pos DESC) = 1
+)"""
+
+
+def run_sql(mode: str, site_filter: str, status_only: bool = False) -> str:
+    body = STATUS_MERGE_BODY if status_only else MERGE_BODY
+    covered = f"tgt_all AS (SELECT 1)"
+    return with_base(",\n".join([
+        sites_cte(), window_cte(mode, site_filter),
+        run_target_cte().replace("FROM flat WHERE", "FROM flat f JOIN sites s ON s.site_id = "
+                                 f"f.source_site WHERE ({site_filter}) AND"),
+        SRC_FROM_WIN, covered]) + body)
+
+
+FULL_SITES = "s.enabled"
+HOURLY_SITES = "s.enabled AND s.hourly"
+
+
+def run_counts_cte() -> str:
+    return f"""cnt AS (
+  SELECT s.site_id, s.platform, s.name, s.enabled, s.hourly, s.lookback_days,
+         (SELECT count(*) FROM win w WHERE w.source_site = s.site_id) AS row_count
+  FROM sites s
+),
+res AS (
+  SELECT site_id, {AS_OF} AS started_at, {AS_OF} AS completed_at,
+         CAST(0 AS BIGINT) AS duration_seconds, 'success' AS status,
+         CAST(row_count AS BIGINT) AS row_count, 'full' AS sync_type,
+         CAST(NULL AS VARCHAR) AS error
+  FROM cnt WHERE enabled
+),
+marked AS (
+  SELECT s.site_id, s.name, s.platform, s.enabled,
+         r.started_at AS last_sync_at, r.status AS last_sync_status,
+         r.row_count AS last_sync_row_count
+  FROM sites s LEFT JOIN res r ON r.site_id = s.site_id
+)"""
+
+
+def history_cte() -> str:
+    return """hist AS (
+  SELECT 'store_' || CAST(o_orderkey % 6 AS VARCHAR) AS site_id, o_orderdate AS day,
+         count(*) AS n
+  FROM orders GROUP BY ALL
+),
+history AS (
+  SELECT site_id, day + INTERVAL 6 HOUR AS started_at,
+         day + INTERVAL 6 HOUR + to_seconds(CAST(n AS BIGINT)) AS completed_at,
+         CAST(n AS BIGINT) AS duration_seconds,
+         CASE WHEN n % 4 = 0 THEN 'error' ELSE 'success' END AS status,
+         CAST(CASE WHEN n % 4 = 0 THEN 0 ELSE n END AS BIGINT) AS row_count,
+         CASE dayofmonth(day) % 3 WHEN 0 THEN 'full' WHEN 1 THEN 'hourly' ELSE 'status_only' END
+           AS sync_type,
+         CASE WHEN n % 4 = 0 THEN 'HTTP 500' END AS error
+  FROM hist
+)"""
+
+
+def _top_n(src: str, n: int, where: str = "true") -> str:
+    return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY "
+            f"started_at DESC, completed_at DESC) AS rn FROM {src} WHERE {where}) WHERE rn <= {n}")
+
+
+def more_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    from shopfold.schema import PAGE_SIZE
+    q["read_raw_orders"] = with_base("""cnt_l AS (SELECT ok, count(*) AS c FROM li GROUP BY ok)
+SELECT o.source_site, o.platform, o.order_id, CAST(coalesce(c.c, 0) AS BIGINT) AS n_items
+FROM o LEFT JOIN cnt_l c ON c.ok = o.ok""")
+    q["unwrap_envelope"] = with_base(f"""pg AS (
+  SELECT source_site, platform,
+         (ok // 6) // CASE WHEN platform = 'gomag' THEN {PAGE_SIZE['gomag']}
+                           ELSE {PAGE_SIZE['woocommerce']} END AS page_no
+  FROM o)
+SELECT source_site, platform, count(DISTINCT page_no) AS n_pages, CAST(count(*) AS BIGINT) AS n_orders
+FROM pg GROUP BY ALL""")
+    q["total_available"] = with_base("""x AS (SELECT 1)
+SELECT source_site, platform, CAST(count(*) AS BIGINT) AS total_available FROM o GROUP BY ALL""")
+    q["sample_orders"] = with_base("""x AS (SELECT 1)
+SELECT source_site, order_id, o_orderdate AS order_date, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_site ORDER BY o_orderdate DESC, order_id ASC)
+    AS rn FROM o) WHERE rn <= 5""")
+    q["newest_orders"] = with_base("""x AS (SELECT 1)
+SELECT source_site, order_id, o_orderdate AS order_date FROM o""")
+    q["limit_n"] = with_base("""x AS (SELECT 1)
+SELECT source_site, order_id, o_orderdate AS order_date FROM o
+ORDER BY o_orderdate DESC, order_id ASC LIMIT 10""")
+    q["since_filter"] = with_base(sites_cte() + ",\n" + window_cte() + f" SELECT {FACT} FROM win")
+    q["gomag_take_while"] = with_base(sites_cte() + ",\n" + window_cte() +
+                                      f" SELECT {FACT} FROM win WHERE platform = 'gomag'")
+    q["lookback_window"] = with_base(sites_cte() + f""",
+sw AS (SELECT site_id, lookback_days, {AS_OF} - to_days(CAST(lookback_days AS INTEGER)) AS since
+       FROM sites)
+SELECT sw.site_id, CAST(sw.lookback_days AS INTEGER) AS lookback_days, sw.since,
+       count_if(CASE WHEN o.platform = 'gomag' THEN o.o_orderdate >= sw.since
+                     ELSE o.o_orderdate > sw.since END) AS orders_in_window
+FROM sw JOIN o ON o.source_site = sw.site_id GROUP BY ALL""")
+    q["today_window"] = with_base(sites_cte() + ",\n" + window_cte("hourly", HOURLY_SITES) +
+                                  f" SELECT {FACT} FROM win")
+    q["enabled_sites"] = with_base(sites_cte() + " SELECT site_id, platform FROM sites WHERE enabled")
+    q["hourly_sites"] = with_base(sites_cte() +
+                                  " SELECT site_id, platform FROM sites WHERE enabled AND hourly")
+    q["drop_service_items"] = with_base("""x AS (SELECT 1)
+SELECT o.source_site, o.order_id,
+       CAST(count(li.ok) FILTER (WHERE li.l_returnflag <> 'N') AS BIGINT) AS kept_items,
+       CAST(count(li.ok) FILTER (WHERE li.l_returnflag = 'N') AS BIGINT) AS dropped_items
+FROM o LEFT JOIN li ON li.ok = o.ok WHERE o.platform = 'gomag' GROUP BY o.ok, o.source_site, o.order_id""")
+    q["run_row_count"] = with_base(sites_cte() + ",\n" + window_cte() + """
+SELECT source_site, count(*) AS row_count, CAST(0 AS BIGINT) AS reject_count FROM win GROUP BY ALL""")
+    statuses = """st AS (
+  SELECT DISTINCT source_site, platform, raw_status FROM o WHERE raw_status <> ''
+)"""
+    q["distinct_statuses"] = with_base(statuses + " SELECT source_site, raw_status FROM st")
+    dflt = []
+    for p, lst in DEFAULT_STATUS_MAPPINGS.items():
+        for i, (s, t) in enumerate(lst):
+            dflt.append(f"('{p}', {i}, '{s}', '{t}')")
+    q["detect_status_map"] = with_base(statuses + f""",
+d AS (SELECT * FROM (VALUES {', '.join(dflt)}) t(platform, pos, source_status, target_status)),
+dl AS (SELECT platform, lower(source_status) AS k, arg_min(source_status, pos) AS source_status,
+              arg_min(target_status, pos) AS target_status FROM d GROUP BY ALL)
+SELECT st.source_site, st.raw_status, coalesce(dl.source_status, st.raw_status) AS source_status,
+       coalesce(dl.target_status, 'order_processed') AS target_status
+FROM st LEFT JOIN dl ON dl.platform = st.platform AND dl.k = lower(st.raw_status)""")
+    q["unmapped_statuses"] = with_base("""x AS (SELECT 1)
+SELECT source_site, substring(order_status, 12) AS raw_status, count(*) AS row_count
+FROM norm WHERE starts_with(order_status, '[UNMAPPED] ') GROUP BY ALL""")
+    q["unmapped_label"] = with_base("""x AS (SELECT 1)
+SELECT source_site, order_id, product_id, order_status FROM norm
+WHERE starts_with(order_status, '[UNMAPPED] ')""")
+    q["merge_match"] = with_base(MERGE_INPUTS + """
+SELECT t.order_id, t.product_id, t.product_sku, t.source_site,
+       EXISTS (SELECT 1 FROM src s WHERE t.order_id = s.order_id AND t.product_id = s.product_id
+               AND t.product_sku = s.product_sku AND t.source_site = s.source_site) AS matched
+FROM tgt t""")
+    q["site_lookup"] = with_base(sites_cte() + """
+SELECT f.source_site, f.order_id, f.product_id, s.name AS site_name, s.platform,
+       'orders_' || s.site_id AS table_name, s.enabled
+FROM flat f JOIN sites s ON s.site_id = f.source_site""")
+    q["union_sites"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
+    q["distinct_ids"] = with_base("""x AS (SELECT 1)
+SELECT DISTINCT source_site, product_id FROM flat WHERE product_id <> ''""")
+
+    # --- runs -------------------------------------------------------------
+    single = f"s.enabled AND s.site_id = '{fx.RUN_SITE}'"
+    q["sync_full"] = run_sql("full", single)
+    q["sync_hourly"] = run_sql("hourly", HOURLY_SITES)
+    q["sync_status_only"] = run_sql("full", FULL_SITES, status_only=True)
+    q["sync_all"] = run_sql("full", FULL_SITES)
+    runs = ",\n".join([sites_cte(), window_cte("full", FULL_SITES), run_counts_cte()])
+    q["run_result"] = with_base(runs + " SELECT * FROM res")
+    q["sync_status"] = with_base(runs + """
+SELECT site_id, name, platform, coalesce(last_sync_status, 'idle') AS status, last_sync_at,
+       CAST(coalesce(last_sync_row_count, 0) AS BIGINT) AS last_sync_row_count, enabled
+FROM marked""")
+    q["report_totals"] = with_base(runs + """
+SELECT CAST(coalesce(sum(coalesce(last_sync_row_count, 0)), 0) AS BIGINT) AS total_rows,
+       count_if(last_sync_status = 'success') AS success_count,
+       count_if(last_sync_status = 'error') AS error_count, count(*) AS site_count
+FROM marked""")
+    local = f"strftime(timezone('Europe/Bucharest', last_sync_at AT TIME ZONE 'UTC'), '%d.%m.%Y, %H:%M:%S')"
+    q["site_report"] = with_base(runs + f"""
+SELECT name, platform,
+       CASE last_sync_status WHEN 'success' THEN 'Success' WHEN 'error' THEN 'Error'
+            WHEN 'running' THEN 'Running' ELSE 'Never synced' END AS label,
+       CAST(coalesce(last_sync_row_count, 0) AS BIGINT) AS rows,
+       CASE WHEN last_sync_at IS NULL THEN 'Never' ELSE {local} END AS last_sync
+FROM marked""")
+    q["dashboard_summary"] = with_base(runs + """
+SELECT count(*) AS sites, count_if(enabled) AS active, count_if(last_sync_status = 'error') AS errors,
+       max(last_sync_at) AS last_sync_at FROM marked""")
+    q["read_history"] = with_base(history_cte() + " SELECT * FROM history")
+    q["history_top_n"] = with_base(history_cte() + " " + _top_n("history", 5))
+    q["history_top_n_site"] = with_base(history_cte() + " " + _top_n(
+        "history", 20, f"site_id = '{fx.RUN_SITE}'"))
+    q["history_retention"] = with_base(history_cte() + " SELECT * EXCLUDE (rn) FROM (" +
+                                       _top_n("history", 100) + ")")
+    q["append_history"] = with_base(history_cte() + ",\n" + runs + """,
+allh AS (SELECT * FROM history UNION ALL SELECT * FROM res)
+SELECT * EXCLUDE (rn) FROM (""" + _top_n("allh", 100) + ")")
     return q
