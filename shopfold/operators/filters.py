@@ -26,6 +26,14 @@ def today_since(as_of) -> Column:
     return F.date_trunc("day", as_of_col(as_of))
 
 
+def since_predicate(since: Column) -> Column:
+    """F1 + F2 as one predicate on order-level columns (see :func:`since_filter`)."""
+    ts = F.col("order_date")
+    gomag = F.col("platform") == "gomag"
+    return (F.when(gomag, (F.col("order_date_text") != "") & (ts.isNull() | (ts >= since)))
+            .otherwise(ts.isNull() | (ts > since)))
+
+
 def since_filter(rows: DataFrame, since: Column) -> DataFrame:
     """F1 + F2 on flattened rows (every row carries its order's date).
 
@@ -35,11 +43,7 @@ def since_filter(rows: DataFrame, since: Column) -> DataFrame:
     compare is false) -- on newest-first input that is ``date >= since``.
     Rows whose date does not parse are kept so they surface as rejects.
     """
-    ts = F.col("order_date")
-    gomag = F.col("platform") == "gomag"
-    keep = (F.when(gomag, (F.col("order_date_text") != "") & (ts.isNull() | (ts >= since)))
-            .otherwise(ts.isNull() | (ts > since)))
-    return rows.filter(keep)
+    return rows.filter(since_predicate(since))
 
 
 def enabled_sites(sites: DataFrame) -> DataFrame:

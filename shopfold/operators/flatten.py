@@ -93,7 +93,8 @@ def _items() -> Column:
 
 def order_headers(raw: DataFrame) -> DataFrame:
     """Order-level fields (text rules applied, total parsed and rounded)."""
-    orders = raw.select("source_site", "platform", "raw")
+    extra = [c for c in raw.columns if c not in ("source_site", "platform", "raw")]
+    orders = raw.select("source_site", "platform", "raw", *extra)
     orders = resolve_texts(orders, _fields("raw", ORDER_FIELDS))
     orders = orders.withColumn("order_status", F.when(
         (F.col("platform") == "shopify") & (F.col("order_status") == ""),
@@ -102,7 +103,7 @@ def order_headers(raw: DataFrame) -> DataFrame:
     return orders.select(
         "source_site", "platform", "raw", "order_id", "order_date_text", "order_status",
         "currency", js_round2(F.col("_order_total")).alias("order_total"),
-        F.try_to_timestamp(F.col("order_date_text")).alias("order_date"))
+        F.try_to_timestamp(F.col("order_date_text")).alias("order_date"), *extra)
 
 
 def raw_item_lists(raw: DataFrame) -> DataFrame:
@@ -125,19 +126,25 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     is not a whole number, get a ``reject_reason`` (the warehouse would refuse
     them); :func:`accepted` / :func:`rejected` split on it.
     """
-    orders = raw.select("source_site", "platform", "raw")
-    orders = resolve_texts(orders, _fields("raw", ORDER_FIELDS))
-    orders = orders.withColumn("order_status", F.when(
-        (F.col("platform") == "shopify") & (F.col("order_status") == ""),
-        F.lit(SHOPIFY_NULL_STATUS)).otherwise(F.col("order_status")))
-    orders = resolve_numbers(orders, {"_order_total": ("_total_text", "money")})
-    orders = orders.select(
-        "source_site", "platform", "order_id", "order_date_text", "order_status", "currency",
-        js_round2(F.col("_order_total")).alias("order_total"), _items().alias("_items"))
+    return explode_items(order_headers(raw), as_of)
+
 
+def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
+    """Order headers (with ``raw``) -> one row per kept item or one placeholder.
+
+    Order-level predicates (site, since window) applied to ``headers`` run
+    before the explode: the order date is parsed here, upstream of Generate.
+    """
+    extra = [c for c in headers.columns if c not in (
+        "raw", "source_site", "platform", "order_id", "order_date_text", "order_status",
+        "currency", "order_total", "order_date")]
+    orders = headers.select("source_site", "platform", "order_id", "order_date_text",
+                            "order_status", "currency", "order_total", "order_date", *extra,
+                            _items().alias("_items"))
     items = orders.select(
         "source_site", "platform", "order_id", "order_date_text", "order_status", "currency",
-        "order_total", F.posexplode_outer("_items").alias("item_pos", "_item"))
+        "order_total", "order_date", *extra,
+        F.posexplode_outer("_items").alias("item_pos", "_item"))
     items = resolve_texts(items, _fields("_item", ITEM_FIELDS))
     items = resolve_numbers(items, {"_price": ("_price_text", "money"),
                                     "_qty": ("_qty_text", "qty"),
@@ -151,10 +158,9 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
         "*", no_item.alias("is_placeholder"),
         F.when(no_item, F.lit(0.0)).otherwise(qty).alias("_q"),
         F.when(no_item, F.lit(0.0)).otherwise(js_round2(price)).alias("_p"),
-        F.when(no_item, F.lit(0.0)).otherwise(js_round2(total)).alias("_t"),
-        F.try_to_timestamp(F.col("order_date_text")).alias("_ts"))
+        F.when(no_item, F.lit(0.0)).otherwise(js_round2(total)).alias("_t"))
     whole = (F.col("_q") == F.floor(F.col("_q"))) & (F.abs(F.col("_q")) < F.lit(9.2e18))
-    reason = (F.when(F.col("_ts").isNull(), F.lit("order_date not a timestamp"))
+    reason = (F.when(F.col("order_date").isNull(), F.lit("order_date not a timestamp"))
               .when(~whole, F.lit("product_quantity not a whole number")))
 
     def blank(c: str) -> Column:
@@ -162,7 +168,7 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
 
     return items.select(
         F.col("order_id"),
-        F.col("_ts").alias("order_date"),
+        F.col("order_date"),
         F.col("order_status"),
         F.col("order_total"),
         F.col("currency"),
@@ -177,6 +183,7 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
         F.col("order_date_text"),
         F.col("is_placeholder"),
         reason.alias("reject_reason"),
+        *extra,
     )
 
 

@@ -82,12 +82,20 @@ def q_dedup_latest(spark, sf_dir):
     return _out(fact_columns(dedup_latest(rows)))
 
 
+def merge_target(spark, sf_dir):
+    """An earlier run over old orders (statuses not yet updated, duplicate keys kept),
+    stored as a table partitioned by site."""
+    def build():
+        return (fact_columns(_flat(spark, sf_dir, as_of=fx.TARGET_SYNCED_AT))
+                .filter(F.col("order_date") < F.lit(fx.TARGET_END))
+                .withColumn("order_status", F.lit(fx.TARGET_STATUS)))
+    t = fx.materialized(spark, sf_dir, "merge_target", build, ["source_site"])
+    return t.select(*STANDARD_COLUMNS)
+
+
 def merge_inputs(spark, sf_dir):
-    """Target: an earlier run over old orders (statuses not yet updated, duplicate
-    keys kept); source: a run over orders from SOURCE_START on."""
-    target = (fact_columns(_flat(spark, sf_dir, as_of=fx.TARGET_SYNCED_AT))
-              .filter(F.col("order_date") < F.lit(fx.TARGET_END))
-              .withColumn("order_status", F.lit(fx.TARGET_STATUS)))
+    """Target: :func:`merge_target`; source: a run over orders from SOURCE_START on."""
+    target = merge_target(spark, sf_dir)
     source = (_normalized(spark, sf_dir)
               .filter(F.col("order_date") >= F.lit(fx.SOURCE_START))
               .select(*STANDARD_COLUMNS, "item_pos"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopfold.session import configure
+from shopfold.session import configure, path_exists, scratch_path
 from shopfold.sources.landing import land_pages
 from shopfold.sources.raw import read_pages, unwrap_envelope
 from shopfold.sources.sites import sites_from_orders, status_mappings
@@ -40,12 +40,39 @@ def raw(spark: SparkSession, sf_dir: str, platform: str | None = None) -> DataFr
     return unwrap_envelope(p)
 
 
+def _tag(sf_dir: str) -> str:
+    return sf_dir.rstrip("/").replace("/", "_").replace(".", "_").strip("_")
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build,
+                 partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``build()`` once as parquet under the shared checkpoint folder, read it back.
+
+    Idempotent (a committed ``_SUCCESS`` is reused) and written by the
+    executors through Spark's committer, so lost tasks are simply retried.
+    Configuration-sized inputs (sites, mappings) become small file scans
+    whose size Spark knows when it plans broadcasts; the tables a run merges
+    into exist as tables, as they do in production.
+    """
+    configure(spark)
+    path = scratch_path(spark, "landing", _tag(sf_dir), name)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites_from_orders(spark, sf_dir)
+    """The site configuration (derived once from the orders' sites)."""
+    return materialized(spark, sf_dir, "sites", lambda: sites_from_orders(spark, sf_dir))
 
 
 def mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return status_mappings(spark, sites(spark, sf_dir))
+    """Status mapping lists, platform defaults filled in for empty ones."""
+    return materialized(spark, sf_dir, "status_mappings",
+                        lambda: status_mappings(spark, sites(spark, sf_dir)))
 
 
 def for_compare(df: DataFrame) -> DataFrame:

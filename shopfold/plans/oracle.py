@@ -328,11 +328,12 @@ def more_sql() -> dict[str, str]:
 SELECT o.source_site, o.platform, o.order_id, CAST(coalesce(c.c, 0) AS BIGINT) AS n_items
 FROM o LEFT JOIN cnt_l c ON c.ok = o.ok""")
     q["unwrap_envelope"] = with_base(f"""pg AS (
-  SELECT source_site, platform,
+  SELECT source_site, platform, strftime(o_orderdate, '%Y-%m') AS m,
          (ok // 6) // CASE WHEN platform = 'gomag' THEN {PAGE_SIZE['gomag']}
                            ELSE {PAGE_SIZE['woocommerce']} END AS page_no
   FROM o)
-SELECT source_site, platform, count(DISTINCT page_no) AS n_pages, CAST(count(*) AS BIGINT) AS n_orders
+SELECT source_site, platform, count(DISTINCT (m, page_no)) AS n_pages,
+       CAST(count(*) AS BIGINT) AS n_orders
 FROM pg GROUP BY ALL""")
     q["total_available"] = with_base("""x AS (SELECT 1)
 SELECT source_site, platform, CAST(count(*) AS BIGINT) AS total_available FROM o GROUP BY ALL""")

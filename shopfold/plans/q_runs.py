@@ -11,16 +11,20 @@ from shopfold.operators.report import (dashboard_summary, mark_sites, report_tot
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _out, register
 from shopfold.plans.sync import run, run_result_rows, run_sites
-from shopfold.schema import HISTORY_LIMIT_ALL_SITES, HISTORY_LIMIT_ONE_SITE
+from shopfold.schema import HISTORY_LIMIT_ALL_SITES, HISTORY_LIMIT_ONE_SITE, STANDARD_COLUMNS
 from shopfold.sources.history import land_history, read_history
 
 
 def run_target(spark, sf_dir):
-    """The table before the run: an earlier run, statuses not yet updated."""
-    return (fact_columns(_flat(spark, sf_dir, as_of=fx.TARGET_SYNCED_AT))
-            .filter((F.col("order_date") >= F.lit(fx.RUN_TARGET_START))
-                    & (F.col("order_date") < F.lit(fx.RUN_TARGET_END)))
-            .withColumn("order_status", F.lit(fx.TARGET_STATUS)))
+    """The table before the run (an earlier run, statuses not yet updated),
+    stored partitioned by site so a run reads only its sites' partitions."""
+    def build():
+        return (fact_columns(_flat(spark, sf_dir, as_of=fx.TARGET_SYNCED_AT))
+                .filter((F.col("order_date") >= F.lit(fx.RUN_TARGET_START))
+                        & (F.col("order_date") < F.lit(fx.RUN_TARGET_END)))
+                .withColumn("order_status", F.lit(fx.TARGET_STATUS)))
+    t = fx.materialized(spark, sf_dir, "run_target", build, ["source_site"])
+    return t.select(*STANDARD_COLUMNS)
 
 
 def _run(spark, sf_dir, mode, site_ids=None):

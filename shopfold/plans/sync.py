@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfold.operators.filters import (enabled_sites, hourly_sites, lookback_since,
-                                        since_filter, today_since)
-from shopfold.operators.flatten import accepted, flatten_orders, rejected
+                                        since_predicate, today_since)
+from shopfold.operators.flatten import accepted, explode_items, order_headers, rejected
 from shopfold.operators.merge import merge_status_only, merge_upsert
 from shopfold.operators.status import normalize_status
 
@@ -43,24 +43,50 @@ def run_sites(sites: DataFrame, mode: str, site_ids: list[str] | None = None) ->
 
 def windowed_rows(raw: DataFrame, sites: DataFrame, mappings: DataFrame, as_of,
                   mode: str) -> DataFrame:
-    """Flatten -> per-site since window -> status mapping."""
-    flat = flatten_orders(raw, as_of)
+    """Per-site since window on order headers -> explode items -> status mapping.
+
+    The window is applied to orders before the explode, so out-of-window
+    orders are never expanded into item rows.
+    """
     # Site settings: one row per configured site -> bounded broadcast.
     s = F.broadcast(sites.select(F.col("site_id").alias("source_site"), "lookback_days"))
-    flat = flat.join(s, "source_site", "inner")
     since = today_since(as_of) if mode == "hourly" else lookback_since(
         as_of, F.col("lookback_days"))
-    rows = since_filter(flat, since).drop("lookback_days")
+    headers = order_headers(raw.join(s, "source_site", "inner"))
+    headers = headers.filter(since_predicate(since)).drop("lookback_days")
+    rows = explode_items(headers, as_of)
     return normalize_status(rows, mappings)
 
 
+def month_prune(sites: DataFrame, as_of, mode: str) -> F.Column:
+    """Static partition filter on the landing's ``order_month`` per covered site.
+
+    The site list is configuration (one row per site), so reading it on the
+    driver is bounded; the resulting literal predicate prunes whole month
+    directories at planning time.  Undated orders (NULL month) stay in.
+    """
+    as_of_ts = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(
+        str(as_of))
+    preds = None
+    for r in sites.select("site_id", "lookback_days").collect():
+        if mode == "hourly":
+            since = as_of_ts.replace(hour=0, minute=0, second=0, microsecond=0)
+        else:
+            since = as_of_ts - _dt.timedelta(days=r["lookback_days"] or 30)
+        p = (F.col("source_site") == r["site_id"]) & (
+            (F.col("order_month") >= since.strftime("%Y-%m")) | F.col("order_month").isNull())
+        preds = p if preds is None else preds | p
+    return preds if preds is not None else F.lit(False)
+
+
 def run(raw: DataFrame, target: DataFrame, sites: DataFrame, mappings: DataFrame,
         as_of, mode: str = "full", site_ids: list[str] | None = None) -> RunFrames:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     covered = run_sites(sites, mode, site_ids)
     site_list = F.broadcast(covered.select(F.col("site_id").alias("source_site")))
-    raw_c = raw.join(site_list, "source_site", "left_semi")
+    raw_c = (raw.filter(month_prune(covered, as_of, mode)) if "order_month" in raw.columns
+             else raw.join(site_list, "source_site", "left_semi"))
     rows = windowed_rows(raw_c, covered, mappings, as_of, mode)
     good = accepted(rows)
     tgt = target.join(site_list, "source_site", "left_semi")

@@ -180,7 +180,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = (F.when(F.col("platform") == "woocommerce", _woo_doc())
            .when(F.col("platform") == "gomag", _gomag_doc())
            .otherwise(_merchantpro_doc()))
-    return base.select("o_orderkey", "platform", "source_site", doc.alias("doc"))
+    return base.select("o_orderkey", "platform", "source_site",
+                       F.date_format("o_orderdate", "yyyy-MM").alias("order_month"),
+                       doc.alias("doc"))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +203,7 @@ def page_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("page_no", F.floor(F.floor(F.col("o_orderkey") / 6) / size))
     # Site totals: one row per configured site, so the broadcast is bounded.
     totals = docs.groupBy("source_site").agg(F.count(F.lit(1)).alias("site_total"))
-    pages = (docs.groupBy("platform", "source_site", "page_no")
+    pages = (docs.groupBy("platform", "source_site", "order_month", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "doc"))).alias("docs"))
              .join(F.broadcast(totals), "source_site"))
     arr = F.concat(F.lit("["), F.array_join(F.transform("docs", lambda d: d["doc"]), ","),
@@ -217,12 +219,12 @@ def page_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     mpro = F.when(even, F.concat(F.lit('{"data":'), arr, F.lit("}"))).otherwise(arr)
     page = (F.when(F.col("platform") == "gomag", gomag)
             .when(F.col("platform") == "merchantpro", mpro).otherwise(arr))
-    return pages.select("platform", "source_site", "page_no", page.alias("page"))
+    return pages.select("platform", "source_site", "order_month", "page_no", page.alias("page"))
 
 
 def landing_path(spark: SparkSession, sf_dir: str) -> str:
     tag = sf_dir.rstrip("/").replace("/", "_").replace(".", "_").strip("_")
-    return scratch_path(spark, "landing", tag, "orders")
+    return scratch_path(spark, "landing", tag, "pages")
 
 
 def land_pages(spark: SparkSession, sf_dir: str, path: str | None = None,
@@ -236,6 +238,8 @@ def land_pages(spark: SparkSession, sf_dir: str, path: str | None = None,
     path = path or landing_path(spark, sf_dir)
     if not overwrite and path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    (page_envelopes(spark, sf_dir).select("platform", "source_site", "page")
-     .write.mode("overwrite").partitionBy("platform", "source_site").text(path))
+    parts = ["platform", "source_site", "order_month"]
+    (page_envelopes(spark, sf_dir).select(*parts, "page")
+     .repartition(*parts)   # one writer per partition directory: few, whole files
+     .write.mode("overwrite").partitionBy(*parts).text(path))
     return path

@@ -22,9 +22,11 @@ def read_pages(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     flatteners' truthiness rules need; an inferred schema would merge them.
     """
     reader = spark.readStream if stream else spark.read
-    reader = reader.option("singleVariantColumn", "page")
+    reader = (reader.option("singleVariantColumn", "page")
+              .option("basePath", path))
     if stream:
-        reader = reader.schema("page variant, platform string, source_site string")
+        reader = reader.schema(
+            "page variant, platform string, source_site string, order_month string")
     return reader.json(path)
 
 
@@ -70,8 +72,10 @@ def envelope_orders(platform: Column, page: Column, arr_page: Column | None = No
 
 def unwrap_envelope(pages: DataFrame) -> DataFrame:
     """(source_site, platform, raw) — one row per order; narrow (no shuffle)."""
-    staged = pages.select("source_site", "platform", "page", as_array("page").alias("_arr"))
-    return staged.select("source_site", "platform", F.explode(envelope_orders(
+    extra = [c for c in pages.columns if c not in ("source_site", "platform", "page")]
+    staged = pages.select("source_site", "platform", "page", *extra,
+                          as_array("page").alias("_arr"))
+    return staged.select("source_site", "platform", *extra, F.explode(envelope_orders(
         F.col("platform"), F.col("page"), F.col("_arr"))).alias("raw"))
 
 
