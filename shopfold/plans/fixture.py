@@ -28,9 +28,23 @@ TARGET_SYNCED_AT = _dt.datetime(1999, 1, 1, 6, 0, 0)
 TARGET_STATUS = "order_processed"
 
 
+# Landed inputs are listed once per session: the DataFrame (and its file
+# index) is reused instead of re-listing thousands of partition directories.
+_READS: dict[tuple, DataFrame] = {}
+
+
+def _once(spark: SparkSession, key: tuple, make) -> DataFrame:
+    k = (id(spark), spark.sparkContext.applicationId, *key)
+    df = _READS.get(k)
+    if df is None:
+        df = _READS[k] = make()
+    return df
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return read_pages(spark, land_pages(spark, sf_dir))
+    return _once(spark, ("pages", sf_dir),
+                 lambda: read_pages(spark, land_pages(spark, sf_dir)))
 
 
 def raw(spark: SparkSession, sf_dir: str, platform: str | None = None) -> DataFrame:
@@ -56,12 +70,15 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build,
     """
     configure(spark)
     path = scratch_path(spark, "landing", _tag(sf_dir), name)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
+
+    def make():
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
+        return spark.read.parquet(path)
+    return _once(spark, ("table", sf_dir, name), make)
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

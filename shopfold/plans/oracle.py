@@ -171,6 +171,7 @@ SELECT t.order_id, t.order_date,
 FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
      AND t.product_sku = s.product_sku AND t.source_site = s.source_site""")
     q.update(more_sql())
+    q.update(detect_sql())
     return q
 
 
@@ -440,3 +441,108 @@ SELECT count(*) AS sites, count_if(enabled) AS active, count_if(last_sync_status
 allh AS (SELECT * FROM history UNION ALL SELECT * FROM res)
 SELECT * EXCLUDE (rn) FROM (""" + _top_n("allh", 100) + ")")
     return q
+
+
+# ---------------------------------------------------------------------------
+# Feed, detection, mapping
+# ---------------------------------------------------------------------------
+
+def feed_ctes() -> str:
+    return sites_cte() + """,
+feedsites AS (SELECT site_id, CAST(regexp_extract(site_id, '([0-9]+)$', 1) AS BIGINT) AS n
+              FROM sites WHERE has_feed),
+feed AS (SELECT DISTINCT o.source_site, li.l_partkey AS pk
+         FROM li JOIN o ON li.ok = o.ok JOIN feedsites f ON f.site_id = o.source_site
+         WHERE (li.l_partkey + f.n) % 10 <> 0),
+feedids AS (SELECT source_site, CAST(pk AS VARCHAR) AS product_id FROM feed),
+rows3 AS (SELECT source_site, order_id, product_id FROM flat)"""
+
+
+def detect_ctes() -> str:
+    return """ol AS (SELECT o.source_site, o.platform, o.ok, o.o_custkey, count(li.ok) AS nl
+       FROM o LEFT JOIN li ON li.ok = o.ok GROUP BY ALL),
+top AS (
+  SELECT DISTINCT source_site, unnest(CASE platform
+      WHEN 'woocommerce' THEN ['id', 'status', 'date_created', 'total', 'line_items']
+      WHEN 'gomag' THEN ['id', 'date', 'status', 'total', 'delivery.total', 'items']
+      ELSE ['id', 'shipping_status', 'status', 'total_amount', 'line_items'] END) AS path
+  FROM ol
+  UNION SELECT DISTINCT source_site, 'currency' FROM ol WHERE o_custkey % 7 <> 0
+  UNION SELECT DISTINCT source_site, 'date_created' FROM ol
+        WHERE platform = 'merchantpro' AND ok % 4 <> 3
+  UNION SELECT DISTINCT source_site, 'created_at' FROM ol
+        WHERE platform = 'merchantpro' AND ok % 4 = 3
+),
+leaves AS (
+  SELECT source_site, path FROM top WHERE path NOT IN ('line_items', 'items')
+  UNION SELECT DISTINCT source_site, CASE platform WHEN 'gomag' THEN 'items' ELSE 'line_items' END
+        FROM ol WHERE nl = 0 AND NOT (platform = 'gomag' AND ok % 2 = 0)
+  UNION SELECT DISTINCT o.source_site, 'line_items.' || unnest(CASE o.platform
+          WHEN 'woocommerce' THEN ['product_id', 'sku', 'name', 'price', 'quantity', 'total']
+          ELSE ['product_id', 'product_sku', 'product_name', 'unit_price_gross', 'quantity',
+                'line_subtotal_gross'] END)
+        FROM o JOIN li ON li.ok = o.ok WHERE o.platform <> 'gomag'
+  UNION SELECT DISTINCT o.source_site,
+          CASE WHEN o.ok % 2 = 0 THEN 'items.' || CAST(li.pos0 AS VARCHAR) || '.' ELSE 'items.' END
+          || unnest(['id', 'sku', 'name', 'price', 'type',
+                     CASE WHEN li.l_linenumber % 2 = 1 THEN 'quantity' ELSE 'qty' END])
+        FROM o JOIN li ON li.ok = o.ok WHERE o.platform = 'gomag'
+)"""
+
+
+def detect_sql() -> dict[str, str]:
+    from shopfold.schema import STANDARD_COLUMNS
+    from shopfold.plans.q_detect import MAPPINGS  # noqa: F401  (documentation of the mapping)
+    q: dict[str, str] = {}
+    q["read_feed"] = with_base(feed_ctes() + " SELECT source_site, product_id FROM feedids")
+    q["nonblank_ids"] = with_base(feed_ctes() + """
+SELECT source_site, count(*) + count_if(pk % 13 = 0 OR pk % 17 = 0) AS entries,
+       count(*) AS kept_entries FROM feed GROUP BY ALL""")
+    q["feed_count"] = with_base(feed_ctes() +
+                                " SELECT source_site, count(*) AS product_count FROM feed GROUP BY ALL")
+    q["feed_membership"] = with_base(feed_ctes() + """
+SELECT r.source_site, r.order_id, r.product_id,
+       CASE WHEN s.has_feed THEN EXISTS (SELECT 1 FROM feedids f WHERE f.source_site = r.source_site
+                                         AND f.product_id = r.product_id) END AS in_feed
+FROM rows3 r LEFT JOIN sites s ON s.site_id = r.source_site""")
+    q["in_feed"] = with_base(feed_ctes() + """
+SELECT r.source_site, r.order_id, r.product_id FROM rows3 r
+WHERE EXISTS (SELECT 1 FROM feedids f WHERE f.source_site = r.source_site
+              AND f.product_id = r.product_id)""")
+    q["not_in_feed"] = with_base(feed_ctes() + """
+SELECT r.source_site, r.order_id, r.product_id FROM rows3 r JOIN sites s ON s.site_id = r.source_site
+WHERE s.has_feed AND NOT EXISTS (SELECT 1 FROM feedids f WHERE f.source_site = r.source_site
+                                 AND f.product_id = r.product_id)""")
+    q["detect_columns"] = with_base(detect_ctes() + " SELECT source_site, path FROM leaves")
+    q["clean_sample"] = with_base(detect_ctes() + " SELECT source_site, path FROM top")
+    std = ", ".join(f"'{c}'" for c in STANDARD_COLUMNS)
+    q["auto_map"] = with_base(detect_ctes() + f"""
+SELECT source_site, path AS source_column,
+       CASE WHEN path IN ({std}) THEN path ELSE '' END AS target_column,
+       CASE WHEN path IN ({std}) THEN 'confirmed' ELSE 'unmapped' END AS status
+FROM leaves""")
+    q["detect_columns_events"] = """
+SELECT DISTINCT event_type AS source_site, unnest(json_keys(props)) AS path
+FROM events WHERE props IS NOT NULL"""
+    q["nested_value"] = with_base("""first_li AS (SELECT ok, l_partkey FROM li WHERE pos0 = 1)
+SELECT o.source_site, o.order_id,
+       CASE o.platform WHEN 'gomag' THEN 'items.id' ELSE 'line_items.product_id' END AS path,
+       CASE WHEN f.ok IS NULL OR (o.platform = 'gomag' AND o.ok % 2 = 0) THEN '—'
+            ELSE CAST(f.l_partkey AS VARCHAR) END AS sample
+FROM o LEFT JOIN first_li f ON f.ok = o.ok""")
+    q["preview_mapping"] = with_base(f"""top5 AS (
+  SELECT ok FROM (SELECT ok, row_number() OVER (PARTITION BY source_site
+                  ORDER BY o_orderdate DESC, order_id ASC) AS rn FROM o) WHERE rn <= 5)
+SELECT {FACT} FROM flat f WHERE EXISTS (
+  SELECT 1 FROM top5 t JOIN o ON o.ok = t.ok WHERE o.order_id = f.order_id
+  AND o.source_site = f.source_site)""")
+    q["apply_mapping"] = with_base("""x AS (SELECT 1)
+SELECT o.source_site, CAST(o.ok AS VARCHAR) AS order_id, o.o_orderdate AS order_date,
+       o.raw_status AS order_status, o.o_totalprice AS order_total,
+       CASE WHEN o.o_custkey % 7 = 0 THEN NULL WHEN o.o_custkey % 5 = 0 THEN 'EUR' ELSE 'RON' END
+         AS currency,
+       CAST(li.l_partkey AS VARCHAR) AS product_id, li.p_brand AS product_sku,
+       li.p_name AS product_name, li.p_retailprice AS product_price,
+       li.l_quantity AS product_quantity, li.l_extendedprice AS product_total
+FROM o LEFT JOIN li ON li.ok = o.ok WHERE o.platform = 'woocommerce'""")
+    return q
