@@ -172,6 +172,7 @@ FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.produ
      AND t.product_sku = s.product_sku AND t.source_site = s.source_site""")
     q.update(more_sql())
     q.update(detect_sql())
+    q.update(function_sql())
     return q
 
 
@@ -546,3 +547,107 @@ SELECT o.source_site, CAST(o.ok AS VARCHAR) AS order_id, o.o_orderdate AS order_
        li.l_quantity AS product_quantity, li.l_extendedprice AS product_total
 FROM o LEFT JOIN li ON li.ok = o.ok WHERE o.platform = 'woocommerce'""")
     return q
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions
+# ---------------------------------------------------------------------------
+
+def _sql_parse_money(text: str) -> str:
+    s = f"regexp_replace({text}, '[^0-9.\\-]+', '', 'g')"
+    m = f"regexp_extract({s}, '^(-?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+))', 1)"
+    v = f"TRY_CAST({m} AS DOUBLE)"
+    return f"(CASE WHEN {v} IS NULL OR isnan({v}) OR {v} = 0 THEN 0.0 ELSE {v} END + 0.0)"
+
+
+def _sql_parse_qty(text: str) -> str:
+    t = f"regexp_replace({text}, '^\\s+', '')"
+    m = (f"regexp_extract({t}, '^([+-]?(?:Infinity|(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)"
+         f"(?:[eE][+-]?[0-9]+)?))', 1)")
+    v = f"TRY_CAST({m} AS DOUBLE)"
+    return f"(CASE WHEN {v} IS NULL OR isnan({v}) OR {v} = 0 THEN 0.0 ELSE {v} END + 0.0)"
+
+
+def function_sql() -> dict[str, str]:
+    from shopfold.plans.q_functions import EVENTS_AS_OF
+    q: dict[str, str] = {}
+    k = "json_extract(props, '$.k')"
+    q["first_truthy"] = f"""
+SELECT event_id,
+       CASE WHEN json_type({k}) IN ('BIGINT', 'UBIGINT', 'DOUBLE')
+                 AND CAST({k} AS DOUBLE) <> 0 THEN json_extract_string(props, '$.k')
+            WHEN json_type({k}) = 'VARCHAR' AND json_extract_string(props, '$.k') <> ''
+                 THEN json_extract_string(props, '$.k')
+            WHEN json_type({k}) = 'BOOLEAN' AND CAST({k} AS BOOLEAN) THEN 'true'
+            WHEN json_type({k}) IN ('OBJECT', 'ARRAY') THEN CAST({k} AS VARCHAR)
+            ELSE 'none' END AS k_text
+FROM events"""
+    q["to_text"] = """
+SELECT event_id, CASE WHEN value IS NULL THEN NULL WHEN value = 0 THEN '0'
+                      ELSE regexp_replace(CAST(value AS VARCHAR), '\\.0$', '') END AS value_text
+FROM events"""
+    money_text = """CASE l_linenumber % 5
+      WHEN 0 THEN CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || ' lei'
+      WHEN 1 THEN CAST((cents // 100) // 1000 AS VARCHAR) || '.' ||
+                  lpad(CAST((cents // 100) % 1000 AS VARCHAR), 3, '0') || ',' ||
+                  lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+      WHEN 2 THEN '--' || CAST(cents // 100 AS VARCHAR)
+      WHEN 3 THEN CAST(cents // 100 AS VARCHAR) || 'e5'
+      ELSE 'RON -' || CAST(cents // 100 AS VARCHAR) || '.5' END"""
+    q["parse_money"] = f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey,
+                  CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem),
+u AS (SELECT l_orderkey, l_linenumber, l_partkey, {money_text} AS text FROM t)
+SELECT l_orderkey, l_linenumber, l_partkey, text, {_sql_parse_money('text')} AS value FROM u"""
+    qty_text = """CASE l_linenumber % 4
+      WHEN 0 THEN ' ' || q || ' kg' WHEN 1 THEN q || ',5' WHEN 2 THEN q || 'e1' ELSE 'x' || q END"""
+    q["parse_qty"] = f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey,
+                  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q FROM lineitem),
+u AS (SELECT l_orderkey, l_linenumber, l_partkey, {qty_text} AS text FROM t)
+SELECT l_orderkey, l_linenumber, l_partkey, text, {_sql_parse_qty('text')} AS value FROM u"""
+    q["js_round2"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+       {r2('l_extendedprice * (1.0 - l_discount)')} AS rounded FROM lineitem"""
+    q["line_total"] = f"""
+WITH j AS (SELECT l.*, p.p_retailprice,
+                  CASE l_orderkey % 3 WHEN 0 THEN 'woocommerce' WHEN 1 THEN 'gomag'
+                       ELSE 'merchantpro' END AS platform
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+SELECT l_orderkey, l_linenumber, l_partkey, platform,
+       {r2('''CASE platform WHEN 'woocommerce' THEN l_extendedprice
+              WHEN 'merchantpro' THEN CASE WHEN l_linenumber % 2 = 1 AND l_extendedprice <> 0
+                   THEN l_extendedprice ELSE p_retailprice * l_quantity END
+              ELSE p_retailprice * l_quantity END''')} AS product_total
+FROM j"""
+    slug = ("regexp_replace(regexp_replace(lower(c_name || ' / ' || c_mktsegment), "
+            "'[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')")
+    q["slugify"] = f"""
+SELECT c_custkey, {slug} AS slug, 'orders_' || replace({slug}, '-', '_') AS table_name
+FROM customer"""
+    q["format_duration"] = "WITH " + history_cte() + """
+SELECT site_id, started_at,
+       CASE WHEN duration_seconds * 7 < 60 THEN CAST(duration_seconds * 7 AS VARCHAR) || 's'
+            ELSE CAST((duration_seconds * 7) // 60 AS VARCHAR) || 'm ' ||
+                 CAST((duration_seconds * 7) % 60 AS VARCHAR) || 's' END AS label
+FROM history"""
+    mins = f"CAST(floor((epoch_ms(TIMESTAMP '{EVENTS_AS_OF}') - epoch_ms(ts)) / 60000) AS BIGINT)"
+    q["relative_time"] = f"""
+SELECT event_id,
+       CASE WHEN ts IS NULL THEN ''
+            WHEN {mins} < 1 THEN 'just now'
+            WHEN {mins} < 60 THEN CAST({mins} AS VARCHAR) || 'm ago'
+            WHEN floor({mins} / 60) < 24 THEN CAST(CAST(floor({mins} / 60) AS BIGINT) AS VARCHAR) || 'h ago'
+            ELSE strftime(ts, '%d.%m.%Y') END AS label
+FROM events"""
+    q["truncate_sample"] = """
+SELECT doc_id, CASE WHEN text IS NULL THEN '—'
+                    WHEN length(text) > 60 THEN substr(text, 1, 57) || '…' ELSE text END AS sample
+FROM documents"""
+    q["transforms"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(l.l_partkey AS VARCHAR) AS as_string,
+       CAST(CAST(l.l_quantity AS BIGINT) AS DOUBLE) AS as_number, l.l_shipdate AS as_date,
+       CAST(len(string_split(p.p_brand || ',' || p.p_type, ',')) AS INTEGER) AS n_parts,
+       split_part(p.p_brand || ',' || p.p_type, ',', 1) AS first_part
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+    return q
