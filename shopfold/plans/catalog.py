@@ -31,7 +31,7 @@ def register(name: str):
 
 def registry() -> dict[str, Query]:
     # Importing the query modules fills the registry.
-    from shopfold.plans import q_detect, q_functions, q_runs, q_sources  # noqa: F401
+    from shopfold.plans import q_detect, q_functions, q_runs, q_sources, q_tables  # noqa: F401
     return dict(_REGISTRY)
 
 

@@ -134,6 +134,15 @@ src AS (
 
 
 def sql_catalog() -> dict[str, str]:
+    q = sql_catalog_core()
+    q.update(more_sql())
+    q.update(detect_sql())
+    q.update(function_sql())
+    q.update(table_sql())
+    return q
+
+
+def sql_catalog_core() -> dict[str, str]:
     q: dict[str, str] = {}
     for p in ("woocommerce", "gomag", "merchantpro"):
         q[f"flatten_{p}"] = with_base(
@@ -170,9 +179,6 @@ SELECT t.order_id, t.order_date,
        CASE WHEN s.order_id IS NOT NULL THEN s.synced_at ELSE t.synced_at END AS synced_at
 FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
      AND t.product_sku = s.product_sku AND t.source_site = s.source_site""")
-    q.update(more_sql())
-    q.update(detect_sql())
-    q.update(function_sql())
     return q
 
 
@@ -651,3 +657,52 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(l.l_partkey AS VARCHAR) A
        split_part(p.p_brand || ',' || p.p_type, ',', 1) AS first_part
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
     return q
+
+
+# ---------------------------------------------------------------------------
+# Tables, streaming, Shopify
+# ---------------------------------------------------------------------------
+
+def table_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["append_rows"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
+    q["ensure_table"] = with_base(
+        "x AS (SELECT 1) SELECT source_site, count(*) AS row_count FROM flat GROUP BY ALL")
+    q["drop_staging"] = sql_catalog_core()["merge_upsert"]
+    q["truncate_all"] = with_base(sites_cte() + """
+SELECT site_id, 'truncated' AS status, CAST(0 AS BIGINT) AS rows_after FROM sites""")
+    q["export_csv"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
+    q["stream_upsert"] = with_base(DEDUP + f" SELECT {FACT} FROM dedup")
+    q["late_status_updates"] = with_base(MERGE_INPUTS.replace(
+        f"SELECT * FROM norm WHERE order_date >= {ts(fx.SOURCE_START)}", "SELECT * FROM norm")
+        + STATUS_MERGE_BODY)
+    q["flatten_shopify"] = f"""
+WITH li AS (
+  SELECT l.l_orderkey AS ok, l.l_partkey, l.l_quantity, coalesce(p.p_brand, '') AS p_brand,
+         coalesce(p.p_name, '') AS p_name, p.p_retailprice
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+),
+o AS (
+  SELECT o_orderkey AS ok, CASE WHEN o_orderkey = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END
+           AS order_id,
+         o_orderdate - INTERVAL 2 HOUR AS order_date,
+         CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'P' THEN 'partially_fulfilled'
+              ELSE 'unfulfilled' END AS order_status,
+         {r2('o_totalprice')} AS order_total,
+         CASE WHEN o_custkey % 7 = 0 THEN 'RON' WHEN o_custkey % 5 = 0 THEN 'EUR' ELSE 'RON' END
+           AS currency,
+         'shop_' || CAST(o_orderkey % 2 AS VARCHAR) AS source_site
+  FROM orders
+)
+SELECT o.order_id, o.order_date, o.order_status, o.order_total, o.currency,
+       CASE WHEN li.l_partkey = 0 THEN '' ELSE CAST(li.l_partkey AS VARCHAR) END AS product_id,
+       li.p_brand AS product_sku, li.p_name AS product_name, {r2('li.p_retailprice')} AS product_price,
+       CAST(li.l_quantity AS BIGINT) AS product_quantity,
+       {r2('li.p_retailprice * CAST(CAST(li.l_quantity AS BIGINT) AS DOUBLE)')} AS product_total,
+       o.source_site, {AS_OF} AS synced_at
+FROM o JOIN li ON li.ok = o.ok
+UNION ALL
+SELECT o.order_id, o.order_date, o.order_status, o.order_total, o.currency, '', '', '', 0.0,
+       CAST(0 AS BIGINT), 0.0, o.source_site, {AS_OF}
+FROM o WHERE NOT EXISTS (SELECT 1 FROM li WHERE li.ok = o.ok)"""
+    return q

@@ -243,3 +243,62 @@ def land_pages(spark: SparkSession, sf_dir: str, path: str | None = None,
      .repartition(*parts)   # one writer per partition directory: few, whole files
      .write.mode("overwrite").partitionBy(*parts).text(path))
     return path
+
+
+# --- Shopify (documented platform without a connector in the original) -------
+
+SHOPIFY_STATUS = {"F": "fulfilled", "P": "partially_fulfilled"}  # 'O' -> null (unfulfilled)
+
+
+def shopify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order rendered as a Shopify Admin API order; sites 'shop_<key % 2>'.
+
+    created_at carries a +02:00 offset, so the flattened order_date is UTC.
+    """
+    orders = read_table(spark, sf_dir, "orders")
+    lines = order_lines(spark, sf_dir)
+    base = (orders.join(lines, "o_orderkey", "left")
+            .withColumn("lines", F.coalesce(F.col("lines"), F.array())))
+    items = F.transform("lines", lambda x: F.struct(
+        x["l_linenumber"].alias("id"),
+        x["l_partkey"].alias("product_id"),
+        x["p_brand"].alias("sku"),
+        x["p_name"].alias("title"),
+        x["p_retailprice"].cast("string").alias("price"),
+        x["l_quantity"].cast("long").alias("quantity"),
+    ))
+    st = F.col("o_orderstatus")
+    doc = F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+        .alias("created_at"),
+        F.lit("paid").alias("financial_status"),
+        F.when(st == "F", F.lit(SHOPIFY_STATUS["F"])).when(st == "P", F.lit(SHOPIFY_STATUS["P"]))
+        .alias("fulfillment_status"),
+        F.col("o_totalprice").cast("string").alias("total_price"),
+        _currency(F.col("o_custkey")).alias("currency"),
+        items.alias("line_items"),
+    ))
+    return base.select(
+        "o_orderkey", F.lit("shopify").alias("platform"),
+        F.concat(F.lit("shop_"), (F.col("o_orderkey") % 2).cast("string")).alias("source_site"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), doc.alias("doc"))
+
+
+def land_shopify_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Pages ``{"orders": [...]}`` of at most 250 orders, laid out like the others."""
+    tag = sf_dir.rstrip("/").replace("/", "_").replace(".", "_").strip("_")
+    path = scratch_path(spark, "landing", tag, "shopify_pages")
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    docs = shopify_documents(spark, sf_dir).withColumn(
+        "page_no", F.floor(F.floor(F.col("o_orderkey") / 2) / PAGE_SIZE["shopify"]))
+    pages = (docs.groupBy("platform", "source_site", "order_month", "page_no")
+             .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "doc"))).alias("docs")))
+    page = F.concat(F.lit('{"orders":['),
+                    F.array_join(F.transform("docs", lambda d: d["doc"]), ","), F.lit("]}"))
+    parts = ["platform", "source_site", "order_month"]
+    (pages.select(*parts, page.alias("page")).repartition(*parts)
+     .write.mode("overwrite").partitionBy(*parts).text(path))
+    return path

@@ -56,7 +56,7 @@ def envelope_orders(platform: Column, page: Column, arr_page: Column | None = No
 
     GoMag: ``orders`` (array, or id-keyed object) when truthy, else a bare
     array page.  MerchantPro: bare array, then ``data[]``, then ``orders[]``.
-    WooCommerce: bare array.  Anything else: no orders.
+    WooCommerce: bare array.  Shopify: ``orders[]``.  Anything else: no orders.
     """
     arr_page = as_array(page) if arr_page is None else arr_page
     g_orders = F.variant_get(page, "$.orders", "variant")
@@ -64,9 +64,11 @@ def envelope_orders(platform: Column, page: Column, arr_page: Column | None = No
         "array<variant>"))).otherwise(arr_page)
     mpro = F.coalesce(arr_page, as_array(F.variant_get(page, "$.data", "variant")),
                       as_array(F.variant_get(page, "$.orders", "variant")))
+    shopify = F.coalesce(as_array(F.variant_get(page, "$.orders", "variant")), arr_page)
     empty = F.array().cast("array<variant>")
     return F.coalesce(F.when(platform == "gomag", gomag)
                       .when(platform == "merchantpro", mpro)
+                      .when(platform == "shopify", shopify)
                       .otherwise(arr_page), empty)
 
 
