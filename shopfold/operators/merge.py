@@ -41,23 +41,25 @@ def merge_upsert(target: DataFrame, source: DataFrame, dedup: bool = True) -> Da
 
     * target rows with a source match take every source value (a NULL source
       value overwrites: the match is a flag, not a coalesce),
-    * target rows without a match are kept as they are (duplicates included),
+    * target rows without a match are kept as they are (duplicates included:
+      each duplicate matches the one deduplicated source row),
     * source rows without a match are inserted.
 
-    Plan: ``target LEFT JOIN source`` (AQE may split a skewed target key, the
-    streamed side) plus ``source LEFT ANTI distinct(target keys)`` (the
-    distinct is combined map-side, so duplicate target keys do not pile up).
+    Plan: one ``FULL OUTER JOIN`` on the keys.  The deduplicated source is
+    already hash-partitioned on the keys by its aggregation, so only the
+    target is shuffled, and the source pipeline runs once.  (A left join plus
+    an anti join would read the source twice: Catalyst pushes the inferred
+    ``isnotnull(keys)`` of the left join through the dedup aggregate, which
+    makes the two branches differ and defeats exchange reuse.)
     """
     src = dedup_latest(source.select(*STANDARD_COLUMNS, *(
         ["item_pos"] if "item_pos" in source.columns else []))) if dedup else source
-    src = src.select(*STANDARD_COLUMNS)
+    s = _matched_source(src.select(*STANDARD_COLUMNS), _VALUE_COLS)
     tgt = target.select(*STANDARD_COLUMNS)
-    s = _matched_source(src, _VALUE_COLS)
-    updated = tgt.join(s, MATCH_KEYS, "left").select(*[
+    j = tgt.join(s, MATCH_KEYS, "full_outer")
+    return j.select(*[
         F.when(F.col("_matched"), F.col("_s_" + c)).otherwise(F.col(c)).alias(c)
         if c in _VALUE_COLS else F.col(c) for c in STANDARD_COLUMNS])
-    inserted = src.join(tgt.select(*MATCH_KEYS).distinct(), MATCH_KEYS, "left_anti")
-    return updated.unionByName(inserted.select(*STANDARD_COLUMNS))
 
 
 def merge_status_only(target: DataFrame, source: DataFrame, dedup: bool = True) -> DataFrame:
