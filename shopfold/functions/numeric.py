@@ -21,6 +21,13 @@ def js_round2(x: Column) -> Column:
     return fl / F.lit(100.0)
 
 
+def js_round2_sql(x: str) -> str:
+    """SQL text of :func:`js_round2` for expression ``x`` (used in staged projections)."""
+    y = f"(({x}) * 100.0D + 0.5D)"
+    return (f"(CASE WHEN abs({y}) < {_EXACT_INT_LIMIT}D THEN CAST(floor({y}) AS DOUBLE) "
+            f"ELSE {y} END / 100.0D)")
+
+
 def line_total(platform: Column, item_total: Column, price: Column, qty: Column) -> Column:
     """product_total before rounding, per platform.
 

@@ -100,25 +100,49 @@ def _sql_str(x: str) -> str:
     return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def resolve_texts(df: DataFrame, fields: dict[str, tuple[list[str], str]]) -> DataFrame:
+def _sql_truthy_fast(v: str, text: str, t_expr: str) -> str:
+    """Truthiness given the value's text; the type is looked up only when needed.
+
+    Only an empty text, 'false', or a text starting with '0', '-' or '.' can
+    belong to a falsy value (false, 0, -0, 0.0); any other non-NULL text is
+    truthy whatever its JSON type.  CASE is evaluated lazily, so
+    ``schema_of_variant`` runs only for that small remainder.
+    """
+    return (f"CASE WHEN {text} IS NULL THEN false "
+            f"WHEN {text} = '' THEN false "
+            f"WHEN {text} = 'false' OR substr({text}, 1, 1) IN ('0', '-', '.') "
+            f"THEN {_sql_truthy(v, t_expr)} ELSE true END")
+
+
+def resolve_texts(df: DataFrame, fields: dict[str, tuple[list, str]]) -> DataFrame:
     """Add ``name = String(c1 || c2 || ... || default)`` for every field.
 
-    ``fields`` maps an output name to (candidate variant SQL expressions,
-    default text).  Each stage is one ``selectExpr`` (SQL text, one JVM call).
+    ``fields`` maps an output name to (candidates, default text).  A candidate
+    is either a variant SQL expression, or a pair (text SQL expression, variant
+    SQL expression) reading the same value; with pairs the text is read
+    straight from the source document and the variant is only built inside
+    the rare branch that needs the JSON type.  Each stage is one
+    ``selectExpr`` (SQL text, one JVM call): texts -> truthy flags -> the
+    first truthy text.
     """
     keep = [f"`{c}`" for c in df.columns]
-    slots = [f"{e} AS `__{n}_v{i}`" for n, (cs, _) in fields.items() for i, e in enumerate(cs)]
-    df = df.selectExpr(*keep, *slots)
-    types = [f"schema_of_variant(`__{n}_v{i}`) AS `__{n}_t{i}`"
-             for n, (cs, _) in fields.items() for i in range(len(cs))]
-    df = df.selectExpr("*", *types)
-    flags = [f"{_sql_truthy(f'`__{n}_v{i}`', f'`__{n}_t{i}`')} AS `__{n}_b{i}`"
-             for n, (cs, _) in fields.items() for i in range(len(cs))]
+
+    def pair(c):
+        return c if isinstance(c, tuple) else (f"variant_get({c}, '$', 'string')", c)
+
+    texts = [f"{pair(c)[0]} AS `__{n}_s{i}`"
+             for n, (cs, _) in fields.items() for i, c in enumerate(cs)]
+    df = df.selectExpr(*keep, *texts)
+    flags = []
+    for n, (cs, _) in fields.items():
+        for i, c in enumerate(cs):
+            v = pair(c)[1]
+            flags.append(f"{_sql_truthy_fast(v, f'`__{n}_s{i}`', f'schema_of_variant({v})')}"
+                         f" AS `__{n}_b{i}`")
     df = df.selectExpr("*", *flags)
     out = []
     for n, (cs, default) in fields.items():
-        picks = [f"CASE WHEN `__{n}_b{i}` THEN variant_get(`__{n}_v{i}`, '$', 'string') END"
-                 for i in range(len(cs))]
+        picks = [f"CASE WHEN `__{n}_b{i}` THEN `__{n}_s{i}` END" for i in range(len(cs))]
         out.append(f"coalesce({', '.join(picks + [_sql_str(default)])}) AS `{n}`")
     return df.selectExpr(*keep, *out)
 
@@ -154,15 +178,41 @@ def prefix_to_number(lit) -> Column:
     return F.coalesce(F.nanvl(val, F.lit(0.0)), F.lit(0.0)) + F.lit(0.0)
 
 
+_PLAIN_DECIMAL = "^-?[0-9]+([.][0-9]+)?$"
+
+
+def _sql_prefix_to_number(lit: str) -> str:
+    v = (f"CASE WHEN {lit} IN ('Infinity', '+Infinity') THEN double('Infinity') "
+         f"WHEN {lit} = '-Infinity' THEN double('-Infinity') ELSE try_cast({lit} AS DOUBLE) END")
+    return f"(coalesce(nanvl({v}, 0.0D), 0.0D) + 0.0D)"
+
+
+def _sql_money_prefix(t: str) -> str:
+    return (f"regexp_extract(regexp_replace({t}, {_sql_str('[^0-9.-]+')}, ''), "
+            f"{_sql_str(_MONEY_PREFIX)}, 1)")
+
+
+def _sql_qty_prefix(t: str) -> str:
+    return (f"regexp_extract(regexp_replace({t}, {_sql_str('^' + _JS_SPACE)}, ''), "
+            f"{_sql_str(_QTY_PREFIX)}, 1)")
+
+
 def resolve_numbers(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Add ``name = parseFloat(...) || 0`` from a text column.
 
-    ``fields`` maps an output name to (text column, 'money' | 'qty').
+    ``fields`` maps an output name to (text column, 'money' | 'qty').  A text
+    that already is a plain decimal is cast directly: stripping leaves it
+    unchanged and parseFloat reads all of it, so the result is the same; only
+    other texts go through the regular-expression path.  One ``selectExpr``.
     """
-    df = df.withColumns({f"__{n}_p": (money_prefix(t) if kind == "money" else qty_prefix(t))
-                         for n, (t, kind) in fields.items()})
-    df = df.withColumns({n: prefix_to_number(f"__{n}_p") for n in fields})
-    return df.drop(*[f"__{n}_p" for n in fields])
+    out = []
+    for n, (t, kind) in fields.items():
+        tc = f"`{t}`"
+        slow = _sql_money_prefix(tc) if kind == "money" else _sql_qty_prefix(tc)
+        out.append(f"CASE WHEN {tc} RLIKE {_sql_str(_PLAIN_DECIMAL)} "
+                   f"THEN {_sql_prefix_to_number(tc)} ELSE {_sql_prefix_to_number(slow)} END "
+                   f"AS `{n}`")
+    return df.selectExpr("*", *out)
 
 
 # Column-level conveniences for small, non-nested uses (tests, one-off fields).

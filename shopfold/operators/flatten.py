@@ -16,23 +16,32 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopfold.functions.numeric import js_round2
+from shopfold.functions.numeric import js_round2, js_round2_sql
 from shopfold.functions.values import (as_array, is_truthy, resolve_numbers, resolve_texts)
 from shopfold.schema import DEFAULT_CURRENCY, STANDARD_COLUMNS
 from shopfold.sources.raw import as_list
 
-def _slot(src: str, rules: dict[str, str | None]) -> str:
-    """SQL: variant at a per-platform path of column ``src`` (NULL where no rule)."""
-    arms = " ".join(f"WHEN '{p}' THEN variant_get(`{src}`, '$.{path}', 'variant')"
-                    for p, path in rules.items() if path)
-    return f"CASE platform {arms} END"
+def _slots(src: str, paths: list[str]) -> list[tuple[str, str]]:
+    """(text, variant) SQL expressions of the candidate paths of one platform."""
+    return [(f"variant_get(`{src}`, '$.{p}', 'string')", f"variant_get(`{src}`, '$.{p}', 'variant')")
+            for p in paths]
 
 
-def _slots(src: str, table: dict[str, list[str]]) -> list[str]:
-    """Slot expressions from per-platform candidate path lists."""
-    n = max(len(v) for v in table.values())
-    return [_slot(src, {p: (paths[i] if i < len(paths) else None) for p, paths in table.items()})
-            for i in range(n)]
+def _per_platform(df: DataFrame, build) -> DataFrame:
+    """``build(df_of_platform, platform)`` for every platform, unioned by name.
+
+    Each branch carries only its own platform's rules, which keeps every
+    whole-stage-codegen method small (one branch with all platforms' CASE arms
+    exceeds the JVM's 64 KB method limit and falls back to interpretation).
+    On landed pages the platform is a partition column, so each branch reads
+    only its own files: still one pass over the data.
+    """
+    from shopfold.schema import PLATFORMS
+    out = None
+    for p in PLATFORMS:
+        b = build(df.filter(F.col("platform") == p), p)
+        out = b if out is None else out.unionByName(b)
+    return out
 
 
 # Candidate paths per platform, in `a || b` order (fixed by the store formats).
@@ -70,50 +79,66 @@ ITEM_FIELDS = {
 SHOPIFY_NULL_STATUS = "unfulfilled"
 
 
-def _fields(src: str, spec: dict) -> dict[str, tuple[list[str], str]]:
+def _fields(src: str, spec: dict, platform: str) -> dict[str, tuple[list, str]]:
     out = {}
     for name, (table, default) in spec.items():
-        full = {p: table.get(p, []) for p in ("woocommerce", "gomag", "merchantpro", "shopify")}
-        if max(len(v) for v in full.values()) == 0:
-            continue
-        out[name] = (_slots(src, full), default)
+        paths = table.get(platform, [])
+        out[name] = (_slots(src, paths), default)
     return out
 
 
-def _items() -> Column:
+def _items(platform: str) -> Column:
     """array<variant> of kept line items; NULL or empty -> placeholder row."""
     raw = F.col("raw")
-    woo_like = as_array(F.variant_get(raw, "$.line_items", "variant"))
+    if platform != "gomag":
+        return as_array(F.variant_get(raw, "$.line_items", "variant"))
     g = [F.variant_get(raw, f"$.{k}", "variant") for k in ("items", "products", "line_items")]
     g_pick = F.when(is_truthy(g[0]), g[0]).when(is_truthy(g[1]), g[1]).when(is_truthy(g[2]), g[2])
-    gomag = F.filter(as_list(g_pick), lambda it: ~F.coalesce(
-        F.variant_get(it, "$.type", "string") == "service", F.lit(False)))
-    return F.when(F.col("platform") == "gomag", gomag).otherwise(woo_like)
+    return F.when(is_truthy(g_pick), F.filter(as_list(g_pick), lambda it: ~F.coalesce(
+        F.variant_get(it, "$.type", "string") == "service", F.lit(False))))
+
+
+def _texts(df: DataFrame, fields: dict[str, tuple[list, str]]) -> DataFrame:
+    """resolve_texts, with fields that have no candidate set to their default."""
+    empty = {n: d for n, (cs, d) in fields.items() if not cs}
+    df = resolve_texts(df, {n: v for n, v in fields.items() if v[0]})
+    for n, d in empty.items():
+        df = df.withColumn(n, F.lit(d))
+    return df
 
 
 def order_headers(raw: DataFrame) -> DataFrame:
     """Order-level fields (text rules applied, total parsed and rounded)."""
     extra = [c for c in raw.columns if c not in ("source_site", "platform", "raw")]
-    orders = raw.select("source_site", "platform", "raw", *extra)
-    orders = resolve_texts(orders, _fields("raw", ORDER_FIELDS))
-    orders = orders.withColumn("order_status", F.when(
-        (F.col("platform") == "shopify") & (F.col("order_status") == ""),
-        F.lit(SHOPIFY_NULL_STATUS)).otherwise(F.col("order_status")))
-    orders = resolve_numbers(orders, {"_order_total": ("_total_text", "money")})
-    return orders.select(
-        "source_site", "platform", "raw", "order_id", "order_date_text", "order_status",
-        "currency", js_round2(F.col("_order_total")).alias("order_total"),
-        F.try_to_timestamp(F.col("order_date_text")).alias("order_date"), *extra)
+
+    def build(df: DataFrame, platform: str) -> DataFrame:
+        orders = df.select("source_site", "platform", "raw", *extra)
+        orders = _texts(orders, _fields("raw", ORDER_FIELDS, platform))
+        if platform == "shopify":
+            orders = orders.withColumn("order_status", F.when(
+                F.col("order_status") == "", F.lit(SHOPIFY_NULL_STATUS)).otherwise(
+                F.col("order_status")))
+        orders = resolve_numbers(orders, {"_order_total": ("_total_text", "money")})
+        return orders.selectExpr(
+            "source_site", "platform", "raw", "order_id", "order_date_text", "order_status",
+            "currency", f"{js_round2_sql('_order_total')} AS order_total",
+            "try_to_timestamp(order_date_text) AS order_date", *[f"`{c}`" for c in extra])
+    return _per_platform(raw, build)
 
 
 def raw_item_lists(raw: DataFrame) -> DataFrame:
     """Per order: all line items before the service filter, and the kept ones."""
-    r = F.col("raw")
-    g = [F.variant_get(r, f"$.{k}", "variant") for k in ("items", "products", "line_items")]
-    g_pick = F.when(is_truthy(g[0]), g[0]).when(is_truthy(g[1]), g[1]).when(is_truthy(g[2]), g[2])
-    all_items = F.when(F.col("platform") == "gomag", as_list(g_pick)).otherwise(
-        as_array(F.variant_get(r, "$.line_items", "variant")))
-    return raw.select("*", all_items.alias("_all_items"), _items().alias("_items"))
+    def build(df: DataFrame, platform: str) -> DataFrame:
+        r = F.col("raw")
+        if platform == "gomag":
+            g = [F.variant_get(r, f"$.{k}", "variant") for k in ("items", "products", "line_items")]
+            pick = F.when(is_truthy(g[0]), g[0]).when(is_truthy(g[1]), g[1]).when(
+                is_truthy(g[2]), g[2])
+            all_items = as_list(pick)
+        else:
+            all_items = as_array(F.variant_get(r, "$.line_items", "variant"))
+        return df.select("*", all_items.alias("_all_items"), _items(platform).alias("_items"))
+    return _per_platform(raw, build)
 
 
 def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
@@ -138,53 +163,52 @@ def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     extra = [c for c in headers.columns if c not in (
         "raw", "source_site", "platform", "order_id", "order_date_text", "order_status",
         "currency", "order_total", "order_date")]
+    return _per_platform(headers, lambda df, p: _explode_platform(df, p, extra, as_of))
+
+
+def _explode_platform(headers: DataFrame, platform: str, extra: list[str], as_of) -> DataFrame:
     orders = headers.select("source_site", "platform", "order_id", "order_date_text",
                             "order_status", "currency", "order_total", "order_date", *extra,
-                            _items().alias("_items"))
+                            _items(platform).alias("_items"))
     items = orders.select(
         "source_site", "platform", "order_id", "order_date_text", "order_status", "currency",
         "order_total", "order_date", *extra,
         F.posexplode_outer("_items").alias("item_pos", "_item"))
-    items = resolve_texts(items, _fields("_item", ITEM_FIELDS))
+    items = _texts(items, _fields("_item", ITEM_FIELDS, platform))
     items = resolve_numbers(items, {"_price": ("_price_text", "money"),
                                     "_qty": ("_qty_text", "qty"),
                                     "_line": ("_line_text", "money")})
-    no_item = F.col("_item").isNull()
-    price, qty, line = F.col("_price"), F.col("_qty"), F.col("_line")
-    total = (F.when(F.col("platform") == "woocommerce", line)
-             .when((F.col("platform") == "merchantpro") & (line != 0), line)
-             .otherwise(price * qty))
-    items = items.select(
-        "*", no_item.alias("is_placeholder"),
-        F.when(no_item, F.lit(0.0)).otherwise(qty).alias("_q"),
-        F.when(no_item, F.lit(0.0)).otherwise(js_round2(price)).alias("_p"),
-        F.when(no_item, F.lit(0.0)).otherwise(js_round2(total)).alias("_t"))
-    whole = (F.col("_q") == F.floor(F.col("_q"))) & (F.abs(F.col("_q")) < F.lit(9.2e18))
-    reason = (F.when(F.col("order_date").isNull(), F.lit("order_date not a timestamp"))
-              .when(~whole, F.lit("product_quantity not a whole number")))
-
-    def blank(c: str) -> Column:
-        return F.when(no_item, F.lit("")).otherwise(F.col(c)).alias(c)
-
-    return items.select(
-        F.col("order_id"),
-        F.col("order_date"),
-        F.col("order_status"),
-        F.col("order_total"),
-        F.col("currency"),
-        blank("product_id"), blank("product_sku"), blank("product_name"),
-        F.col("_p").alias("product_price"),
-        F.when(whole, F.col("_q").cast("long")).alias("product_quantity"),
-        F.col("_t").alias("product_total"),
-        F.col("source_site"),
-        F.lit(as_of).cast("timestamp").alias("synced_at"),
-        F.coalesce(F.col("item_pos"), F.lit(0)).alias("item_pos"),
-        F.col("platform"),
-        F.col("order_date_text"),
-        F.col("is_placeholder"),
-        reason.alias("reject_reason"),
-        *extra,
-    )
+    if platform == "woocommerce":
+        total = "_line"
+    elif platform == "merchantpro":
+        total = "CASE WHEN _line <> 0 THEN _line ELSE _price * _qty END"
+    else:
+        total = "_price * _qty"
+    items = items.selectExpr(
+        "*", "_item IS NULL AS is_placeholder",
+        "CASE WHEN _item IS NULL THEN 0.0D ELSE _qty END AS _q",
+        f"CASE WHEN _item IS NULL THEN 0.0D ELSE {js_round2_sql('_price')} END AS _p",
+        f"CASE WHEN _item IS NULL THEN 0.0D ELSE {js_round2_sql(total)} END AS _t")
+    whole = "(_q = floor(_q) AND abs(_q) < 9.2E18D)"
+    blank = "CASE WHEN _item IS NULL THEN '' ELSE {c} END AS {c}"
+    return items.selectExpr(
+        "order_id", "order_date", "order_status", "order_total", "currency",
+        blank.format(c="product_id"), blank.format(c="product_sku"),
+        blank.format(c="product_name"),
+        "_p AS product_price",
+        f"CASE WHEN {whole} THEN CAST(_q AS BIGINT) END AS product_quantity",
+        "_t AS product_total", "source_site",
+        f"CAST(TIMESTAMP '{_ts_text(as_of)}' AS TIMESTAMP) AS synced_at",
+        "coalesce(item_pos, 0) AS item_pos", "platform", "order_date_text", "is_placeholder",
+        "CASE WHEN order_date IS NULL THEN 'order_date not a timestamp' "
+        f"WHEN NOT {whole} THEN 'product_quantity not a whole number' END AS reject_reason",
+        *[f"`{c}`" for c in extra])
+
+
+def _ts_text(as_of) -> str:
+    if isinstance(as_of, _dt.datetime):
+        return as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return str(as_of)
 
 
 def accepted(rows: DataFrame) -> DataFrame:
