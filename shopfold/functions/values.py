@@ -103,15 +103,17 @@ def _sql_str(x: str) -> str:
 def _sql_truthy_fast(v: str, text: str, t_expr: str) -> str:
     """Truthiness given the value's text; the type is looked up only when needed.
 
-    Only an empty text, 'false', or a text starting with '0', '-' or '.' can
-    belong to a falsy value (false, 0, -0, 0.0); any other non-NULL text is
-    truthy whatever its JSON type.  CASE is evaluated lazily, so
-    ``schema_of_variant`` runs only for that small remainder.
+    NULL text (null / missing) and '' are falsy.  Only 'false' or a text
+    starting with '0', '-' or '.' can belong to another falsy value (false,
+    0, -0, 0.0); there the JSON type decides: a string is truthy, a boolean
+    'false' or a number equal to 0 is not.  Any other text is truthy whatever
+    its type.  CASE is lazy, so the type lookup runs only for that remainder.
     """
-    return (f"CASE WHEN {text} IS NULL THEN false "
-            f"WHEN {text} = '' THEN false "
+    return (f"CASE WHEN {text} IS NULL OR {text} = '' THEN false "
             f"WHEN {text} = 'false' OR substr({text}, 1, 1) IN ('0', '-', '.') "
-            f"THEN {_sql_truthy(v, t_expr)} ELSE true END")
+            f"THEN {t_expr} = 'STRING' OR ({text} <> 'false' AND "
+            f"coalesce(try_cast({text} AS DOUBLE), 1.0D) <> 0.0D) "
+            f"ELSE true END")
 
 
 def resolve_texts(df: DataFrame, fields: dict[str, tuple[list, str]]) -> DataFrame:
@@ -182,9 +184,9 @@ _PLAIN_DECIMAL = "^-?[0-9]+([.][0-9]+)?$"
 
 
 def _sql_prefix_to_number(lit: str) -> str:
-    v = (f"CASE WHEN {lit} IN ('Infinity', '+Infinity') THEN double('Infinity') "
-         f"WHEN {lit} = '-Infinity' THEN double('-Infinity') ELSE try_cast({lit} AS DOUBLE) END")
-    return f"(coalesce(nanvl({v}, 0.0D), 0.0D) + 0.0D)"
+    """``parseFloat`` of an extracted prefix, then ``|| 0`` (Spark's cast reads
+    'Infinity'; NaN, 0 and -0 become +0)."""
+    return f"(coalesce(nanvl(try_cast({lit} AS DOUBLE), 0.0D), 0.0D) + 0.0D)"
 
 
 def _sql_money_prefix(t: str) -> str:
@@ -209,9 +211,8 @@ def resolve_numbers(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFr
     for n, (t, kind) in fields.items():
         tc = f"`{t}`"
         slow = _sql_money_prefix(tc) if kind == "money" else _sql_qty_prefix(tc)
-        out.append(f"CASE WHEN {tc} RLIKE {_sql_str(_PLAIN_DECIMAL)} "
-                   f"THEN {_sql_prefix_to_number(tc)} ELSE {_sql_prefix_to_number(slow)} END "
-                   f"AS `{n}`")
+        lit = f"CASE WHEN {tc} RLIKE {_sql_str(_PLAIN_DECIMAL)} THEN {tc} ELSE {slow} END"
+        out.append(f"{_sql_prefix_to_number(lit)} AS `{n}`")
     return df.selectExpr("*", *out)
 
 

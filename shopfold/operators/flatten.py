@@ -141,7 +141,8 @@ def raw_item_lists(raw: DataFrame) -> DataFrame:
     return _per_platform(raw, build)
 
 
-def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
+def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str,
+                   mappings: DataFrame | None = None) -> DataFrame:
     """(source_site, platform, raw) -> fact rows + helper columns.
 
     Helper columns: ``item_pos`` (position among kept items, for the
@@ -150,8 +151,16 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     ``as_of`` of the run.  Rows whose date does not parse, or whose quantity
     is not a whole number, get a ``reject_reason`` (the warehouse would refuse
     them); :func:`accepted` / :func:`rejected` split on it.
+
+    With ``mappings`` the status is normalised on the order headers, before
+    the explode: it is an order-level field, so the lookup joins orders, not
+    line items.
     """
-    return explode_items(order_headers(raw), as_of)
+    headers = order_headers(raw)
+    if mappings is not None:
+        from shopfold.operators.status import normalize_status
+        headers = normalize_status(headers, mappings)
+    return explode_items(headers, as_of)
 
 
 def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:

@@ -68,7 +68,7 @@ def q_placeholder_row(spark, sf_dir):
 # --- status, dedup, merge ------------------------------------------------------
 
 def _normalized(spark, sf_dir, as_of=fx.AS_OF):
-    return normalize_status(_flat(spark, sf_dir, as_of=as_of), fx.mappings(spark, sf_dir))
+    return flatten_orders(fx.raw(spark, sf_dir), as_of, fx.mappings(spark, sf_dir))
 
 
 @register("normalize_status")

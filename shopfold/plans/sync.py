@@ -54,8 +54,8 @@ def windowed_rows(raw: DataFrame, sites: DataFrame, mappings: DataFrame, as_of,
         as_of, F.col("lookback_days"))
     headers = order_headers(raw.join(s, "source_site", "inner"))
     headers = headers.filter(since_predicate(since)).drop("lookback_days")
-    rows = explode_items(headers, as_of)
-    return normalize_status(rows, mappings)
+    # Status is order-level: map it before the explode (orders, not lines).
+    return explode_items(normalize_status(headers, mappings), as_of)
 
 
 def month_prune(sites: DataFrame, as_of, mode: str) -> F.Column:
