@@ -367,6 +367,11 @@ FROM sw JOIN o ON o.source_site = sw.site_id GROUP BY ALL""")
     q["today_window"] = with_base(sites_cte() + ",\n" + window_cte("hourly", HOURLY_SITES) +
                                   f" SELECT {FACT} FROM win")
     q["enabled_sites"] = with_base(sites_cte() + " SELECT site_id, platform FROM sites WHERE enabled")
+    q["read_sites"] = with_base(sites_cte() + """
+SELECT s.site_id, s.name, s.platform, 'orders_' || s.site_id AS table_name,
+       CAST(s.lookback_days AS INTEGER) AS lookback_days, s.hourly AS hourly_sync_enabled,
+       s.enabled, s.has_feed, CAST(m.pos AS INTEGER) AS pos, m.source_status, m.target_status
+FROM sites s JOIN smap m ON m.site_id = s.site_id""")
     q["hourly_sites"] = with_base(sites_cte() +
                                   " SELECT site_id, platform FROM sites WHERE enabled AND hourly")
     q["drop_service_items"] = with_base("""x AS (SELECT 1)

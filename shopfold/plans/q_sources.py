@@ -207,3 +207,12 @@ def q_distinct_ids(spark, sf_dir):
 
 
 _ = (accepted, flatten_orders, as_array, PAGE_SIZE, STANDARD_COLUMNS)
+
+
+@register("read_sites")
+def q_read_sites(spark, sf_dir):
+    """The site list with each site's effective status mapping (defaults filled in)."""
+    s = fx.sites(spark, sf_dir).select("site_id", "name", "platform", "table_name",
+                                       "lookback_days", "hourly_sync_enabled", "enabled",
+                                       F.col("product_feed_url").isNotNull().alias("has_feed"))
+    return s.join(fx.mappings(spark, sf_dir), "site_id")
