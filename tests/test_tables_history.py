@@ -1,6 +1,7 @@
 """Table lifecycle, history retention, feed membership, streaming = batch."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,42 +19,45 @@ from shopfold.schema import HISTORY_SCHEMA, STANDARD_COLUMNS
 def test_snapshot_merge_is_idempotent_and_vacuums(spark):
     target, source = merge_inputs(spark, SF_SMALL)
     sites = [r.site_id for r in fx.sites(spark, SF_SMALL).collect()]
-    loc = ensure_table(spark, "t_snap_test")
-    install_snapshot(spark, "t_snap_test", target, sites)
-    n_target = spark.table("t_snap_test").count()
-    merge_into_table(spark, "t_snap_test", source, sites)
-    once = sorted(map(tuple, spark.table("t_snap_test").select(*STANDARD_COLUMNS).collect()))
-    merge_into_table(spark, "t_snap_test", source, sites)
-    twice = sorted(map(tuple, spark.table("t_snap_test").select(*STANDARD_COLUMNS).collect()))
+    name = f"t_snap_{uuid.uuid4().hex[:8]}"
+    loc = ensure_table(spark, name)
+    install_snapshot(spark, name, target, sites)
+    n_target = spark.table(name).count()
+    merge_into_table(spark, name, source, sites)
+    once = sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect()))
+    merge_into_table(spark, name, source, sites)
+    twice = sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect()))
     assert once == twice and len(once) >= n_target
-    refs = referenced_snapshots(spark, "t_snap_test")
+    refs = referenced_snapshots(spark, name)
     assert len(refs) == 1
-    removed = vacuum(spark, "t_snap_test", loc)
+    removed = vacuum(spark, name, loc)
     assert len(removed) == 2
-    assert sorted(map(tuple, spark.table("t_snap_test").select(*STANDARD_COLUMNS).collect())) == once
+    assert sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect())) == once
 
 
 def test_status_only_keeps_rows_and_amounts(spark):
     target, source = merge_inputs(spark, SF_SMALL)
     sites = [r.site_id for r in fx.sites(spark, SF_SMALL).collect()]
-    ensure_table(spark, "t_status_test")
-    install_snapshot(spark, "t_status_test", target, sites)
-    merge_into_table(spark, "t_status_test", source, sites, status_only=True)
-    after = spark.table("t_status_test")
+    name = f"t_status_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
+    install_snapshot(spark, name, target, sites)
+    merge_into_table(spark, name, source, sites, status_only=True)
+    after = spark.table(name)
     assert after.count() == target.count()
     cols = [c for c in STANDARD_COLUMNS if c not in ("order_status", "synced_at")]
     assert after.select(*cols).exceptAll(target.select(*cols)).count() == 0
 
 
 def test_append_and_truncate(spark):
-    ensure_table(spark, "t_trunc_test")
+    name = f"t_trunc_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
     target, _ = merge_inputs(spark, SF_SMALL)
-    append_rows(spark, "t_trunc_test", target)
-    assert spark.table("t_trunc_test").count() == target.count()
-    truncate_table(spark, "t_trunc_test", ["store_0"])
-    assert spark.table("t_trunc_test").filter("source_site = 'store_0'").count() == 0
-    truncate_table(spark, "t_trunc_test")
-    assert spark.table("t_trunc_test").count() == 0
+    append_rows(spark, name, target)
+    assert spark.table(name).count() == target.count()
+    truncate_table(spark, name, ["store_0"])
+    assert spark.table(name).filter("source_site = 'store_0'").count() == 0
+    truncate_table(spark, name)
+    assert spark.table(name).count() == 0
 
 
 def test_history_keeps_newest_100(spark):
