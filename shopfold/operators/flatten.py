@@ -98,6 +98,15 @@ def _items(platform: str) -> Column:
         F.variant_get(it, "$.type", "string") == "service", F.lit(False))))
 
 
+def _item_fields(platform: str) -> dict[str, tuple[list, str]]:
+    """Text candidates read from the typed item struct (text, variant) per path."""
+    out = {}
+    for name, (table, default) in ITEM_FIELDS.items():
+        out[name] = ([(f"variant_get(`_item`.`{p}`, '$', 'string')", f"`_item`.`{p}`")
+                      for p in table.get(platform, [])], default)
+    return out
+
+
 def _texts(df: DataFrame, fields: dict[str, tuple[list, str]]) -> DataFrame:
     """resolve_texts, with fields that have no candidate set to their default."""
     empty = {n: d for n, (cs, d) in fields.items() if not cs}
@@ -175,15 +184,40 @@ def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     return _per_platform(headers, lambda df, p: _explode_platform(df, p, extra, as_of))
 
 
+def _item_struct_type(platform: str) -> str:
+    paths = []
+    for table, _ in ITEM_FIELDS.values():
+        for p in table.get(platform, []):
+            if p not in paths:
+                paths.append(p)
+    return "struct<" + ", ".join(f"`{p}`: variant" for p in paths) + ">"
+
+
+def _typed_items(platform: str) -> Column:
+    """The kept items as ``array<struct<field: variant, ...>>``.
+
+    One cast of the whole array reads every needed field of every item
+    without building a VARIANT per item and looking paths up in it again.
+    If one element is not an object the whole-array cast yields NULL, so the
+    per-element cast takes over (such an element becomes a row of defaults).
+    """
+    st = _item_struct_type(platform)
+    if platform == "gomag":
+        return F.transform(_items(platform), lambda x: F.try_variant_get(x, "$", st))
+    v = F.variant_get(F.col("raw"), "$.line_items", "variant")
+    per_item = F.transform(as_array(v), lambda x: F.try_variant_get(x, "$", st))
+    return F.coalesce(F.try_variant_get(v, "$", f"array<{st}>"), per_item)
+
+
 def _explode_platform(headers: DataFrame, platform: str, extra: list[str], as_of) -> DataFrame:
     orders = headers.select("source_site", "platform", "order_id", "order_date_text",
                             "order_status", "currency", "order_total", "order_date", *extra,
-                            _items(platform).alias("_items"))
+                            _typed_items(platform).alias("_items"))
     items = orders.select(
         "source_site", "platform", "order_id", "order_date_text", "order_status", "currency",
         "order_total", "order_date", *extra,
         F.posexplode_outer("_items").alias("item_pos", "_item"))
-    items = _texts(items, _fields("_item", ITEM_FIELDS, platform))
+    items = _texts(items, _item_fields(platform))
     items = resolve_numbers(items, {"_price": ("_price_text", "money"),
                                     "_qty": ("_qty_text", "qty"),
                                     "_line": ("_line_text", "money")})
@@ -194,12 +228,12 @@ def _explode_platform(headers: DataFrame, platform: str, extra: list[str], as_of
     else:
         total = "_price * _qty"
     items = items.selectExpr(
-        "*", "_item IS NULL AS is_placeholder",
-        "CASE WHEN _item IS NULL THEN 0.0D ELSE _qty END AS _q",
-        f"CASE WHEN _item IS NULL THEN 0.0D ELSE {js_round2_sql('_price')} END AS _p",
-        f"CASE WHEN _item IS NULL THEN 0.0D ELSE {js_round2_sql(total)} END AS _t")
+        "*", "item_pos IS NULL AS is_placeholder",
+        "CASE WHEN item_pos IS NULL THEN 0.0D ELSE _qty END AS _q",
+        f"CASE WHEN item_pos IS NULL THEN 0.0D ELSE {js_round2_sql('_price')} END AS _p",
+        f"CASE WHEN item_pos IS NULL THEN 0.0D ELSE {js_round2_sql(total)} END AS _t")
     whole = "(_q = floor(_q) AND abs(_q) < 9.2E18D)"
-    blank = "CASE WHEN _item IS NULL THEN '' ELSE {c} END AS {c}"
+    blank = "CASE WHEN item_pos IS NULL THEN '' ELSE {c} END AS {c}"
     return items.selectExpr(
         "order_id", "order_date", "order_status", "order_total", "currency",
         blank.format(c="product_id"), blank.format(c="product_sku"),
