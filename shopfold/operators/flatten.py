@@ -16,7 +16,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopfold.functions.numeric import js_round2, js_round2_sql
+from shopfold.functions.numeric import js_round2_sql
 from shopfold.functions.values import (as_array, is_truthy, resolve_numbers, resolve_texts)
 from shopfold.schema import DEFAULT_CURRENCY, STANDARD_COLUMNS
 from shopfold.sources.raw import as_list

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopfold.functions.values import as_array
 from shopfold.operators.filters import enabled_sites, hourly_sites, lookback_since
-from shopfold.operators.flatten import (accepted, fact_columns, flatten_orders, order_headers,
-                                        raw_item_lists)
+from shopfold.operators.flatten import fact_columns, order_headers, raw_item_lists
 from shopfold.operators.status import detect_status_map, detected_statuses, unmapped_summary
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _normalized, _out, merge_inputs, register
 from shopfold.plans.sync import windowed_rows
-from shopfold.schema import MATCH_KEYS, PAGE_SIZE, STANDARD_COLUMNS
+from shopfold.schema import MATCH_KEYS
 from shopfold.sources.raw import envelope_orders, total_available
 
 
@@ -206,8 +204,6 @@ def q_distinct_ids(spark, sf_dir):
             .distinct())
 
 
-_ = (accepted, flatten_orders, as_array, PAGE_SIZE, STANDARD_COLUMNS)
-
 
 @register("read_sites")
 def q_read_sites(spark, sf_dir):

@@ -10,7 +10,6 @@ import sys
 import time
 from collections import Counter
 
-import os
 import duckdb
 import pandas as pd
 
