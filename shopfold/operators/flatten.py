@@ -27,7 +27,7 @@ def _slots(src: str, paths: list[str]) -> list[tuple[str, str]]:
             for p in paths]
 
 
-def _per_platform(df: DataFrame, build) -> DataFrame:
+def _per_platform(df: DataFrame, build, platforms: list[str] | None = None) -> DataFrame:
     """``build(df_of_platform, platform)`` for every platform, unioned by name.
 
     Each branch carries only its own platform's rules, which keeps every
@@ -38,7 +38,7 @@ def _per_platform(df: DataFrame, build) -> DataFrame:
     """
     from shopfold.schema import PLATFORMS
     out = None
-    for p in PLATFORMS:
+    for p in platforms or PLATFORMS:
         b = build(df.filter(F.col("platform") == p), p)
         out = b if out is None else out.unionByName(b)
     return out
@@ -116,8 +116,12 @@ def _texts(df: DataFrame, fields: dict[str, tuple[list, str]]) -> DataFrame:
     return df
 
 
-def order_headers(raw: DataFrame) -> DataFrame:
-    """Order-level fields (text rules applied, total parsed and rounded)."""
+def order_headers(raw: DataFrame, platforms: list[str] | None = None) -> DataFrame:
+    """Order-level fields (text rules applied, total parsed and rounded).
+
+    ``platforms``: the platforms the frame can contain (from the site
+    configuration); a branch is built for each.  Default: every platform.
+    """
     extra = [c for c in raw.columns if c not in ("source_site", "platform", "raw")]
 
     def build(df: DataFrame, platform: str) -> DataFrame:
@@ -132,10 +136,10 @@ def order_headers(raw: DataFrame) -> DataFrame:
             "source_site", "platform", "raw", "order_id", "order_date_text", "order_status",
             "currency", f"{js_round2_sql('_order_total')} AS order_total",
             "try_to_timestamp(order_date_text) AS order_date", *[f"`{c}`" for c in extra])
-    return _per_platform(raw, build)
+    return _per_platform(raw, build, platforms)
 
 
-def raw_item_lists(raw: DataFrame) -> DataFrame:
+def raw_item_lists(raw: DataFrame, platforms: list[str] | None = None) -> DataFrame:
     """Per order: all line items before the service filter, and the kept ones."""
     def build(df: DataFrame, platform: str) -> DataFrame:
         r = F.col("raw")
@@ -147,11 +151,12 @@ def raw_item_lists(raw: DataFrame) -> DataFrame:
         else:
             all_items = as_array(F.variant_get(r, "$.line_items", "variant"))
         return df.select("*", all_items.alias("_all_items"), _items(platform).alias("_items"))
-    return _per_platform(raw, build)
+    return _per_platform(raw, build, platforms)
 
 
 def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str,
-                   mappings: DataFrame | None = None) -> DataFrame:
+                   mappings: DataFrame | None = None,
+                   platforms: list[str] | None = None) -> DataFrame:
     """(source_site, platform, raw) -> fact rows + helper columns.
 
     Helper columns: ``item_pos`` (position among kept items, for the
@@ -165,14 +170,15 @@ def flatten_orders(raw: DataFrame, as_of: _dt.datetime | str,
     the explode: it is an order-level field, so the lookup joins orders, not
     line items.
     """
-    headers = order_headers(raw)
+    headers = order_headers(raw, platforms)
     if mappings is not None:
         from shopfold.operators.status import normalize_status
         headers = normalize_status(headers, mappings)
-    return explode_items(headers, as_of)
+    return explode_items(headers, as_of, platforms)
 
 
-def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
+def explode_items(headers: DataFrame, as_of: _dt.datetime | str,
+                  platforms: list[str] | None = None) -> DataFrame:
     """Order headers (with ``raw``) -> one row per kept item or one placeholder.
 
     Order-level predicates (site, since window) applied to ``headers`` run
@@ -181,7 +187,8 @@ def explode_items(headers: DataFrame, as_of: _dt.datetime | str) -> DataFrame:
     extra = [c for c in headers.columns if c not in (
         "raw", "source_site", "platform", "order_id", "order_date_text", "order_status",
         "currency", "order_total", "order_date")]
-    return _per_platform(headers, lambda df, p: _explode_platform(df, p, extra, as_of))
+    return _per_platform(headers, lambda df, p: _explode_platform(df, p, extra, as_of),
+                         platforms)
 
 
 def _item_struct_type(platform: str) -> str:

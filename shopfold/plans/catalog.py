@@ -42,7 +42,8 @@ def _out(df: DataFrame) -> DataFrame:
 # --- flatteners --------------------------------------------------------------
 
 def _flat(spark, sf_dir, platform=None, as_of=fx.AS_OF):
-    return flatten_orders(fx.raw(spark, sf_dir, platform), as_of)
+    return flatten_orders(fx.raw(spark, sf_dir, platform), as_of,
+                          platforms=fx.platforms(spark, sf_dir, platform))
 
 
 @register("flatten_woocommerce")
@@ -68,7 +69,8 @@ def q_placeholder_row(spark, sf_dir):
 # --- status, dedup, merge ------------------------------------------------------
 
 def _normalized(spark, sf_dir, as_of=fx.AS_OF):
-    return flatten_orders(fx.raw(spark, sf_dir), as_of, fx.mappings(spark, sf_dir))
+    return flatten_orders(fx.raw(spark, sf_dir), as_of, fx.mappings(spark, sf_dir),
+                          fx.platforms(spark, sf_dir))
 
 
 @register("normalize_status")

@@ -47,6 +47,13 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: read_pages(spark, land_pages(spark, sf_dir)))
 
 
+def platforms(spark: SparkSession, sf_dir: str, platform: str | None = None) -> list[str]:
+    """Platforms of the configured sites (configuration: one row per site)."""
+    if platform:
+        return [platform]
+    return sorted({r["platform"] for r in sites(spark, sf_dir).select("platform").collect()})
+
+
 def raw(spark: SparkSession, sf_dir: str, platform: str | None = None) -> DataFrame:
     p = pages(spark, sf_dir)
     if platform:

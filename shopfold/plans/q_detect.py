@@ -121,7 +121,8 @@ def q_auto_map(spark, sf_dir):
 @register("nested_value")
 def q_nested_value(spark, sf_dir):
     """P10 + X10: the preview cell of the product-id path of every order."""
-    h = order_headers(fx.raw(spark, sf_dir))
+    plats = fx.platforms(spark, sf_dir)
+    h = order_headers(fx.raw(spark, sf_dir), plats)
     out = []
     for p, items in ITEMS_PATH.items():
         path = f"{items}.{'id' if p == 'gomag' else 'product_id'}"
@@ -137,11 +138,12 @@ def q_nested_value(spark, sf_dir):
 @register("preview_mapping")
 def q_preview_mapping(spark, sf_dir, n: int = 5):
     """The n newest orders of every site through the site's own flattener."""
-    h = order_headers(fx.raw(spark, sf_dir))
+    plats = fx.platforms(spark, sf_dir)
+    h = order_headers(fx.raw(spark, sf_dir), plats)
     w = Window.partitionBy("source_site").orderBy(F.col("order_date").desc(),
                                                   F.col("order_id").asc())
     top = h.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-    return _out(fact_columns(explode_items(top, fx.AS_OF)))
+    return _out(fact_columns(explode_items(top, fx.AS_OF, plats)))
 
 
 @register("apply_mapping")

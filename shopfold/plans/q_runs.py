@@ -30,7 +30,8 @@ def run_target(spark, sf_dir):
 def _run(spark, sf_dir, mode, site_ids=None):
     sites = fx.sites(spark, sf_dir)
     frames = run(fx.raw(spark, sf_dir), run_target(spark, sf_dir), sites,
-                 fx.mappings(spark, sf_dir), fx.AS_OF, mode, site_ids)
+                 fx.mappings(spark, sf_dir), fx.AS_OF, mode, site_ids,
+                 fx.platforms(spark, sf_dir))
     return sites, frames
 
 

@@ -18,7 +18,8 @@ from shopfold.sources.raw import envelope_orders, total_available
 @register("read_raw_orders")
 def q_read_raw_orders(spark, sf_dir):
     """One row per landed order: its id text and its raw item count."""
-    h = raw_item_lists(order_headers(fx.raw(spark, sf_dir)))
+    plats = fx.platforms(spark, sf_dir)
+    h = raw_item_lists(order_headers(fx.raw(spark, sf_dir), plats), plats)
     return h.select("source_site", "platform", "order_id",
                     F.coalesce(F.size("_all_items"), F.lit(0)).cast("long").alias("n_items"))
 
@@ -38,7 +39,7 @@ def q_total_available(spark, sf_dir):
 
 
 def _headers(spark, sf_dir):
-    return order_headers(fx.raw(spark, sf_dir)).drop("raw")
+    return order_headers(fx.raw(spark, sf_dir), fx.platforms(spark, sf_dir)).drop("raw")
 
 
 @register("sample_orders")
@@ -70,7 +71,8 @@ def q_limit_n(spark, sf_dir, n: int = 10):
 def _all_sites_window(spark, sf_dir, platform=None):
     sites = fx.sites(spark, sf_dir)
     raw = fx.raw(spark, sf_dir, platform)
-    return windowed_rows(raw, sites, fx.mappings(spark, sf_dir), fx.AS_OF, "full")
+    return windowed_rows(raw, sites, fx.mappings(spark, sf_dir), fx.AS_OF, "full",
+                         fx.platforms(spark, sf_dir, platform))
 
 
 @register("since_filter")
@@ -105,7 +107,7 @@ def q_today_window(spark, sf_dir):
     """the hourly run's rows (since midnight of the run day) of hourly sites."""
     sites = hourly_sites(fx.sites(spark, sf_dir))
     rows = windowed_rows(fx.raw(spark, sf_dir), sites, fx.mappings(spark, sf_dir), fx.AS_OF,
-                         "hourly")
+                         "hourly", fx.platforms(spark, sf_dir))
     return _out(fact_columns(rows))
 
 
@@ -122,7 +124,7 @@ def q_hourly_sites(spark, sf_dir):
 @register("drop_service_items")
 def q_drop_service_items(spark, sf_dir):
     """per GoMag order, kept and dropped (service) line items."""
-    h = raw_item_lists(order_headers(fx.raw(spark, sf_dir, "gomag")))
+    h = raw_item_lists(order_headers(fx.raw(spark, sf_dir, "gomag"), ["gomag"]), ["gomag"])
     total = F.coalesce(F.size("_all_items"), F.lit(0))
     kept = F.coalesce(F.size("_items"), F.lit(0))
     return h.select("source_site", "order_id", kept.cast("long").alias("kept_items"),

@@ -42,7 +42,7 @@ def run_sites(sites: DataFrame, mode: str, site_ids: list[str] | None = None) ->
 
 
 def windowed_rows(raw: DataFrame, sites: DataFrame, mappings: DataFrame, as_of,
-                  mode: str) -> DataFrame:
+                  mode: str, platforms: list[str] | None = None) -> DataFrame:
     """Per-site since window on order headers -> explode items -> status mapping.
 
     The window is applied to orders before the explode, so out-of-window
@@ -52,10 +52,10 @@ def windowed_rows(raw: DataFrame, sites: DataFrame, mappings: DataFrame, as_of,
     s = F.broadcast(sites.select(F.col("site_id").alias("source_site"), "lookback_days"))
     since = today_since(as_of) if mode == "hourly" else lookback_since(
         as_of, F.col("lookback_days"))
-    headers = order_headers(raw.join(s, "source_site", "inner"))
+    headers = order_headers(raw.join(s, "source_site", "inner"), platforms)
     headers = headers.filter(since_predicate(since)).drop("lookback_days")
     # Status is order-level: map it before the explode (orders, not lines).
-    return explode_items(normalize_status(headers, mappings), as_of)
+    return explode_items(normalize_status(headers, mappings), as_of, platforms)
 
 
 def month_prune(sites: DataFrame, as_of, mode: str) -> F.Column:
@@ -80,14 +80,15 @@ def month_prune(sites: DataFrame, as_of, mode: str) -> F.Column:
 
 
 def run(raw: DataFrame, target: DataFrame, sites: DataFrame, mappings: DataFrame,
-        as_of, mode: str = "full", site_ids: list[str] | None = None) -> RunFrames:
+        as_of, mode: str = "full", site_ids: list[str] | None = None,
+        platforms: list[str] | None = None) -> RunFrames:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     covered = run_sites(sites, mode, site_ids)
     site_list = F.broadcast(covered.select(F.col("site_id").alias("source_site")))
     raw_c = (raw.filter(month_prune(covered, as_of, mode)) if "order_month" in raw.columns
              else raw.join(site_list, "source_site", "left_semi"))
-    rows = windowed_rows(raw_c, covered, mappings, as_of, mode)
+    rows = windowed_rows(raw_c, covered, mappings, as_of, mode, platforms)
     good = accepted(rows)
     tgt = target.join(site_list, "source_site", "left_semi")
     if mode == "status_only":
