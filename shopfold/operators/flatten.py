@@ -192,7 +192,7 @@ def explode_items(headers: DataFrame, as_of: _dt.datetime | str,
 
 
 def _item_struct_type(platform: str) -> str:
-    paths = []
+    paths = ["type"] if platform == "gomag" else []
     for table, _ in ITEM_FIELDS.values():
         for p in table.get(platform, []):
             if p not in paths:
@@ -210,7 +210,20 @@ def _typed_items(platform: str) -> Column:
     """
     st = _item_struct_type(platform)
     if platform == "gomag":
-        return F.transform(_items(platform), lambda x: F.try_variant_get(x, "$", st))
+        raw = F.col("raw")
+        g = [F.variant_get(raw, f"$.{k}", "variant") for k in ("items", "products", "line_items")]
+        pick = F.when(is_truthy(g[0]), g[0]).when(is_truthy(g[1]), g[1]).when(
+            is_truthy(g[2]), g[2])
+        from shopfold.sources.raw import _values_in_key_order
+        from shopfold.functions.values import is_object
+        from_array = F.coalesce(F.try_variant_get(pick, "$", f"array<{st}>"), F.transform(
+            as_array(pick), lambda x: F.try_variant_get(x, "$", st)))
+        typed = F.when(is_object(pick), F.transform(
+            _values_in_key_order(pick), lambda x: F.try_variant_get(x, "$", st))
+        ).otherwise(from_array)
+        # GoMag skips service lines (item.type === 'service') before the explode.
+        return F.filter(typed, lambda x: ~F.coalesce(
+            F.variant_get(x["type"], "$", "string") == "service", F.lit(False)))
     v = F.variant_get(F.col("raw"), "$.line_items", "variant")
     per_item = F.transform(as_array(v), lambda x: F.try_variant_get(x, "$", st))
     return F.coalesce(F.try_variant_get(v, "$", f"array<{st}>"), per_item)
