@@ -325,8 +325,9 @@ history AS (
 
 
 def _top_n(src: str, n: int, where: str = "true") -> str:
-    return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY "
-            f"started_at DESC, completed_at DESC) AS rn FROM {src} WHERE {where}) WHERE rn <= {n}")
+    return (f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY site_id ORDER BY "
+            f"started_at DESC, completed_at DESC) AS INTEGER) AS rn FROM {src} WHERE {where}) "
+            f"WHERE rn <= {n}")
 
 
 def more_sql() -> dict[str, str]:
@@ -346,7 +347,7 @@ FROM pg GROUP BY ALL""")
     q["total_available"] = with_base("""x AS (SELECT 1)
 SELECT source_site, platform, CAST(count(*) AS BIGINT) AS total_available FROM o GROUP BY ALL""")
     q["sample_orders"] = with_base("""x AS (SELECT 1)
-SELECT source_site, order_id, o_orderdate AS order_date, rn FROM (
+SELECT source_site, order_id, o_orderdate AS order_date, CAST(rn AS INTEGER) AS rn FROM (
   SELECT *, row_number() OVER (PARTITION BY source_site ORDER BY o_orderdate DESC, order_id ASC)
     AS rn FROM o) WHERE rn <= 5""")
     q["newest_orders"] = with_base("""x AS (SELECT 1)
@@ -361,8 +362,8 @@ ORDER BY o_orderdate DESC, order_id ASC LIMIT 10""")
 sw AS (SELECT site_id, lookback_days, {AS_OF} - to_days(CAST(lookback_days AS INTEGER)) AS since
        FROM sites)
 SELECT sw.site_id, CAST(sw.lookback_days AS INTEGER) AS lookback_days, sw.since,
-       count_if(CASE WHEN o.platform = 'gomag' THEN o.o_orderdate >= sw.since
-                     ELSE o.o_orderdate > sw.since END) AS orders_in_window
+       CAST(count_if(CASE WHEN o.platform = 'gomag' THEN o.o_orderdate >= sw.since
+                     ELSE o.o_orderdate > sw.since END) AS BIGINT) AS orders_in_window
 FROM sw JOIN o ON o.source_site = sw.site_id GROUP BY ALL""")
     q["today_window"] = with_base(sites_cte() + ",\n" + window_cte("hourly", HOURLY_SITES) +
                                   f" SELECT {FACT} FROM win")
@@ -429,8 +430,8 @@ SELECT site_id, name, platform, coalesce(last_sync_status, 'idle') AS status, la
 FROM marked""")
     q["report_totals"] = with_base(runs + """
 SELECT CAST(coalesce(sum(coalesce(last_sync_row_count, 0)), 0) AS BIGINT) AS total_rows,
-       count_if(last_sync_status = 'success') AS success_count,
-       count_if(last_sync_status = 'error') AS error_count, count(*) AS site_count
+       CAST(count_if(last_sync_status = 'success') AS BIGINT) AS success_count,
+       CAST(count_if(last_sync_status = 'error') AS BIGINT) AS error_count, count(*) AS site_count
 FROM marked""")
     local = f"strftime(timezone('Europe/Bucharest', last_sync_at AT TIME ZONE 'UTC'), '%d.%m.%Y, %H:%M:%S')"
     q["site_report"] = with_base(runs + f"""
@@ -441,7 +442,8 @@ SELECT name, platform,
        CASE WHEN last_sync_at IS NULL THEN 'Never' ELSE {local} END AS last_sync
 FROM marked""")
     q["dashboard_summary"] = with_base(runs + """
-SELECT count(*) AS sites, count_if(enabled) AS active, count_if(last_sync_status = 'error') AS errors,
+SELECT count(*) AS sites, CAST(count_if(enabled) AS BIGINT) AS active,
+       CAST(count_if(last_sync_status = 'error') AS BIGINT) AS errors,
        max(last_sync_at) AS last_sync_at FROM marked""")
     q["read_history"] = with_base(history_cte() + " SELECT * FROM history")
     q["history_top_n"] = with_base(history_cte() + " " + _top_n("history", 5))
@@ -508,7 +510,7 @@ def detect_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["read_feed"] = with_base(feed_ctes() + " SELECT source_site, product_id FROM feedids")
     q["nonblank_ids"] = with_base(feed_ctes() + """
-SELECT source_site, count(*) + count_if(pk % 13 = 0 OR pk % 17 = 0) AS entries,
+SELECT source_site, CAST(count(*) + count_if(pk % 13 = 0 OR pk % 17 = 0) AS BIGINT) AS entries,
        count(*) AS kept_entries FROM feed GROUP BY ALL""")
     q["feed_count"] = with_base(feed_ctes() +
                                 " SELECT source_site, count(*) AS product_count FROM feed GROUP BY ALL")

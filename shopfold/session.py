@@ -66,9 +66,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+# Bumped whenever the landing recipe changes, so stale materialized inputs are
+# never reused by a newer version of the code.
+LANDING_VERSION = "v1"
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp)."""
     base = checkpoint_dir(spark)
+    if parts and parts[0] == "landing":
+        parts = ("landing", LANDING_VERSION, *parts[1:])
     p = "/".join([base, *[s.strip("/") for s in parts]])
     if unique:
         p = f"{p}/{uuid.uuid4().hex}"

@@ -40,3 +40,17 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.count() > 0
+
+
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                  "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
+@pytest.mark.parametrize("name", _names())
+def test_types_match_oracle(spark, con, name):
+    from __spark_entry__ import oracle_sql, queries
+    df = queries()[name](spark, SF_SMALL)
+    sp = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rel = con.sql(oracle_sql()[name])
+    dk = {c: _DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert sp == dk
