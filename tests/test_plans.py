@@ -56,3 +56,20 @@ def test_flatten_has_no_shuffle(spark, qs):
     p = plan(qs["flatten_gomag"](spark, SF_SMALL))
     assert "Exchange" not in p
     assert "platform = gomag" in p or "(platform#" in p
+
+
+def test_no_cartesian_or_nested_loop_joins(spark, qs):
+    for name in ["sync_all", "merge_upsert", "feed_membership", "not_in_feed", "site_lookup",
+                 "detect_status_map", "read_sites", "append_history", "preview_mapping"]:
+        p = plan(qs[name](spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_source_has_no_local_checkpoint_or_python_udf():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parent.parent / "shopfold"
+    for f in root.rglob("*.py"):
+        text = f.read_text()
+        for bad in ("localCheckpoint", "@udf", "F.udf(", "pandas_udf", "mapInPandas",
+                    "applyInPandas", ".rdd."):
+            assert bad not in text, (f.name, bad)
