@@ -16,7 +16,18 @@ from shopfold.session import scratch_path
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+#: Rows of one Arrow batch: whole texts are long, so a Python worker gets fewer of them at a time.
+ARROW_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Python workers small: Spark's default of 10,000 texts a batch is tens of MB, held
+    several times over (JVM, Arrow, pandas)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 

@@ -128,7 +128,8 @@ def has_letter(text: str | None) -> bool:
 
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang_pred, score (share of the predicted language), n_langs; from the text alone."""
+    """doc_id, doc_key (tells rows of one doc_id with different texts apart), lang_pred, score
+    (share of the predicted language), n_langs; from the text alone."""
     langs = list(model)
     tables = np.stack([model[k] for k in langs], axis=1) if langs else None
 
@@ -146,11 +147,12 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
                 pred[part] = [langs[t] for t in top]
                 score[part] = np.clip(share[np.arange(len(part)), top], 0.0, 1.0)
                 sizes[part] = size
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "lang_pred": pred,
-                                "score": score, "n_langs": sizes})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "doc_key": pdf["doc_key"],
+                                "lang_pred": pred, "score": score, "n_langs": sizes})
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInPandas(run, "doc_id long, lang_pred string, score double, n_langs int"))
+    doc_id = F.col("doc_id").cast("long")
+    return (docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc_key"), "text")
+            .mapInPandas(run, "doc_id long, doc_key long, lang_pred string, score double, n_langs int"))
 
 
 def language_id(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
@@ -158,4 +160,4 @@ def language_id(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     model = train((docs if training is None else training).filter(~F.coalesce(held_out(), F.lit(False))))
     return predict(docs, model).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"),
-        "lang_pred", "score", "n_langs")
+        "lang_pred", "score", "n_langs", "doc_key")

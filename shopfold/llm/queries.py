@@ -2,23 +2,68 @@
 
 from __future__ import annotations
 
-from shopfold.llm import common, exact_dedup, language_id, simhash_dedup
+from pyspark.sql import functions as F
+
+from shopfold.llm import (
+    common, decontamination, exact_dedup, language_id, line_dedup, packing, quality, simhash_dedup,
+    suffix_dedup, token_counts, token_output)
+
+
+def op1_suffix_dedup(spark, sf_dir):
+    n_kept = F.octet_length("kept").cast("long")
+    return suffix_dedup.remove_repeats(common.documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - n_kept).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_token_counts(spark, sf_dir):
+    rollup = token_counts.TokenRollup(spark)
+    rollup.apply("load", common.documents(spark, sf_dir).withColumn("op", F.lit("insert")))
+    return rollup.totals()
+
+
+def op3_line_dedup(spark, sf_dir):
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "line_counts.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op4_quality_grades(spark, sf_dir):
+    return quality.grade_documents(common.documents(spark, sf_dir), common.labels(spark, sf_dir))
 
 
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup_batch(common.documents(spark, sf_dir), exact_dedup.DigestIndex(spark))
 
 
+def op6_token_output(spark, sf_dir):
+    path = common.fresh_path(spark, "token_files")
+    token_output.write_token_files(common.documents(spark, sf_dir), path)
+    return token_output.read_token_files(spark, path)
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(common.documents(spark, sf_dir))
+
+
+def op8_decontamination(spark, sf_dir):
+    return decontamination.leaks(common.documents(spark, sf_dir), common.benchmark(spark, sf_dir)).drop("doc_key")
+
+
 def op9_simhash_dedup(spark, sf_dir):
-    return simhash_dedup.simhash_groups(common.documents(spark, sf_dir))
+    return simhash_dedup.simhash_groups(common.documents(spark, sf_dir)).drop("doc_key")
 
 
 def op10_language_id(spark, sf_dir):
-    return language_id.language_id(common.documents(spark, sf_dir))
+    return language_id.language_id(common.documents(spark, sf_dir)).drop("doc_key")
+
+
+OPERATORS = (op1_suffix_dedup, op2_token_counts, op3_line_dedup, op4_quality_grades, op5_exact_dedup,
+             op6_token_output, op7_packing, op8_decontamination, op9_simhash_dedup, op10_language_id)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_exact_dedup, op9_simhash_dedup, op10_language_id)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:

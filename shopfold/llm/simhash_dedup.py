@@ -49,13 +49,17 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, doc_key, fp): the fingerprint as a signed long; the key tells rows of one doc_id
+    with different texts apart."""
     def run(batches):
         for pdf in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fps.view(np.int64)})
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInPandas(run, "doc_id long, fp long"))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "doc_key": pdf["doc_key"],
+                                "fp": fps.view(np.int64)})
+
+    doc_id = F.col("doc_id").cast("long")
+    return (docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc_key"), "text")
+            .mapInPandas(run, "doc_id long, doc_key long, fp long"))
 
 
 def _block(column, k: int, n_blocks: int):
@@ -105,7 +109,8 @@ def _signed(x: int) -> int:
 
 def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                    max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component)."""
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component),
+    doc_key."""
     rows = stored(fingerprints(docs, shingle_words), "fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(near_links(classes.select("fp"), max_bits))
@@ -115,12 +120,14 @@ def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     answers = stored(classes.join(merged, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")), "answers")
     return rows.join(answers, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "doc_key")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                      max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of each component, with their columns."""
+    """The documents with the smallest doc_id of each component, with their columns (rows that
+    repeat that doc_id stay; a component of null ids alone stays)."""
     groups = simhash_groups(docs, shingle_words, max_bits)
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_key").distinct()
+    key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+    return docs.join(gone, key == gone["doc_key"], "left_anti")
