@@ -31,7 +31,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = np.array([1], dtype="<u4").tobytes()
 #: Tails whose lengths differ by less than this share a class (its upper end is planned with).
 CLASS_WIDTH = 4
-MAX_COLUMNS = 6000
+#: The plan is within this share of the linear program's optimum, or stops at so many columns.
+GAP, MAX_COLUMNS = 1e-3, 1500
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -66,31 +67,59 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), taken
 
 
-def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int,
-                  max_columns: int = MAX_COLUMNS) -> tuple[np.ndarray, np.ndarray]:
+def first_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A starting basis: fill a sequence with the largest sizes that are left and fit, use it as
+    often as lasts, and go on.  Each pattern uses up one size, so the basis is triangular."""
+    left = demand.astype(float)
+    m, tiny = len(sizes), 1e-9 * demand.max()
+    patterns, times, done = np.zeros((m, m)), np.zeros(m), np.zeros(m, dtype=bool)
+    largest = np.argsort(-sizes, kind="stable").tolist()
+    for k in range(m):
+        if (left <= tiny).all():  # several were used up together: the rest of the basis is idle
+            spare = np.flatnonzero(~done)
+            patterns[np.arange(k, m), spare] = 1
+            break
+        room = capacity
+        for c in largest:
+            if left[c] > tiny and sizes[c] <= room:
+                patterns[k, c] += 1
+                room -= int(sizes[c])
+        used = np.flatnonzero(patterns[k])
+        last = used[np.argmin(left[used] / patterns[k, used])]
+        times[k] = left[last] / patterns[k, last]
+        left[used] = np.maximum(left[used] - times[k] * patterns[k, used], 0.0)
+        left[last], done[last] = 0.0, True
+    return patterns, times
+
+
+def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_columns: int = MAX_COLUMNS,
+                  gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows: how many of each size) and the whole number of times to use each.
 
-    Revised simplex on  min sum(x)  with  A x = demand, x >= 0, columns made by `price`.
-    Stopping at `max_columns` leaves a feasible, slightly less tight plan."""
+    Revised simplex on  min sum(x)  with  A x = demand, x >= 0, columns made by `price`.  If the
+    best column is worth v, no plan is better than 1 / v of this one (Farley's bound): stopping
+    at v <= 1 + gap, or at `max_columns`, leaves a feasible plan."""
     m = len(sizes)
-    start = capacity // sizes
-    basis = np.diag(start.astype(float))
-    inverse = np.diag(1.0 / start)
-    x = demand / start
+    # Slightly uneven demands keep the simplex from standing still at ties.
+    uneven = demand * (1 + 1e-6 * np.random.default_rng(7).random(m))
+    patterns, x = first_patterns(sizes, uneven, capacity)
+    basis = patterns.T.copy()
+    inverse = np.linalg.inv(basis)
     for step in range(max_columns):
-        if step and step % 500 == 0:
+        if step and step % 100 == 0:  # clear rounding errors
             inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand, 0.0)
-        duals = inverse.sum(axis=0)
-        value, column = price(duals, sizes, capacity)
-        if value <= 1 + 1e-7:
+            x = np.maximum(inverse @ uneven, 0.0)
+        value, column = price(inverse.sum(axis=0), sizes, capacity)
+        if value <= 1 + gap:
             break
         d = inverse @ column
         ratio = np.full(m, np.inf)
-        np.divide(x, d, out=ratio, where=d > 1e-9)
-        out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
+        np.divide(x, d, out=ratio, where=d > 1e-7)
+        if not np.isfinite(ratio.min()):
             break
+        # Of the rows that give way first, the one with the largest pivot.
+        first = np.flatnonzero(ratio <= ratio.min() + 1e-9 * (1 + x.max()))
+        out = int(first[np.argmax(d[first])])
         step_size = ratio[out]
         x = np.maximum(x - step_size * d, 0.0)
         x[out] = step_size
@@ -98,15 +127,17 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int,
         inverse -= np.outer(d, row)
         inverse[out] = row
         basis[:, out] = column
-    times = np.floor(x + 1e-9).astype(np.int64)
+    times = np.floor(x + 1e-3).astype(np.int64)
     patterns = np.rint(basis.T).astype(np.int64)
     used = times > 0
     patterns, times = patterns[used], times[used]
-    # Guard against rounding in x: never plan more of a class than there is.
-    while len(times) and ((over := patterns.T @ times - demand) > 0).any():
-        worst = int(over.argmax())
-        times[np.flatnonzero((patterns[:, worst] > 0) & (times > 0))[0]] -= 1
-    return patterns, times
+    # Rounding errors in x must not plan more of a class than there is.
+    for c in range(m):
+        for p in np.flatnonzero((patterns[:, c] > 0) & (times > 0)).tolist() if len(times) else ():
+            if (over := int(patterns[:, c] @ times - demand[c])) <= 0:
+                break
+            times[p] = max(0, times[p] - -(-over // int(patterns[p, c])))
+    return patterns[times > 0], times[times > 0]
 
 
 def allocations(classes: np.ndarray, patterns: np.ndarray, times: np.ndarray) -> list[tuple]:

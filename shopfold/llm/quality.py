@@ -20,38 +20,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The regression is fitted on at most so many labelled documents (smallest hashes of the id).
-SAMPLE_DOCS = 8000
+SAMPLE_DOCS = 12_000
 BUCKET_BITS = 18
 SHAPES = 8
 N_FEATURES = (1 << BUCKET_BITS) + SHAPES
 MIN_TAIL = 0.5
-STEPS, RATE, DECAY = 150, 0.05, 2e-5
+STEPS, RATE, DECAY = 120, 0.05, 1e-4
+#: Beginnings of words that count besides the word, and marks that are stripped from words.
+STEMS = (5, 7)
+MARKS = ".,;:!?()*%$#&\"'|"
 
 
 class _Buckets(dict):
-    """word -> bucket, remembered within bounds."""
+    """word -> the buckets of the word, its beginnings and its closing marks, remembered within
+    bounds."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > 300_000:
             self.clear()
-        bucket = zlib.crc32(word.strip(".,;:!?()").encode("utf-8", "replace")) >> (32 - BUCKET_BITS)
-        self[word] = bucket
-        return bucket
+        bare = word.strip(MARKS)
+        parts = [bare, *("^" + bare[:n] for n in STEMS if len(bare) > n)]
+        if len(word) > len(bare):
+            parts.append("~" + word[len(word.rstrip(MARKS)):])
+        crcs = [zlib.crc32(p.encode("utf-8", "replace")) >> (32 - BUCKET_BITS) for p in parts]
+        self[word] = np.array(crcs, dtype="<i4").tobytes()
+        return self[word]
 
 
 _BUCKETS = _Buckets()
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values: unit-length log counts of hashed words, then shape measures."""
+    """Indices and values: the hashed words and beginnings that occur, then shape measures."""
     text = text or ""
     words = text.lower().split()
     n = max(1, len(words))
-    at = np.fromiter(map(_BUCKETS.__getitem__, words), dtype=np.int64, count=len(words))
-    index, counts = np.unique(at, return_counts=True)
-    values = np.log1p(counts)
-    if len(values):
-        values = values / np.sqrt((values ** 2).sum())
+    index = np.unique(np.frombuffer(b"".join(map(_BUCKETS.__getitem__, words)), dtype="<i4"))
     size = max(1, len(text))
     lines = text.split("\n")
     raw = text.encode("utf-8", "replace")
@@ -62,8 +66,26 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     shape = np.array([1.0 if not words else 0.0, upper / max(1, letters), digits / size * 5,
                       marks / size * 5, len(set(words)) / n, len(set(lines)) / len(lines),
                       min(2.0, sum(map(len, words)) / n / 10), np.log1p(n) / 10])
+    # Each measure counts as a number and as the step it lies in.
+    steps = np.unique([zlib.crc32(f"={k}:{int(x * 10)}".encode()) >> (32 - BUCKET_BITS) for k, x in enumerate(shape.tolist())])
+    index = np.union1d(index, steps)
     return (np.concatenate([index, np.arange(1 << BUCKET_BITS, N_FEATURES)]),
-            np.concatenate([values, shape]).astype(np.float32))
+            np.concatenate([np.ones(len(index)), shape]).astype(np.float32))
+
+
+def contrast(rows: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features: int) -> np.ndarray:
+    """How much the odds of a grade above a threshold change with each bucket, at the threshold
+    where it does most: words that tell grades apart get large steps, the others small ones."""
+    best = np.zeros(n_features)
+    for k in range(int(grades.max())):
+        high = grades > k
+        n_high, n_low = max(1, high.sum()), max(1, (~high).sum())
+        a = np.bincount(col[high[rows]], minlength=n_features)
+        b = np.bincount(col[~high[rows]], minlength=n_features)
+        expect = (a + b) * n_low / (n_high + n_low)
+        odds = np.log((b + 1) / (expect + 1))
+        best = np.where(np.abs(odds) > np.abs(best), odds, best)
+    return np.abs(best)
 
 
 class OrdinalModel:
@@ -80,6 +102,8 @@ def fit(index: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray) -
     rows = np.repeat(np.arange(len(index)), [len(i) for i in index])
     col, val = np.concatenate(index), np.concatenate(values).astype(np.float64)
     used, col = np.unique(col, return_inverse=True)
+    scale = np.where(used < 1 << BUCKET_BITS, contrast(rows, col, grades, len(used)), 1.0)
+    val = val * scale[col]
     n, k = len(index), int(grades.max())
     share = np.array([(grades <= j).mean() for j in range(k)]).clip(1e-3, 1 - 1e-3)
     cut = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(k))
@@ -105,7 +129,7 @@ def fit(index: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray) -
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         p = p - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     weights = np.zeros(N_FEATURES, dtype=np.float32)
-    weights[used] = p[:w_end]
+    weights[used] = p[:w_end] * scale
     theta = np.cumsum(np.concatenate([p[w_end:w_end + 1], np.exp(p[w_end + 1:])]))
     return OrdinalModel(weights, theta)
 
