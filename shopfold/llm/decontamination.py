@@ -89,6 +89,10 @@ def _block_values(fp, n_blocks: int):
             for low, width in _blocks(n_blocks)]
 
 
+def _probe(block: int, value):
+    return lambda mask: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(mask).alias("value"))
+
+
 def hamming_candidates(windows: DataFrame, items: DataFrame, same: list[str],
                        radius: int = RADIUS, n_blocks: int = BLOCKS) -> DataFrame:
     """Pairs of rows of `windows` and `items` with equal `same` columns whose fingerprints `fp`
@@ -97,8 +101,7 @@ def hamming_candidates(windows: DataFrame, items: DataFrame, same: list[str],
     probes = []
     for b, (value, (_, width)) in enumerate(zip(_block_values(F.col("item_fp"), n_blocks), _blocks(n_blocks))):
         masks = [sum(1 << x for x in c) for k in range(near + 1) for c in combinations(range(width), k)]
-        probes.append(F.transform(F.array(*map(F.lit, masks)).cast("array<long>"), lambda m, v=value, b=b: F.struct(
-            F.lit(b).alias("block"), v.bitwiseXOR(m).alias("value"))))
+        probes.append(F.transform(F.array(*map(F.lit, masks)).cast("array<long>"), _probe(b, value)))
     index = items.withColumnRenamed("fp", "item_fp")
     index = index.withColumn("_p", F.explode(F.concat(*probes))).select("*", "_p.*").drop("_p")
     own = F.array(*[F.struct(F.lit(b).alias("block"), v.alias("value"))

@@ -157,16 +157,21 @@ def _with_first_answers(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     places = stored(line_table(_document_rows(docs)), "line_places")
     place = F.struct(*ORDER)
+    first = F.struct(*[f"first_{c}" for c in ORDER])
     lines = stored(
         places.groupBy("line_id", "n").agg(F.min(place).alias("first"), F.first("keys").alias("keys"),
-                                           F.count("*").alias("copies")), "distinct_lines")
+                                           F.count("*").alias("copies"))
+        .select("line_id", "n", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ORDER], "keys", "copies"),
+        "distinct_lines")
     repeats = (places.select(*ORDER, "line_id", "n")
-               .join(lines.filter("copies > 1").select("line_id", "n", "first"), ["line_id", "n"])
-               .filter(place > F.col("first")).select("doc_key", "line_no", F.lit(False).alias("maybe")))
-    keyed = lines.select("first", F.explode("keys").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.min("first").alias("a"), F.max("first").alias("b"))
-              .filter("a <> b").select("key"))
-    maybe = (keyed.join(shared, "key", "left_semi").select("first.doc_key", "first.line_no").distinct()
+               .join(lines.filter("copies > 1").drop("keys", "copies"), ["line_id", "n"])
+               .filter(place > first).select("doc_key", "line_no", F.lit(False).alias("maybe")))
+    # The first line of each text stands for it: one row for each key of a part it may share.
+    keyed = lines.select(F.col("first_doc_key").alias("doc_key"), F.col("first_line_no").alias("line_no"),
+                         F.explode("keys").alias("key"))
+    one = F.struct("doc_key", "line_no")
+    shared = keyed.groupBy("key").agg(F.min(one).alias("a"), F.max(one).alias("b")).filter("a <> b").select("key")
+    maybe = (keyed.join(shared, "key", "left_semi").select("doc_key", "line_no").distinct()
              .withColumn("maybe", F.lit(True)))
     listed = repeats.union(maybe).groupBy("doc_key").agg(
         F.collect_set(F.when(~F.col("maybe"), F.col("line_no"))).alias("repeats"),
