@@ -26,11 +26,14 @@ def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove repeated lines; documents of which no visible line is left go."""
-    done = line_dedup.dedup_lines(docs)
-    emptied = (F.col("line_counts.removed") > 0) & (F.btrim("text", F.lit(common.SPACE_CHARS)) == "")
-    done = done.filter(~F.coalesce(emptied, F.lit(False)))
+    counts = "line_counts"
+    while counts in docs.columns:
+        counts += "_"
+    done = line_dedup.dedup_lines(docs, counts)
+    shorter = F.col(counts).getField("removed") > 0
+    done = done.filter(~F.coalesce(shorter & (F.btrim("text", F.lit(common.SPACE_CHARS)) == ""), F.lit(False)))
     if "n_chars" in docs.columns:
-        length = F.when(F.col("line_counts.removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        length = F.when(shorter, F.char_length("text")).otherwise(F.col("n_chars"))
         done = done.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)
 

@@ -191,9 +191,9 @@ def _with_first_answers(docs: DataFrame) -> DataFrame:
     return spark.table(table)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with their columns and what is left of the text, and a struct `lines` with
-    n (lines before), removed, and near (those removed for a line within one edit)."""
+def dedup_lines(docs: DataFrame, counts_name: str = "line_counts") -> DataFrame:
+    """The documents with their columns and what is left of the text, and a struct `counts_name`
+    with n (lines before), removed, and near (those removed for a line within one edit)."""
     rows = _with_first_answers(docs)
     lines = stored(_collapsed(rows).dropDuplicates(ORDER), "line_texts")
     near = near_lines(lines).groupBy("doc_key").agg(F.collect_set("line_no").alias("near"))
@@ -207,4 +207,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                       F.size("near").alias("near"))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("left")}
     return done.select(*[columns[c].alias(c) if c in columns else F.col("others").getField(c).alias(c)
-                         for c in docs.columns], counts.alias("line_counts"))
+                         for c in docs.columns], counts.alias(counts_name))

@@ -18,10 +18,8 @@ def within_one_edit(a, b):
 
 
 def brute(rows):
-    """Documents in (id, then distinct text) order; ids in the tests have one text each."""
+    """Line by line in (id, text) order, against all lines before; one text for each id."""
     seen, out = [], {}
-    for i, t in sorted({(i is not None, i or 0, t) for i, t in rows}, key=lambda r: (r[0], r[1], r[2] or "")):
-        pass
     for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         if t is None:
             out[i] = (None, 0, 0)
@@ -42,7 +40,7 @@ def brute(rows):
 
 
 def run(docs):
-    return {r.doc_id: (r.text, r.line_counts.removed, r.line_counts.near) for r in dedup_lines(docs).collect()}
+    return {r.doc_id: (r.text, r.done.removed, r.done.near) for r in dedup_lines(docs, "done").collect()}
 
 
 def typo(r, line):
@@ -70,8 +68,8 @@ def test_edits_against_brute_force(spark, prose):
 def test_edge_cases(spark, edge_docs):
     rows = [(i, t) for i, t in edge_docs if i is not None]
     docs = clash(make_docs(spark, rows))
-    done = dedup_lines(docs)
-    assert done.columns == docs.columns + ["line_counts"]
+    done = dedup_lines(docs, "done")
+    assert done.columns == docs.columns + ["done"]
     assert run(docs) == brute(rows)
     assert done.count() == len(rows)
     same = [r for r in done.collect() if r.doc_id == 5]  # a repeated row keeps the same lines
