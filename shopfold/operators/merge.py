@@ -62,6 +62,20 @@ def merge_upsert(target: DataFrame, source: DataFrame, dedup: bool = True) -> Da
         if c in _VALUE_COLS else F.col(c) for c in STANDARD_COLUMNS])
 
 
+def merge_staged(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """K3 with a source that is already deduplicated and stored: same rows as
+    :func:`merge_upsert`, as a left join plus an anti join on the keys.  Reading a stored source
+    twice costs little, a small source can be broadcast, and the anti join reads the target's
+    four key columns only."""
+    s = _matched_source(staged.select(*STANDARD_COLUMNS), _VALUE_COLS)
+    tgt = target.select(*STANDARD_COLUMNS)
+    kept = tgt.join(s, MATCH_KEYS, "left").select(*[
+        F.when(F.col("_matched"), F.col("_s_" + c)).otherwise(F.col(c)).alias(c)
+        if c in _VALUE_COLS else F.col(c) for c in STANDARD_COLUMNS])
+    new = staged.select(*STANDARD_COLUMNS).join(target.select(*MATCH_KEYS), MATCH_KEYS, "left_anti")
+    return kept.unionByName(new.select(*STANDARD_COLUMNS))
+
+
 def merge_status_only(target: DataFrame, source: DataFrame, dedup: bool = True) -> DataFrame:
     """K4: matched target rows take ``order_status`` and ``synced_at``; no inserts."""
     src = dedup_latest(source.select(*STANDARD_COLUMNS, *(

@@ -14,6 +14,7 @@ staging table to drop.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,29 +59,93 @@ def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
     rows.select(*spark.table(name).columns).write.insertInto(name)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class ConcurrentMergeError(RuntimeError):
+    """Another run installed a snapshot of the same site while this one was merging."""
+
+
+def _escaped(spark: SparkSession, site: str) -> str:
+    """A site id as Spark writes it in a partition directory's name."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(site)
+
+
+def _unescaped(spark: SparkSession, name: str) -> str:
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+
+
 def _partition_sites(spark: SparkSession, name: str) -> list[str]:
-    out = []
-    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        spec = r[0]
-        out.append(spec.split("=", 1)[1])
+    """Sites with a partition (one row per site)."""
+    return [_unescaped(spark, r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
+        F.col("col_name") == "Location").collect()[0]["data_type"].rstrip("/")
+
+
+def partition_locations(spark: SparkSession, name: str, sites: list[str]) -> dict[str, str | None]:
+    """Where each site's rows lie now (None: the site has no partition)."""
+    known = set(_partition_sites(spark, name))
+    out: dict[str, str | None] = {}
+    for site in sites:
+        if site not in known:
+            out[site] = None
+            continue
+        d = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (source_site='{_q(site)}')")
+        out[site] = d.filter(F.col("col_name") == "Location").collect()[0]["data_type"]
+    return out
+
+
+def _point(spark: SparkSession, name: str, site: str, path: str, exists: bool) -> None:
+    spec = f"source_site='{_q(site)}'"
+    if exists:
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{_q(path)}'")
+    else:
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION '{_q(path)}'")
+
+
+def _written_sites(spark: SparkSession, snap: str) -> dict[str, str]:
+    """site -> directory of the partitions that a snapshot holds (one per site)."""
+    fs, hp = _fs(spark, snap)
+    out = {}
+    for st in fs.listStatus(hp):
+        d = st.getPath().getName()
+        if d.startswith("source_site="):
+            out[_unescaped(spark, d.split("=", 1)[1])] = f"{snap}/{d}"
     return out
 
 
-def install_snapshot(spark: SparkSession, name: str, rows: DataFrame, sites: list[str]) -> str:
-    """Write ``rows`` (the new content of ``sites``) to a fresh snapshot, then point
-    each site's partition at it.  Sites left without rows get an empty directory."""
-    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
-        F.col("col_name") == "Location").collect()[0]["data_type"]
-    snap = f"{loc.rstrip('/')}/{SNAPSHOT_DIR}/{uuid.uuid4().hex}"
+def install_snapshot(spark: SparkSession, name: str, rows: DataFrame, sites: list[str] | None = None,
+                     expected: dict[str, str | None] | None = None) -> str:
+    """Write ``rows`` (the new content of their sites) to a fresh snapshot, then point each
+    site's partition at it.
+
+    The sites are those of the rows.  With ``sites`` given, listed sites without rows become
+    empty, and a row of a site outside the list is an error (nothing is installed).  With
+    ``expected`` (locations read before the merge), a site that moved meanwhile is an error, so a
+    run never undoes another run's merge.  A NULL site cannot be addressed and is an error.
+    """
+    snap = f"{_location(spark, name)}/{SNAPSHOT_DIR}/{uuid.uuid4().hex}"
     rows.select(*STANDARD_COLUMNS).write.mode("error").partitionBy("source_site").parquet(snap)
-    for site in sites:
-        part = f"{snap}/source_site={site}"
-        fs, hp = _fs(spark, part)
-        if not fs.exists(hp):
-            fs.mkdirs(hp)
-        spec = f"source_site='{_q(site)}'"
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{_q(part)}'")
+    written = _written_sites(spark, snap)
+    if NULL_PARTITION in written:
+        raise ValueError("rows without a source_site cannot be installed")
+    if sites is not None:
+        if uncovered := sorted(set(written) - set(sites)):
+            raise ValueError(f"rows of sites outside the run: {uncovered}")
+        for site in sites:
+            if site not in written:
+                written[site] = f"{snap}/source_site={_escaped(spark, site)}"
+                fs, hp = _fs(spark, written[site])
+                fs.mkdirs(hp)
+    now = partition_locations(spark, name, sorted(written))
+    if expected is not None:
+        if moved := [s for s in written if now[s] != expected.get(s)]:
+            raise ConcurrentMergeError(f"changed while merging: {moved}")
+    for site, path in written.items():
+        _point(spark, name, site, path, now[site] is not None)
     spark.catalog.refreshTable(name)
     return snap
 
@@ -90,23 +155,60 @@ def read_sites_of(spark: SparkSession, name: str, sites: list[str]) -> DataFrame
     return spark.table(name).filter(F.col("source_site").isin(*sites)).select(*STANDARD_COLUMNS)
 
 
-def merge_into_table(spark: SparkSession, name: str, source: DataFrame, sites: list[str],
-                     status_only: bool = False) -> str:
-    """K3/K4 on a table: merge ``source`` into the partitions of ``sites``.
+def stage_source(spark: SparkSession, source: DataFrame) -> DataFrame:
+    """The deduplicated source of a merge, written once: the merge reads it more than once, and
+    the pipeline behind it runs once."""
+    from shopfold.operators.merge import dedup_latest
+    path = scratch_path(spark, "staging", unique=True)
+    cols = [*STANDARD_COLUMNS, *(["item_pos"] if "item_pos" in source.columns else [])]
+    dedup_latest(source.select(*cols)).select(*STANDARD_COLUMNS).write.parquet(path)
+    return spark.read.parquet(path)
 
-    The merged frame reads the current snapshot and is written to a new one,
-    so the read and the write never touch the same files.
+
+def merge_into_table(spark: SparkSession, name: str, source: DataFrame, sites: list[str] | None = None,
+                     status_only: bool = False, attempts: int = 3) -> str | None:
+    """K3/K4 on a table: merge ``source`` into the partitions of the sites it has rows of.
+
+    The source is staged once; only its sites' partitions are read and rewritten, so the cost
+    follows the source's sites, not the table.  With ``sites`` given, a row of another site is
+    an error.  The merged frame goes to a new snapshot, so the read and the write never touch the
+    same files; if another run moved a site meanwhile, the merge is done again on its result.
+    Snapshots that nothing refers to any more are removed at the end (young ones are spared).
     """
-    from shopfold.operators.merge import merge_status_only, merge_upsert
-    target = read_sites_of(spark, name, sites)
-    merged = merge_status_only(target, source) if status_only else merge_upsert(target, source)
-    return install_snapshot(spark, name, merged, sites)
+    from shopfold.operators.merge import merge_staged, merge_status_only
+    staged = stage_source(spark, source)
+    # One row per site.
+    touched = sorted(r[0] for r in staged.select("source_site").distinct().collect() if r[0] is not None)
+    if sites is not None and (uncovered := sorted(set(touched) - set(sites))):
+        raise ValueError(f"rows of sites outside the run: {uncovered}")
+    if not touched:
+        return None
+    for attempt in range(attempts):
+        before = partition_locations(spark, name, touched)
+        target = read_sites_of(spark, name, touched)
+        merged = (merge_status_only(target, staged, dedup=False) if status_only
+                  else merge_staged(target, staged))
+        try:
+            snap = install_snapshot(spark, name, merged, touched, before)
+            break
+        except ConcurrentMergeError:
+            spark.catalog.refreshTable(name)
+            if attempt == attempts - 1:
+                raise
+    vacuum(spark, name)
+    return snap
 
 
 def truncate_table(spark: SparkSession, name: str, sites: list[str] | None = None) -> None:
-    """K5: empty the table (or some sites) by dropping partitions from the catalog."""
-    for site in (sites if sites is not None else _partition_sites(spark, name)):
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (source_site='{_q(site)}')")
+    """K5: empty the table (or some sites): each partition is pointed at a new empty directory,
+    so rows appended later are the only ones it has."""
+    known = set(_partition_sites(spark, name))
+    snap = f"{_location(spark, name)}/{SNAPSHOT_DIR}/{uuid.uuid4().hex}"
+    for site in (sites if sites is not None else sorted(known)):
+        path = f"{snap}/source_site={_escaped(spark, site)}"
+        fs, hp = _fs(spark, path)
+        fs.mkdirs(hp)
+        _point(spark, name, site, path, site in known)
     spark.catalog.refreshTable(name)
 
 
@@ -123,29 +225,33 @@ def truncate_all(spark: SparkSession, name: str, sites: list[str]) -> list[tuple
 
 
 def referenced_snapshots(spark: SparkSession, name: str) -> set[str]:
-    refs = set()
-    for site in _partition_sites(spark, name):
-        r = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (source_site='{_q(site)}')")
-        loc = r.filter(F.col("col_name") == "Location").collect()
-        if loc:
-            p = loc[0]["data_type"]
-            if f"/{SNAPSHOT_DIR}/" in p:
-                refs.add(p.split(f"/{SNAPSHOT_DIR}/")[1].split("/")[0])
-    return refs
-
-
-def vacuum(spark: SparkSession, name: str, location: str) -> list[str]:
-    """Delete snapshot directories no partition points at any more (K6 cleanup)."""
+    paths = partition_locations(spark, name, _partition_sites(spark, name)).values()
+    return {p.split(f"/{SNAPSHOT_DIR}/")[1].split("/")[0] for p in paths if p and f"/{SNAPSHOT_DIR}/" in p}
+
+
+#: A snapshot younger than this may still be written by another merge.
+VACUUM_MIN_AGE_SECONDS = 24 * 3600
+
+
+def unreferenced_snapshots(spark: SparkSession, name: str, min_age_seconds: float = 0) -> list:
+    """Paths of snapshots that no partition points at (the listing comes before the references,
+    so a snapshot installed in between counts as referenced)."""
+    fs, hp = _fs(spark, f"{_location(spark, name)}/{SNAPSHOT_DIR}")
+    if not fs.exists(hp):
+        return []
+    found = [(st.getPath(), st.getModificationTime() / 1000) for st in fs.listStatus(hp)]
     keep = referenced_snapshots(spark, name)
-    fs, hp = _fs(spark, f"{location.rstrip('/')}/{SNAPSHOT_DIR}")
-    removed = []
-    if fs.exists(hp):
-        for st in fs.listStatus(hp):
-            snap = st.getPath().getName()
-            if snap not in keep:
-                fs.delete(st.getPath(), True)
-                removed.append(snap)
-    return removed
+    return [p for p, changed in found
+            if p.getName() not in keep and time.time() - changed >= min_age_seconds]
+
+
+def vacuum(spark: SparkSession, name: str, min_age_seconds: float = VACUUM_MIN_AGE_SECONDS) -> list[str]:
+    """Delete snapshot directories no partition points at any more (K6 cleanup)."""
+    old = unreferenced_snapshots(spark, name, min_age_seconds)
+    fs, _ = _fs(spark, _location(spark, name))
+    for path in old:
+        fs.delete(path, True)
+    return [p.getName() for p in old]
 
 
 def export_csv(rows: DataFrame, path: str) -> None:

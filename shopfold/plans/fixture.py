@@ -19,7 +19,7 @@ from shopfold.sources.raw import read_pages, unwrap_envelope
 from shopfold.sources.sites import sites_from_orders, status_mappings
 
 # The run clock of every registered query (one as_of per run).
-AS_OF = _dt.datetime(2001, 8, 1, 6, 0, 0)
+AS_OF = _dt.datetime(2001, 7, 30, 6, 0, 0)
 # Merge scenario: the target is an earlier run over orders before TARGET_END,
 # stamped TARGET_SYNCED_AT; the source covers orders from SOURCE_START on.
 TARGET_END = _dt.datetime(1999, 1, 1)
@@ -111,3 +111,7 @@ RUN_TARGET_START = _dt.datetime(2000, 6, 1)
 RUN_TARGET_END = _dt.datetime(2001, 7, 20)
 # The one site of the single-site runs.
 RUN_SITE = "store_3"
+# A run of this length; the site whose source fails and the one without a connector in run_result.
+RUN_TIME = _dt.timedelta(seconds=7)
+FAILING_SITE = "store_4"
+NO_CONNECTOR_SITE = "shop_0"

@@ -41,7 +41,7 @@ def status_map_values() -> str:
 def base_ctes(synced_at: str = AS_OF) -> str:
     """CTEs: o (orders + recipe), kept (kept items), flat (flattened rows)."""
     return f"""
-li AS (
+li AS MATERIALIZED (
   SELECT l.l_orderkey AS ok, l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_returnflag,
          l.l_linenumber, coalesce(p.p_brand, '') AS p_brand, coalesce(p.p_name, '') AS p_name,
          p.p_retailprice,
@@ -50,7 +50,7 @@ li AS (
              l.l_returnflag, l.l_linestatus, l.l_shipdate) AS pos0
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 ),
-o AS (
+o AS MATERIALIZED (
   SELECT o_orderkey AS ok, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
          CASE o_orderkey % 3 WHEN 0 THEN 'woocommerce' WHEN 1 THEN 'gomag' ELSE 'merchantpro' END
            AS platform,
@@ -69,13 +69,13 @@ o AS (
          {r2('o_totalprice')} AS order_total
   FROM orders
 ),
-kept AS (
+kept AS MATERIALIZED (
   SELECT li.*, o.platform,
          row_number() OVER (PARTITION BY li.ok ORDER BY li.pos0) - 1 AS item_pos
   FROM li JOIN o ON li.ok = o.ok
   WHERE NOT (o.platform = 'gomag' AND li.l_returnflag = 'N')
 ),
-flat AS (
+flat AS MATERIALIZED (
   SELECT o.order_id, o.o_orderdate AS order_date, o.raw_status AS order_status, o.order_total,
          o.currency,
          CASE WHEN k.l_partkey = 0 THEN '' ELSE CAST(k.l_partkey AS VARCHAR) END AS product_id,
@@ -99,7 +99,7 @@ lk AS (
   SELECT site_id, lower(source_status) AS k, arg_min(target_status, pos) AS target_status
   FROM smap GROUP BY ALL
 ),
-norm AS (
+norm AS MATERIALIZED (
   SELECT f.* REPLACE (coalesce(lk.target_status, '[UNMAPPED] ' || f.order_status)
                       AS order_status)
   FROM flat f LEFT JOIN lk ON lk.site_id = f.source_site AND lk.k = lower(f.order_status)
@@ -120,13 +120,13 @@ DEDUP = """dedup AS (
                              ORDER BY synced_at DESC, item_pos DESC) = 1
 )"""
 
-MERGE_INPUTS = f"""tgt AS (
+MERGE_INPUTS = f"""tgt AS MATERIALIZED (
   SELECT order_id, order_date, '{fx.TARGET_STATUS}' AS order_status, order_total, currency,
          product_id, product_sku, product_name, product_price, product_quantity, product_total,
          source_site, {ts(fx.TARGET_SYNCED_AT)} AS synced_at
   FROM flat WHERE order_date < {ts(fx.TARGET_END)}
 ),
-src AS (
+src AS MATERIALIZED (
   SELECT * FROM norm WHERE order_date >= {ts(fx.SOURCE_START)}
   QUALIFY row_number() OVER (PARTITION BY order_id, product_id, product_sku, source_site
                              ORDER BY synced_at DESC, item_pos DESC) = 1
@@ -215,7 +215,7 @@ def window_cte(mode: str = "full", site_filter: str = "true") -> str:
         since = f"date_trunc('day', {AS_OF})"
     else:
         since = f"({AS_OF} - to_days(CAST(s.lookback_days AS INTEGER)))"
-    return f"""win AS (
+    return f"""win AS MATERIALIZED (
   SELECT n.* FROM norm n JOIN sites s ON s.site_id = n.source_site
   WHERE ({site_filter})
     AND CASE WHEN n.platform = 'gomag' THEN n.order_date >= {since}
@@ -224,7 +224,7 @@ def window_cte(mode: str = "full", site_filter: str = "true") -> str:
 
 
 def run_target_cte() -> str:
-    return f"""tgt AS (
+    return f"""tgt AS MATERIALIZED (
   SELECT order_id, order_date, '{fx.TARGET_STATUS}' AS order_status, order_total, currency,
          product_id, product_sku, product_name, product_price, product_quantity, product_total,
          source_site, {ts(fx.TARGET_SYNCED_AT)} AS synced_at
@@ -263,7 +263,7 @@ SELECT t.order_id, t.order_date,
 FROM tgt t LEFT JOIN src s ON t.order_id = s.order_id AND t.product_id = s.product_id
      AND t.product_sku = s.product_sku AND t.source_site = s.source_site"""
 
-SRC_FROM_WIN = """src AS (
+SRC_FROM_WIN = """src AS MATERIALIZED (
   SELECT * FROM win
   QUALIFY row_number() OVER (PARTITION BY order_id, product_id, product_sku, source_site
                              ORDER BY synced_at DESC, item_pos DESC) = 1
@@ -423,7 +423,16 @@ SELECT DISTINCT source_site, product_id FROM flat WHERE product_id <> ''""")
     q["sync_status_only"] = run_sql("full", FULL_SITES, status_only=True)
     q["sync_all"] = run_sql("full", FULL_SITES)
     runs = ",\n".join([sites_cte(), window_cte("full", FULL_SITES), run_counts_cte()])
-    q["run_result"] = with_base(runs + " SELECT * FROM res")
+    end = f"{AS_OF} + to_seconds({int(fx.RUN_TIME.total_seconds())})"
+    failed = f"site_id = '{fx.FAILING_SITE}'"
+    q["run_result"] = with_base(runs + f"""
+SELECT site_id, started_at, {end} AS completed_at, CAST({int(fx.RUN_TIME.total_seconds())} AS BIGINT) AS duration_seconds,
+       CASE WHEN {failed} THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN {failed} THEN 0 ELSE row_count END AS row_count, sync_type,
+       CASE WHEN {failed} THEN 'CAST_INVALID_INPUT' END AS error FROM res
+UNION ALL
+SELECT '{fx.NO_CONNECTOR_SITE}', {AS_OF}, {end}, {int(fx.RUN_TIME.total_seconds())}, 'error', 0, 'full',
+       'No connector for platform'""")
     q["sync_status"] = with_base(runs + """
 SELECT site_id, name, platform, coalesce(last_sync_status, 'idle') AS status, last_sync_at,
        CAST(coalesce(last_sync_row_count, 0) AS BIGINT) AS last_sync_row_count, enabled
@@ -670,14 +679,21 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
 # Tables, streaming, Shopify
 # ---------------------------------------------------------------------------
 
+# Site ids that Spark escapes in directory names (see q_tables.rename_site).
+SITE_RENAMED = "replace(source_site, 'store_', 'c:d/100% ') AS source_site"
+
+
 def table_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["append_rows"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
     q["ensure_table"] = with_base(
         "x AS (SELECT 1) SELECT source_site, count(*) AS row_count FROM flat GROUP BY ALL")
-    q["drop_staging"] = sql_catalog_core()["merge_upsert"]
+    q["drop_staging"] = f"""SELECT source_site, count(*) AS row_count, CAST(0 AS BIGINT) AS snapshots_left
+FROM ({sql_catalog_core()["merge_upsert"]}) GROUP BY ALL"""
+    q["merge_named_sites"] = with_base(DEDUP + f""" SELECT {FACT.replace("source_site", SITE_RENAMED)} FROM dedup""")
     q["truncate_all"] = with_base(sites_cte() + """
-SELECT site_id, 'truncated' AS status, CAST(0 AS BIGINT) AS rows_after FROM sites""")
+SELECT site_id, 'truncated' AS status, CAST(0 AS BIGINT) AS rows_after,
+       (SELECT count(*) FROM flat f WHERE f.source_site = s.site_id) AS rows_again FROM sites s""")
     q["export_csv"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
     q["stream_upsert"] = with_base(DEDUP + f" SELECT {FACT} FROM dedup")
     q["late_status_updates"] = with_base(MERGE_INPUTS.replace(

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shopfold.operators.flatten import fact_columns
-from shopfold.operators.history import append_history, newest_per_site, retain
+from shopfold.operators.history import (newest_per_site, retain, store_history,
+                                         stored_history)
 from shopfold.operators.report import (dashboard_summary, mark_sites, report_totals,
                                        site_report, sync_status)
+from shopfold.operators.tables import ensure_table, install_snapshot, read_sites_of
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _out, register
-from shopfold.plans.sync import run, run_result_rows, run_sites
+from shopfold.plans.sync import run, run_into_table, run_result_rows, run_sites
 from shopfold.schema import HISTORY_LIMIT_ALL_SITES, HISTORY_LIMIT_ONE_SITE, STANDARD_COLUMNS
+from shopfold.session import scratch_path
 from shopfold.sources.history import land_history, read_history
 
 
@@ -35,32 +40,42 @@ def _run(spark, sf_dir, mode, site_ids=None):
     return sites, frames
 
 
+def _run_table(spark, sf_dir, mode, site_ids=None, raw=None, sites=None):
+    """A table holding the earlier run, the run carried out on it, and its result rows."""
+    sites = fx.sites(spark, sf_dir) if sites is None else sites
+    name = f"run_{uuid.uuid4().hex[:12]}"
+    ensure_table(spark, name)
+    install_snapshot(spark, name, run_target(spark, sf_dir))
+    results = run_into_table(spark, name, fx.raw(spark, sf_dir) if raw is None else raw, sites,
+                             fx.mappings(spark, sf_dir), fx.AS_OF, mode, site_ids,
+                             fx.AS_OF + fx.RUN_TIME)
+    # The covered sites' rows, read back (one row per site in the list).
+    covered = [r["site_id"] for r in run_sites(sites, mode, site_ids).select("site_id").collect()]
+    return read_sites_of(spark, name, covered), results
+
+
 @register("sync_full")
 def q_sync_full(spark, sf_dir):
-    """One site's full run merged into its part of the table."""
-    _, f = _run(spark, sf_dir, "full", [fx.RUN_SITE])
-    return _out(f.result)
+    """One site's full run merged into the table; its part of the table read back."""
+    return _out(_run_table(spark, sf_dir, "full", [fx.RUN_SITE])[0])
 
 
 @register("sync_hourly")
 def q_sync_hourly(spark, sf_dir):
-    """R2: hourly sites, today's orders, full upsert."""
-    _, f = _run(spark, sf_dir, "hourly")
-    return _out(f.result)
+    """R2: hourly sites, today's orders, full upsert into the table."""
+    return _out(_run_table(spark, sf_dir, "hourly")[0])
 
 
 @register("sync_status_only")
 def q_sync_status_only(spark, sf_dir):
-    """Enabled sites, lookback window, status-only merge."""
-    _, f = _run(spark, sf_dir, "status_only")
-    return _out(f.result)
+    """Enabled sites, lookback window, status-only merge into the table."""
+    return _out(_run_table(spark, sf_dir, "status_only")[0])
 
 
 @register("sync_all")
 def q_sync_all(spark, sf_dir):
-    """Every enabled site in one plan."""
-    _, f = _run(spark, sf_dir, "full")
-    return _out(f.result)
+    """Every enabled site in one plan, merged into the table."""
+    return _out(_run_table(spark, sf_dir, "full")[0])
 
 
 def _results(spark, sf_dir, mode="full"):
@@ -71,9 +86,19 @@ def _results(spark, sf_dir, mode="full"):
 
 @register("run_result")
 def q_run_result(spark, sf_dir):
-    """The result / history row of every site of a full run."""
-    _, res = _results(spark, sf_dir)
-    return _out(res)
+    """R4 + R5: the result rows of a full run in which one site's source fails and one site's
+    platform has no connector; the other sites are merged."""
+    sites = fx.sites(spark, sf_dir)
+    shop = sites.limit(1).select(*[
+        F.lit({"site_id": fx.NO_CONNECTOR_SITE, "platform": "shopify"}[c]).alias(c)
+        if c in ("site_id", "platform") else F.lit(True).alias(c) if c == "enabled" else F.col(c)
+        for c in sites.columns])
+    raw = fx.raw(spark, sf_dir)
+    raw = raw.withColumn("raw", F.expr(
+        f"CASE WHEN source_site = '{fx.FAILING_SITE}' "
+        "THEN parse_json(CAST(CAST(concat('not a page of ', source_site) AS INT) AS STRING)) ELSE raw END"))
+    results = _run_table(spark, sf_dir, "full", None, raw, sites.unionByName(shop))[1]
+    return _out(results.withColumn("error", F.substring_index("error", ":", 1)))
 
 
 def _marked_sites(spark, sf_dir):
@@ -130,6 +155,9 @@ def q_history_retention(spark, sf_dir):
 
 @register("append_history")
 def q_append_history(spark, sf_dir):
-    """K7: a full run's rows appended to the history, then retention."""
+    """K7: a full run's rows appended to a stored history, with retention, read back."""
     _, res = _results(spark, sf_dir)
-    return _out(append_history(_history(spark, sf_dir), res))
+    path = scratch_path(spark, "history", unique=True)
+    store_history(spark, path, _history(spark, sf_dir))
+    store_history(spark, path, res)
+    return _out(stored_history(spark, path))

@@ -3,13 +3,14 @@
 The reference syncs site after site; here every site of a run is one
 DataFrame plan (sites are a column, not a loop), so a run is one scan of the
 landed pages, one explode, one broadcast status join, one aggregation for the
-dedup and one join for the merge.  Only the table write and the history
-append are actions.
+dedup and one join for the merge.  :func:`run` gives the frames of a run;
+:func:`run_into_table` carries it out on a table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,10 @@ from shopfold.operators.filters import (enabled_sites, hourly_sites, lookback_si
 from shopfold.operators.flatten import accepted, explode_items, order_headers, rejected
 from shopfold.operators.merge import merge_status_only, merge_upsert
 from shopfold.operators.status import normalize_status
+from shopfold.operators.tables import ensure_table, merge_into_table
+from shopfold.session import scratch_path
 
+CONNECTORS = ("woocommerce", "gomag", "merchantpro")
 MODES = ("full", "hourly", "status_only")
 
 
@@ -67,14 +71,17 @@ def month_prune(sites: DataFrame, as_of, mode: str) -> F.Column:
     """
     as_of_ts = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(
         str(as_of))
-    preds = None
+    # One arm per lookback value; a day of slack, as a local date may lie a month before its UTC date.
+    by_month: dict[str, list[str]] = {}
     for r in sites.select("site_id", "lookback_days").collect():
         if mode == "hourly":
             since = as_of_ts.replace(hour=0, minute=0, second=0, microsecond=0)
         else:
             since = as_of_ts - _dt.timedelta(days=r["lookback_days"] or 30)
-        p = (F.col("source_site") == r["site_id"]) & (
-            (F.col("order_month") >= since.strftime("%Y-%m")) | F.col("order_month").isNull())
+        by_month.setdefault((since - _dt.timedelta(days=1)).strftime("%Y-%m"), []).append(r["site_id"])
+    preds = None
+    for month, ids in sorted(by_month.items()):
+        p = F.col("source_site").isin(*ids) & ((F.col("order_month") >= month) | F.col("order_month").isNull())
         preds = p if preds is None else preds | p
     return preds if preds is not None else F.lit(False)
 
@@ -110,6 +117,66 @@ def check_site(spark: SparkSession, sites: DataFrame, site_id: str) -> None:
         raise ValueError(f"Site is disabled: {site_id}")
 
 
+def error_text(e: Exception) -> str:
+    """The message of a failed job: Spark's error condition and its first sentence if there is
+    one (the rest has task numbers and stack traces), else the first line."""
+    named = re.search(r"\[([A-Z][A-Z0-9_.]+)\] ([^.\n]*)", str(e))
+    return f"{named[1]}: {named[2]}" if named else str(e).strip().split("\n")[0]
+
+
+def run_into_table(spark: SparkSession, name: str, raw: DataFrame, sites: DataFrame, mappings: DataFrame,
+                   as_of: _dt.datetime, mode: str = "full", site_ids: list[str] | None = None,
+                   completed_at: _dt.datetime | None = None, rejects: str | None = None) -> DataFrame:
+    """A run that writes (R1-R5): check the named sites, make sure the table is there, stage the
+    rows of the run once, merge them into the table, keep the refused rows, and return one result
+    row per covered site (:func:`run_result_rows`).
+
+    All sites go through one plan.  If that fails, each site is tried on its own: a failing site
+    is recorded with its error and 0 rows, and the others are merged.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}")
+    for site_id in site_ids or []:
+        check_site(spark, sites, site_id)
+    ensure_table(spark, name)
+    covered = run_sites(sites, mode, site_ids)
+    # The site list is configuration: one row per site.
+    todo = {r["site_id"]: r["platform"] for r in covered.select("site_id", "platform").collect()
+            if r["platform"] in CONNECTORS}
+    rejects = rejects or scratch_path(spark, "rejects", name, unique=True)
+    counts: dict[str, tuple[int, int]] = {}
+    errors: dict[str, str] = {}
+
+    def sync(ids: list[str]) -> None:
+        part = covered.filter(F.col("site_id").isin(*ids))
+        rows = raw.filter(month_prune(part, as_of, mode)) if "order_month" in raw.columns else raw
+        path = scratch_path(spark, "staging", unique=True)
+        windowed_rows(rows, part, mappings, as_of, mode, sorted({todo[i] for i in ids})).write.parquet(path)
+        staged = spark.read.parquet(path)
+        merge_into_table(spark, name, accepted(staged), ids, status_only=mode == "status_only")
+        rejected(staged).write.mode("append").parquet(rejects)
+        for r in staged.groupBy("source_site").agg(
+                F.count(F.lit(1)).alias("n"), F.count_if(F.col("reject_reason").isNotNull()).alias("bad")).collect():
+            counts[r["source_site"]] = (r["n"], r["bad"])
+
+    try:
+        if todo:
+            sync(sorted(todo))
+    except Exception as all_sites:
+        if len(todo) == 1:
+            errors = {next(iter(todo)): error_text(all_sites)}
+        else:
+            for site_id in sorted(todo):
+                try:
+                    sync([site_id])
+                except Exception as e:
+                    errors[site_id] = error_text(e)
+    counted = spark.createDataFrame([(k, *v) for k, v in counts.items()],
+                                    "source_site string, row_count long, reject_count long")
+    done = completed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return run_result_rows(spark, counted, covered, as_of, done, mode, errors)
+
+
 def run_result_rows(spark: SparkSession, counts: DataFrame, covered: DataFrame,
                     started_at: _dt.datetime, completed_at: _dt.datetime, mode: str,
                     errors: dict[str, str] | None = None) -> DataFrame:

@@ -42,10 +42,6 @@ STATUS_WORDS = {
 }
 UNKNOWN_STATUS_WORD = "mystery"
 
-# An API order document carries all its lines; the landing builds one document
-# per order, so the lines of one order must stay bounded.  land_pages checks it.
-MAX_LINES_PER_ORDER = 10_000
-
 LINE_SORT_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -226,22 +222,6 @@ def page_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("platform", "source_site", "order_month", "page_no", page.alias("page"))
 
 
-def check_order_sizes(spark: SparkSession, sf_dir: str) -> int:
-    """Largest number of lines of one order (a map-side-combined count + max).
-
-    Grouping lines into order documents is bounded by the order's size; this
-    makes the bound explicit: a hot order key beyond MAX_LINES_PER_ORDER
-    stops the landing instead of piling into one task.
-    """
-    li = read_table(spark, sf_dir, "lineitem")
-    biggest = (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n").alias("m")).collect()[0]["m"]) or 0
-    if biggest > MAX_LINES_PER_ORDER:
-        raise ValueError(f"an order has {biggest} lines (> {MAX_LINES_PER_ORDER}); "
-                         "order documents would not be bounded")
-    return biggest
-
-
 def landing_path(spark: SparkSession, sf_dir: str) -> str:
     tag = sf_dir.rstrip("/").replace("/", "_").replace(".", "_").strip("_")
     return scratch_path(spark, "landing", tag, "pages")
@@ -258,7 +238,6 @@ def land_pages(spark: SparkSession, sf_dir: str, path: str | None = None,
     path = path or landing_path(spark, sf_dir)
     if not overwrite and path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    check_order_sizes(spark, sf_dir)
     parts = ["platform", "source_site", "order_month"]
     (page_envelopes(spark, sf_dir).select(*parts, "page")
      .repartition(*parts)   # one writer per partition directory: few, whole files

@@ -11,12 +11,14 @@ from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
 DEFAULT = ["flatten_gomag", "normalize_status", "dedup_latest", "merge_upsert", "sync_all",
+           "merge_status_only", "merge_match", "sync_status_only", "sync_hourly", "run_result",
+           "merge_named_sites", "drop_staging", "truncate_all", "append_history",
            "read_feed", "detect_columns", "parse_money", "history_top_n", "unwrap_envelope"]
 
 
 def _names():
-    from __spark_entry__ import oracle_sql
-    return sorted(oracle_sql()) if os.environ.get("SHOPFOLD_FULL_ORACLE") else DEFAULT
+    from shopfold.plans.oracle import sql_catalog
+    return sorted(sql_catalog()) if os.environ.get("SHOPFOLD_FULL_ORACLE") else DEFAULT
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +34,9 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from shopfold.plans.catalog import registry
+    from shopfold.plans.oracle import sql_catalog
+    assert set(registry()) == set(sql_catalog())
 
 
 def test_entry_runs(spark):

@@ -10,7 +10,7 @@ from shopfold.operators.feed import feed_membership
 from shopfold.operators.history import append_history, retain
 from shopfold.operators.tables import (append_rows, ensure_table, install_snapshot,
                                        merge_into_table, referenced_snapshots, truncate_table,
-                                       vacuum)
+                                       unreferenced_snapshots, vacuum)
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import merge_inputs, registry
 from shopfold.schema import HISTORY_SCHEMA, STANDARD_COLUMNS
@@ -20,7 +20,7 @@ def test_snapshot_merge_is_idempotent_and_vacuums(spark):
     target, source = merge_inputs(spark, SF_SMALL)
     sites = [r.site_id for r in fx.sites(spark, SF_SMALL).collect()]
     name = f"t_snap_{uuid.uuid4().hex[:8]}"
-    loc = ensure_table(spark, name)
+    ensure_table(spark, name)
     install_snapshot(spark, name, target, sites)
     n_target = spark.table(name).count()
     merge_into_table(spark, name, source, sites)
@@ -30,8 +30,9 @@ def test_snapshot_merge_is_idempotent_and_vacuums(spark):
     assert once == twice and len(once) >= n_target
     refs = referenced_snapshots(spark, name)
     assert len(refs) == 1
-    removed = vacuum(spark, name, loc)
-    assert len(removed) == 2
+    assert vacuum(spark, name) == []  # young snapshots are spared
+    removed = vacuum(spark, name, min_age_seconds=0)
+    assert len(removed) == 2 and unreferenced_snapshots(spark, name) == []
     assert sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect())) == once
 
 
@@ -58,6 +59,52 @@ def test_append_and_truncate(spark):
     assert spark.table(name).filter("source_site = 'store_0'").count() == 0
     truncate_table(spark, name)
     assert spark.table(name).count() == 0
+    append_rows(spark, name, target)
+    assert spark.table(name).count() == target.count()
+
+
+def test_install_loses_no_site(spark):
+    import pytest
+    name = f"t_sites_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
+    target, source = merge_inputs(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        install_snapshot(spark, name, target, ["store_0"])
+    with pytest.raises(ValueError):
+        merge_into_table(spark, name, source, ["store_0"])
+    with pytest.raises(ValueError):
+        install_snapshot(spark, name, target.withColumn("source_site", F.lit(None).cast("string")))
+    odd = target.withColumn("source_site", F.concat(F.lit("a:b/c=%"), F.substring("source_site", 7, 1)))
+    merge_into_table(spark, name, odd)
+    assert spark.table(name).groupBy("source_site").count().count() == odd.select("source_site").distinct().count()
+    truncate_table(spark, name, ["a:b/c=%0"])
+    assert spark.table(name).filter("source_site = 'a:b/c=%0'").count() == 0
+
+
+def test_overlapping_merges_keep_both(spark):
+    """A run that moved the site between the read and the install is not undone."""
+    import pytest
+    from shopfold.operators.tables import ConcurrentMergeError, partition_locations
+    name = f"t_race_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
+    target, source = merge_inputs(spark, SF_SMALL)
+    install_snapshot(spark, name, target)
+    before = partition_locations(spark, name, ["store_0"])
+    merge_into_table(spark, name, source)
+    with pytest.raises(ConcurrentMergeError):
+        install_snapshot(spark, name, target.filter("source_site = 'store_0'"), expected=before)
+
+
+def test_merge_rewrites_only_the_sources_sites(spark):
+    from shopfold.operators.tables import partition_locations
+    name = f"t_touch_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
+    target, source = merge_inputs(spark, SF_SMALL)
+    install_snapshot(spark, name, target)
+    before = partition_locations(spark, name, ["store_0", "store_1"])
+    merge_into_table(spark, name, source.filter("source_site = 'store_0'"))
+    after = partition_locations(spark, name, ["store_0", "store_1"])
+    assert before["store_0"] != after["store_0"] and before["store_1"] == after["store_1"]
 
 
 def test_history_keeps_newest_100(spark):
