@@ -5,8 +5,8 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from array import array
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +72,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: How byte-level vocabularies spell bytes: printable ones as they are, the others from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE_LETTER = _BYTE_LETTERS[0x20]
+_LATIN_1 = dict.fromkeys(range(256))
 _CLOSING = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")
 
 
@@ -88,21 +93,47 @@ class MemoTokenizer:
       library in one piece;
     * both: between a letter a-z and a full stop or comma that white space or the end follows.
 
-    The memory is bounded (`max_words`); when it is full it is emptied, which costs time only.
+    The memory is bounded: two generations of `max_words` at most; it saves time only.
     """
 
-    def __init__(self, file: str, keeps_space: bool, max_words: int = 600_000):
+    def __init__(self, file: str, keeps_space: bool, max_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(tokenizer_path(file))
         self._keeps_space = keeps_space
         self._max = max_words
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _new(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units.  Words of Latin-1 letters are one piece to the tokenizer, which its
+        normaliser (after lower case) leaves alone, so they go to its model directly."""
+        out, others = {}, []
+        model = self._tok.model
+        for unit in units:
+            space = unit[:1] == " "
+            word = unit[1:] if space else unit
+            if word.isalpha():
+                word = word if self._keeps_space else word.lower()
+                if word.isascii():
+                    piece = _SPACE_LETTER + word if space else word
+                elif word.translate(_LATIN_1) == "":
+                    piece = (" " * space + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
+                else:
+                    others.append(unit)
+                    continue
+                out[unit] = array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+                continue
+            others.append(unit)
+        for a in range(0, len(others), 20_000):
+            part = others[a:a + 20_000]
+            out.update(zip(part, self._raw(part)))
+        return out
+
     def _units(self, text: str) -> list[str] | None:
         """The pieces of a text, or None if it has to be encoded as a whole."""
         if not self._keeps_space:
@@ -129,13 +160,13 @@ class MemoTokenizer:
             out[i] = ids
         wanted = {w for u in cut if u is not None for w in u if w not in memo}
         if wanted:
-            if len(memo) + len(wanted) > self._max:
-                memo.clear()
+            if len(memo) + len(wanted) > self._max:  # the last generation is asked before the tokenizer
+                self._older, self._memo = memo, {}
+                memo = self._memo
                 wanted = {w for u in cut if u is not None for w in u}
-            new = sorted(wanted)
-            for a in range(0, len(new), 20_000):
-                part = new[a:a + 20_000]
-                memo.update(zip(part, self._raw(part)))
+            known = {w: self._older[w] for w in wanted if w in self._older}
+            memo.update(known)
+            memo.update(self._new(sorted(wanted.difference(known))))
         for i, u in enumerate(cut):
             if u is not None:
                 out[i] = b"".join(map(memo.__getitem__, u))
