@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -19,8 +20,13 @@ ODD = ["", " a  b\n\nc", "a\n b", "it's 5's\tx", "x y  ", "\n", "e ́x", "a\x1cb
        "　", "don't. Won't, ", "\U0001f600. x", "a,\n,b", "x." * 50]
 
 
+@cache
+def library(file):
+    return Tokenizer.from_file(tokenizer_path(file))
+
+
 def reference(file, text):
-    return Tokenizer.from_file(tokenizer_path(file)).encode(text, add_special_tokens=False).ids
+    return library(file).encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("file,keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
@@ -28,7 +34,7 @@ def test_memo_equals_the_library(file, keeps_space, prose):
     r = random.Random(8)
     texts = ODD + ["".join(r.choices("ab'sE.,! \n\t5é́", k=r.randint(0, 40))) for _ in range(300)] + [prose(1, 200)]
     memo = MemoTokenizer(file, keeps_space, max_words=40)
-    tok = Tokenizer.from_file(tokenizer_path(file))
+    tok = library(file)
     got = [np.frombuffer(x, "<u4").tolist() for a in range(0, len(texts), 9) for x in memo.encode(texts[a:a + 9])]
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
