@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from shopfold.llm import common, decontamination, language_id, line_dedup, packing, simhash_dedup
 
-#: A document is rejected if no language, or none with this share of the text, is found.
-MIN_LANGUAGE_SHARE = 0.5
+#: A document is rejected if no language is found, or none with this share of the text.  A short
+#: clean text with one foreign line (a licence, say) has a main language of about a half.
+MIN_LANGUAGE_SHARE = 0.35
 
 
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
