@@ -28,6 +28,7 @@ MIN_TAIL = 0.5
 STEPS, RATE, DECAY = 120, 0.05, 1e-4
 #: Beginnings of words that count besides the word, and marks that are stripped from words.
 STEMS = (5, 7)
+SHAPE_STEPS = (0.03, 0.06, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 MARKS = ".,;:!?()*%$#&\"'|"
 
 
@@ -48,6 +49,8 @@ class _Buckets(dict):
 
 
 _BUCKETS = _Buckets()
+_STEP_BUCKETS = {(k, t, reached): zlib.crc32(f"={k}:{t}:{reached}".encode()) >> (32 - BUCKET_BITS)
+                 for k in range(SHAPES) for t in SHAPE_STEPS for reached in (False, True)}
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +69,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     shape = np.array([1.0 if not words else 0.0, upper / max(1, letters), digits / size * 5,
                       marks / size * 5, len(set(words)) / n, len(set(lines)) / len(lines),
                       min(2.0, sum(map(len, words)) / n / 10), np.log1p(n) / 10])
-    # Each measure counts as a number and as the step it lies in.
-    steps = np.unique([zlib.crc32(f"={k}:{int(x * 10)}".encode()) >> (32 - BUCKET_BITS) for k, x in enumerate(shape.tolist())])
+    # Each measure counts as a number and by the steps it reaches and does not reach.
+    steps = [_STEP_BUCKETS[k, t, x >= t] for k, x in enumerate(shape.tolist()) for t in SHAPE_STEPS]
     index = np.union1d(index, steps)
     return (np.concatenate([index, np.arange(1 << BUCKET_BITS, N_FEATURES)]),
             np.concatenate([np.ones(len(index)), shape]).astype(np.float32))
@@ -75,7 +78,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def contrast(rows: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features: int) -> np.ndarray:
     """How much the odds of a grade above a threshold change with each bucket, at the threshold
-    where it does most: words that tell grades apart get large steps, the others small ones."""
+    where it does most: words that tell grades apart get large steps, the others small ones
+    (the exponent widens the difference)."""
     best = np.zeros(n_features)
     for k in range(int(grades.max())):
         high = grades > k
@@ -85,7 +89,7 @@ def contrast(rows: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features:
         expect = (a + b) * n_low / (n_high + n_low)
         odds = np.log((b + 1) / (expect + 1))
         best = np.where(np.abs(odds) > np.abs(best), odds, best)
-    return np.abs(best)
+    return np.abs(best) ** 1.5
 
 
 class OrdinalModel:
