@@ -132,8 +132,9 @@ def test_cutting_stock_is_near_the_bound():
     assert (patterns @ sizes <= 128).all()
     made = patterns.T @ times
     assert (made <= demand).all()
-    used, packed = times.sum(), (sizes * made).sum()
-    assert packed / (used * 128) > 0.995 and packed > 0.95 * (sizes * demand).sum()
+    # No plan needs fewer sequences than the volume, or than the sizes that can't share one.
+    bound = max((sizes * demand).sum() / 128, demand[sizes > 64].sum() + demand[sizes == 64].sum() / 2)
+    assert times.sum() <= 1.02 * bound and (sizes * made).sum() > 0.95 * (sizes * demand).sum()
 
 
 def test_knapsack_prices():
