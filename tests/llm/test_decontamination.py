@@ -70,6 +70,21 @@ def test_leaks_against_brute_force(spark, edge_docs, prose):
     assert sorted((x.doc_id for x in left.collect()), key=repr) == sorted((i for i, _ in rows if i not in bad), key=repr)
 
 
+def test_replaced_runs_against_brute_force(spark, prose):
+    """One run of a repeated word differs: its shingle occurs many times, and is one of many."""
+    items, rows = [], []
+    for k, (n, run_of) in enumerate([(93, 11), (180, 20), (360, 40), (93, 11), (180, 20), (120, 13)]):
+        words = prose(700 + k, n, 4000).split()
+        for j, (a, b) in enumerate([("_", "."), ("0", "|"), ("---", "***")]):
+            items.append((10 * k + j, " ".join(words + [a] * run_of)))
+            rows.append((1000 + 10 * k + j, prose(40 + k, 9) + " " + " ".join(words + [b] * run_of)))
+    items += [(90, "la " * 30), (91, prose(95, 60) + " 0" * 60)]
+    rows += [(90, "la " * 26), (91, prose(95, 60) + " 0" * 45), (92, prose(95, 55) + " 0" * 60)]
+    want = brute(rows, items)
+    assert run(spark, make_docs(spark, rows), items) == want
+    assert len(want) >= 15
+
+
 def test_empty_tables(spark, prose):
     assert leaks(make_docs(spark, []), bench_df(spark, [(1, prose(1, 20))])).count() == 0
     assert leaks(make_docs(spark, [(1, prose(1, 20))]), bench_df(spark, [])).count() == 0
