@@ -2,8 +2,8 @@
 
 Lines are compared with white space collapsed.  A line goes if an earlier line (by doc_id, then
 line number) equals it, or lies within one edit (insertion, deletion or substitution of a
-character) of it; the earliest stays.  Lines of fewer than MIN_CHARS characters never go, and
-lines of fewer than MIN_EDIT_CHARS go only for an equal one.
+character) of it; the earliest stays.  Equal lines go whatever their length, down to MIN_CHARS
+(blank lines stay); lines of fewer than MIN_EDIT_CHARS go only for an equal one.
 
 Emitting every deletion variant of every line would be a row for each character of the corpus,
 so variants are emitted where a partner is possible, in two lossless steps:
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from shopfold.llm.common import fresh_path, shuffle_width, stored
 
-MIN_CHARS = 16
+MIN_CHARS = 1
 MIN_EDIT_CHARS = 32
 BLOCKS = 16
 #: Order of a line: documents by id, equal ids by text hash, then the line number.

@@ -82,6 +82,13 @@ def test_null_ids_come_first(spark, prose):
     assert got == {None: (line, 0, 0), 0: ("", 1, 0)}
 
 
+def test_short_equal_lines_go(spark, prose):
+    """A passage goes as a whole, with its short lines; blank lines stay."""
+    a, b = prose(1, 12), prose(2, 12)
+    got = run(make_docs(spark, [(1, f"{a}\nOf it.\n\n}}\n{b}"), (2, f"{a}\n Of  it.\n\n}}\n{b}"), (3, "x\nOf it\nx\n}")]))
+    assert got == {1: (f"{a}\nOf it.\n\n}}\n{b}", 0, 0), 2: ("", 4, 0), 3: ("x\nOf it", 2, 0)}
+
+
 def test_empty_table(spark):
     assert dedup_lines(make_docs(spark, [])).count() == 0
 
