@@ -107,27 +107,37 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
-                   max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component),
-    doc_key."""
-    rows = stored(fingerprints(docs, shingle_words), "fingerprints")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+def _firsts(rows: DataFrame, one, max_bits: int) -> DataFrame:
+    """Each fp of `rows` with the least `one` of its component."""
+    classes = stored(rows.groupBy("fp").agg(F.min(one).alias("first_id")), "classes")
     roots = components(near_links(classes.select("fp"), max_bits))
     rooted = stored(classes.join(roots.withColumnRenamed("node", "fp"), "fp"), "rooted")
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     merged = stored(rooted.join(lowest, "root").select("fp", "component_id"), "merged")
-    answers = stored(classes.join(merged, "fp", "left").select(
+    return stored(classes.join(merged, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")), "answers")
-    return rows.join(answers, "fp").select(
+
+
+def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
+                   max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component),
+    doc_key."""
+    rows = stored(fingerprints(docs, shingle_words), "fingerprints")
+    return rows.join(_firsts(rows, F.col("doc_id"), max_bits), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "doc_key")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                      max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of each component, with their columns (rows that
-    repeat that doc_id stay; a component of null ids alone stays)."""
-    groups = simhash_groups(docs, shingle_words, max_bits)
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_key").distinct()
+    """One row of each component, with its columns: the smallest doc_id (null ids last), then the
+    smallest doc_key.  Of rows that repeat both id and text any one stays."""
+    rows = stored(fingerprints(docs, shingle_words), "fingerprints")
+    one = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key")
+    stays = F.col("doc_key") == F.col("component_id.doc_key")
+    listed = stored(rows.join(_firsts(rows, one, max_bits), "fp").groupBy("doc_key")
+                    .agg(F.max(stays).alias("stays"), F.count("*").alias("copies"))
+                    .filter(~F.col("stays") | (F.col("copies") > 1)), "listed_copies")
     key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
-    return docs.join(gone, key == gone["doc_key"], "left_anti")
+    twice = listed.filter("stays")
+    return docs.join(listed, key == listed["doc_key"], "left_anti").unionAll(
+        docs.join(twice, key == twice["doc_key"], "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -81,5 +81,16 @@ def test_drop_keeps_one_of_each_and_all_columns(spark, prose):
     assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(2, a), (2, b)])
 
 
+def test_one_row_of_each_component_stays(spark, prose):
+    """Repeated rows, one id with two near texts, and a component of null ids alone."""
+    a, b, c = prose(1, 600), prose(2, 50), prose(3, 50)
+    near = a.replace(" ", "  ", 3)
+    rows = [(2, a), (2, a), (2, near), (7, a), (None, a), (4, b), (4, b), (4, b)] + [(None, c)] * 20 + [(2, prose(4, 50))]
+    left = drop_near_copies(clash(make_docs(spark, rows)))
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    assert len(got) == 4 and sorted(i for i, _ in got if i is not None) == [2, 2, 4]
+    assert {(4, b), (None, c), (2, prose(4, 50))} < set(got) and ({(2, a), (2, near)} & set(got))
+
+
 def test_empty_table(spark):
     assert simhash_groups(make_docs(spark, [])).count() == 0
