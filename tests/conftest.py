@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from shopfold.session import build_session
@@ -16,11 +13,4 @@ def spark():
     s.stop()
 
 
-def raw_df(spark, docs):
-    """(source_site, platform, raw) from (site, platform, json text) tuples."""
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame(docs, "source_site string, platform string, doc string")
-    return df.select("source_site", "platform", F.parse_json("doc").alias("raw"))
-
-
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import raw_df
+from helpers import raw_df
 from shopfold.operators.flatten import accepted, flatten_orders, rejected
 from shopfold.operators.merge import dedup_latest, merge_status_only, merge_upsert
 from shopfold.operators.status import normalize_status

@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_harness import compare, duck
 
 DEFAULT = ["flatten_gomag", "normalize_status", "dedup_latest", "merge_upsert", "sync_all",

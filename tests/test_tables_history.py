@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from shopfold.operators.feed import feed_membership
 from shopfold.operators.history import append_history, retain
 from shopfold.operators.tables import (append_rows, ensure_table, install_snapshot,
