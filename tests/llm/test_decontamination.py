@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import clash, make_docs
+from tables import clash, make_docs
 
 from shopfold.llm.decontamination import drop_leaking, hamming_candidates, leaks
 

@@ -2,7 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
-from conftest import clash, make_docs
+from tables import clash, make_docs
 
 from shopfold.llm.exact_dedup import DigestIndex, dedup_batch
 

@@ -1,6 +1,6 @@
 import random
 
-from conftest import clash, make_docs
+from tables import clash, make_docs
 
 from shopfold.llm import line_dedup
 from shopfold.llm.line_dedup import MIN_CHARS, MIN_EDIT_CHARS, dedup_lines

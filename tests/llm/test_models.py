@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from conftest import clash, make_docs
+from tables import clash, make_docs
 from pyspark.sql import functions as F
 
 from shopfold.llm import language_id, quality

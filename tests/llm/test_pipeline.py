@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import clash, make_docs
+from tables import clash, make_docs
 from pyspark.sql import functions as F
 
 import corpus_pipeline

@@ -2,7 +2,7 @@ import random
 import re
 
 import xxhash
-from conftest import clash, make_docs
+from tables import clash, make_docs
 
 from shopfold.llm.simhash_dedup import drop_near_copies, fingerprint, near_links, simhash_groups
 from shopfold.llm.components import components

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import clash, make_docs
+from tables import clash, make_docs
 
 from shopfold.llm import suffix_dedup
 from shopfold.llm.suffix_dedup import longest_previous_factors, previous_smaller, remove_repeats

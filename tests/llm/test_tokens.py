@@ -7,7 +7,7 @@ from functools import cache
 
 import numpy as np
 import pytest
-from conftest import clash, make_docs
+from tables import clash, make_docs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
