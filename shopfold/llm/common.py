@@ -35,6 +35,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
@@ -62,6 +66,18 @@ def key_id(column: str = "doc_id"):
     return F.col(column).cast("long")
 
 
+#: Stands for a null id where rows go through Python, which would turn ids beside nulls into floats.
+NO_ID = (1 << 63) - 1
+
+
+def id_in(column: str):
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID)).alias(column)
+
+
+def id_out(column: str):
+    return F.when(F.col(column) < NO_ID, F.col(column)).alias(column)
+
+
 # --- tokenizers ---------------------------------------------------------------
 
 def tokenizer_path(name: str) -> str:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shopfold.llm import (
-    common, decontamination, exact_dedup, language_id, line_dedup, packing, quality, simhash_dedup,
-    suffix_dedup, token_counts, token_output)
+    centroids, common, decontamination, exact_dedup, language_id, line_dedup, packing, quality, ranked_search,
+    simhash_dedup, suffix_dedup, token_counts, token_output, topk_search)
 
 
 def op1_suffix_dedup(spark, sf_dir):
@@ -58,8 +58,22 @@ def op10_language_id(spark, sf_dir):
     return language_id.language_id(common.documents(spark, sf_dir)).drop("doc_key")
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.clustering_report(common.embeddings(spark, sf_dir))
+
+
+def op12_topk_search(spark, sf_dir):
+    is_query = F.col("vec_id") % topk_search.QUERY_EVERY == 0
+    return topk_search.exact_top_k(common.embeddings(spark, sf_dir), is_query).drop("query_row")
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.ranked_search(common.documents(spark, sf_dir), common.benchmark(spark, sf_dir)).drop("item_row")
+
+
 OPERATORS = (op1_suffix_dedup, op2_token_counts, op3_line_dedup, op4_quality_grades, op5_exact_dedup,
-             op6_token_output, op7_packing, op8_decontamination, op9_simhash_dedup, op10_language_id)
+             op6_token_output, op7_packing, op8_decontamination, op9_simhash_dedup, op10_language_id,
+             op11_centroid_clustering, op12_topk_search, op13_ranked_search)
 
 
 def queries() -> dict:
@@ -67,4 +81,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op5_exact_dedup": exact_dedup.ORACLE_SQL, "op11_centroid_clustering": centroids.oracle_sql(),
+            "op12_topk_search": topk_search.ORACLE_SQL, "op13_ranked_search": ranked_search.ORACLE_SQL}
