@@ -160,7 +160,8 @@ class ItemTree:
         low = np.maximum(self.kth, 1)
         self.weakest = [low]
         for upper in self.levels[1:]:
-            low = low.reshape(len(upper), -1).min(axis=1)
+            low = low.reshape(-1, FAN).min(axis=1)
+            low = np.concatenate([low, np.full(len(upper) - len(low), NO_ID)])  # padding
             self.weakest.append(low)
 
     def impacts(self, ids: np.ndarray, tfs: np.ndarray, lengths: np.ndarray, indptr: np.ndarray):
