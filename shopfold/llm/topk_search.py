@@ -132,23 +132,22 @@ def block_top_k(v: np.ndarray, q: np.ndarray, own: np.ndarray, floor: np.ndarray
 
 def _searched(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_row, query_id, vec_id, score): the k best of each group for each of its queries.
-    Both frames: dim, block, part, row, vec_id, v; queries also floor."""
+    Vectors: dim, block, part, row, vec_id, v; queries: q_dim, q_block, q_part, q_row, q_id, q, floor."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         left = left.sort_values("vec_id", kind="stable")
         rows = left["row"].to_numpy()
         by_row = np.argsort(rows)
-        at = np.searchsorted(rows, right["row"].to_numpy(), sorter=by_row)
-        place = by_row[np.minimum(at, len(rows) - 1)]
-        own = np.where(rows[place] == right["row"].to_numpy(), place, -1)
-        q, c, s = block_top_k(np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy()), own,
+        asking = right["q_row"].to_numpy()
+        place = by_row[np.minimum(np.searchsorted(rows, asking, sorter=by_row), len(rows) - 1)]
+        own = np.where(rows[place] == asking, place, -1)
+        q, c, s = block_top_k(np.stack(left["v"].to_numpy()), np.stack(right["q"].to_numpy()), own,
                               right["floor"].to_numpy(), k)
-        return pd.DataFrame({"query_row": right["row"].to_numpy()[q], "query_id": right["vec_id"].to_numpy()[q],
+        return pd.DataFrame({"query_row": asking[q], "query_id": right["q_id"].to_numpy()[q],
                              "vec_id": left["vec_id"].to_numpy()[c], "score": s})
 
-    keys = ["dim", "block", "part"]
-    return vectors.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
+    return vectors.groupBy("dim", "block", "part").cogroup(queries.groupBy("q_dim", "q_block", "q_part")).applyInPandas(
         run, "query_row long, query_id long, vec_id long, score long")
 
 
@@ -169,16 +168,17 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, block: int = B
     deal = F.xxhash64("row")
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     cards = kept.withColumn("block", F.pmod(deal, F.lit(n_blocks)).cast("int"))
-    asks = asked.withColumn("part", F.pmod(deal, F.lit(n_parts)).cast("int"))
+    asks = asked.select(F.col("row").alias("q_row"), F.col("vec_id").alias("q_id"), F.col("v").alias("q"),
+                        F.col("dim").alias("q_dim"), F.pmod(deal, F.lit(n_parts)).cast("int").alias("q_part"))
     first = stored(_searched(
         cards.filter("block = 0").withColumn("part", numbers(n_parts)),
-        asks.withColumn("block", F.lit(0)).withColumn("floor", F.lit(UNKNOWN)), k), "topk_first")
+        asks.withColumn("q_block", F.lit(0)).withColumn("floor", F.lit(UNKNOWN)), k), "topk_first")
     found = first
     if n_blocks > 1:
-        floors = first.groupBy(F.col("query_row").alias("row")).agg(
+        floors = first.groupBy(F.col("query_row").alias("q_row")).agg(
             F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-        rest = (asks.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(UNKNOWN)))
-                .withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(n_blocks - 1)))))
+        rest = (asks.join(floors, "q_row", "left").withColumn("floor", F.coalesce("floor", F.lit(UNKNOWN)))
+                .withColumn("q_block", F.explode(F.sequence(F.lit(1), F.lit(n_blocks - 1)))))
         found = first.unionByName(_searched(
             cards.filter("block > 0").withColumn("part", numbers(n_parts)), rest, k))
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id"))
