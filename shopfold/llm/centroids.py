@@ -128,8 +128,9 @@ def _moved(coefficients: DataFrame, centroids: np.ndarray, matrix: np.ndarray) -
                 sums[c] += (mine if small else mine.astype(object)).sum(axis=0).astype(object)
                 counts[c] += len(mine)
         used = np.nonzero(counts)[0]
-        yield pd.DataFrame({"cluster": used.astype(np.int32), "n": counts[used],
-                            "sums": [[str(s) for s in sums[c]] for c in used]})
+        if len(used):
+            yield pd.DataFrame({"cluster": used.astype(np.int32), "n": counts[used],
+                                "sums": [[str(s) for s in sums[c]] for c in used]})
 
     parts = coefficients.mapInPandas(run, "cluster int, n long, sums array<string>")
     totals = parts.select("cluster", "n", F.posexplode("sums").alias("at", "part")).groupBy("cluster", "at").agg(
