@@ -92,6 +92,24 @@ def first_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
     return patterns, times
 
 
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination over the few rows that a column touches.  (np.linalg.inv can wait
+    for ever for its threads when the process has started Spark's JVM before.)"""
+    m = len(matrix)
+    work = np.hstack([matrix.astype(float), np.eye(m)])
+    for c in range(m):
+        pivot = c + int(np.argmax(np.abs(work[c:, c])))
+        if not work[pivot, c]:
+            raise np.linalg.LinAlgError("Singular matrix")
+        if pivot != c:
+            work[[c, pivot]] = work[[pivot, c]]
+        work[c] /= work[c, c]
+        rows = np.flatnonzero(work[:, c])
+        rows = rows[rows != c]
+        work[rows] -= work[rows, c][:, None] * work[c]
+    return work[:, m:]
+
+
 def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_columns: int = MAX_COLUMNS,
                   gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows: how many of each size) and the whole number of times to use each.
@@ -104,10 +122,10 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
     uneven = demand * (1 + 1e-6 * np.random.default_rng(7).random(m))
     patterns, x = first_patterns(sizes, uneven, capacity)
     basis = patterns.T.copy()
-    inverse = np.linalg.inv(basis)
+    inverse = inverse_of(basis)
     for step in range(max_columns):
         if step and step % 100 == 0:  # clear rounding errors
-            inverse = np.linalg.inv(basis)
+            inverse = inverse_of(basis)
             x = np.maximum(inverse @ uneven, 0.0)
         value, column = price(inverse.sum(axis=0), sizes, capacity)
         if value <= 1 + gap:
