@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfold.schema import HISTORY_KEEP_PER_SITE, HISTORY_SCHEMA
-from shopfold.session import path_exists
+from shopfold.session import path_exists, scratch_path
 
 
 def newest_per_site(history: DataFrame, n: int, site_id: str | None = None) -> DataFrame:
@@ -35,32 +33,20 @@ def append_history(history: DataFrame, runs: DataFrame,
     return retain(history.unionByName(runs.select(*history.columns)), keep)
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions of a stored history, oldest first (old ones are removed, so a few)."""
-    jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(path)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(top):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(top))
-    return [n for n in names if n.startswith("v") and path_exists(spark, f"{path}/{n}/_SUCCESS")]
-
-
 def stored_history(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of the history under ``path`` (empty if there is none)."""
-    versions = _versions(spark, path)
-    if not versions:
+    """The history under ``path`` (empty if there is none)."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    return spark.read.schema(HISTORY_SCHEMA).parquet(f"{path}/{versions[-1]}")
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_SCHEMA.names)
 
 
 def store_history(spark: SparkSession, path: str, runs: DataFrame,
-                  keep: int = HISTORY_KEEP_PER_SITE) -> str:
-    """K7: write the history with ``runs`` added and the retention applied as a new version.  The
-    history holds at most ``keep`` rows per site, so rewriting it stays small; readers never see
-    a half-written version, and a failed write leaves the last one."""
-    old = _versions(spark, path)
-    number = int(old[-1][1:11]) + 1 if old else 0
-    target = f"{path}/v{number:010d}-{uuid.uuid4().hex[:8]}"
-    append_history(stored_history(spark, path), runs, keep).write.parquet(target)
-    return target
+                  keep: int = HISTORY_KEEP_PER_SITE) -> None:
+    """K7: add ``runs`` to the stored history and apply the retention.  The history is partitioned
+    by site, and only the sites of the runs are read and overwritten (from a staged copy)."""
+    staging = scratch_path(spark, "staging", unique=True)
+    new = runs.select(*HISTORY_SCHEMA.names)
+    old = stored_history(spark, path).join(new.select("site_id").distinct(), "site_id", "left_semi")
+    append_history(old.select(*HISTORY_SCHEMA.names), new, keep).write.parquet(staging)
+    (spark.read.schema(HISTORY_SCHEMA).parquet(staging).repartition("site_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("site_id").parquet(path))

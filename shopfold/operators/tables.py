@@ -1,35 +1,25 @@
-"""Fact-table lifecycle on the session catalog (K1, K2, K5, K6, K8, and the
-install step of K3/K4).
-
-Parquet tables in the session catalog refuse ``MERGE INTO``, so a merge is a
-DataFrame (:mod:`shopfold.operators.merge`) written to a *new* snapshot
-directory and then installed partition by partition with
-``ALTER TABLE ... PARTITION (source_site=...) SET LOCATION``.  A path that is
-being read is never overwritten; each site's switch is one catalog update;
-a failed job leaves the old locations in place; readers of an old snapshot
-keep working until :func:`vacuum` removes unreferenced snapshots.  The
-staging data of the reference is the source DataFrame itself, so there is no
-staging table to drop.
+"""Fact-table lifecycle on the session catalog (K1, K2, K5, K6, K8, and K3/K4 on a table).
+
+The table is partitioned by site and order month.  Parquet tables in the session catalog refuse
+``MERGE INTO``, so a merge is a DataFrame (:mod:`shopfold.operators.merge`) over the partitions
+that the source can change: those that hold a matching key and those its rows belong to.  The
+merged rows are staged as Parquet and written with a dynamic partition overwrite, so the other
+months of a site, however large it is, are neither read in full nor rewritten.  One run writes a
+table at a time, as the scheduled runs do.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfold.schema import FACT_DDL, STANDARD_COLUMNS
+from shopfold.schema import FACT_DDL, MATCH_KEYS, STANDARD_COLUMNS
 from shopfold.session import scratch_path
 
-SNAPSHOT_DIR = "_snapshots"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+#: The partition of rows without an order date.
+UNDATED = "undated"
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -43,173 +33,147 @@ def _q(s: str) -> str:
 
 
 def ensure_table(spark: SparkSession, name: str, location: str | None = None) -> str:
-    """K1: create the fact table if it does not exist (13 columns, by site)."""
+    """K1: create the fact table if it does not exist (13 columns, by site and order month)."""
     loc = location or table_location(spark, name)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({FACT_DDL}) USING parquet "
-              f"PARTITIONED BY (source_site) LOCATION '{_q(loc)}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({FACT_DDL}, order_month string) USING parquet "
+              f"PARTITIONED BY (source_site, order_month) LOCATION '{_q(loc)}'")
     return loc
 
 
-def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """K2: append rows (a no-op for an empty frame; Spark batches the writes).
-
-    ``insertInto`` is positional and a partitioned table lists its partition
-    column last, so the rows are selected in the table's own column order.
-    """
-    rows.select(*spark.table(name).columns).write.insertInto(name)
-
+def with_month(rows: DataFrame) -> DataFrame:
+    month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit(UNDATED))
+    return rows.select(*STANDARD_COLUMNS, month.alias("order_month"))
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+def _in_table_order(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Rows as ``insertInto`` takes them (by position, partition columns last).  The rebalance
+    gives a small partition one file and a large one several, so a hot site is no single task."""
+    return rows.select(*spark.table(name).columns).hint("rebalance", "source_site", "order_month")
 
-class ConcurrentMergeError(RuntimeError):
-    """Another run installed a snapshot of the same site while this one was merging."""
 
-
-def _escaped(spark: SparkSession, site: str) -> str:
-    """A site id as Spark writes it in a partition directory's name."""
-    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(site)
-
-
-def _unescaped(spark: SparkSession, name: str) -> str:
-    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+def append_rows(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """K2: append rows (a no-op for an empty frame; Spark batches the writes)."""
+    _in_table_order(spark, name, with_month(rows)).write.insertInto(name)
 
 
-def _partition_sites(spark: SparkSession, name: str) -> list[str]:
-    """Sites with a partition (one row per site)."""
-    return [_unescaped(spark, r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+def read_sites_of(spark: SparkSession, name: str, sites: list[str]) -> DataFrame:
+    """The current rows of some sites (static partition pruning)."""
+    return spark.table(name).filter(F.col("source_site").isin(*sites)).select(*STANDARD_COLUMNS)
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
-        F.col("col_name") == "Location").collect()[0]["data_type"].rstrip("/")
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str):
+    """Inserts into a table take the mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def partition_locations(spark: SparkSession, name: str, sites: list[str]) -> dict[str, str | None]:
-    """Where each site's rows lie now (None: the site has no partition)."""
-    known = set(_partition_sites(spark, name))
-    out: dict[str, str | None] = {}
-    for site in sites:
-        if site not in known:
-            out[site] = None
-            continue
-        d = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (source_site='{_q(site)}')")
-        out[site] = d.filter(F.col("col_name") == "Location").collect()[0]["data_type"]
-    return out
+# --- merge --------------------------------------------------------------------
 
+def staging_folder(spark: SparkSession) -> str:
+    return scratch_path(spark, "staging", unique=True)
 
-def _point(spark: SparkSession, name: str, site: str, path: str, exists: bool) -> None:
-    spec = f"source_site='{_q(site)}'"
-    if exists:
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{_q(path)}'")
-    else:
-        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION '{_q(path)}'")
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """K6: remove a staging folder."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
 
-def _written_sites(spark: SparkSession, snap: str) -> dict[str, str]:
-    """site -> directory of the partitions that a snapshot holds (one per site)."""
-    fs, hp = _fs(spark, snap)
-    out = {}
-    for st in fs.listStatus(hp):
-        d = st.getPath().getName()
-        if d.startswith("source_site="):
-            out[_unescaped(spark, d.split("=", 1)[1])] = f"{snap}/{d}"
-    return out
 
+def stage_source(spark: SparkSession, source: DataFrame, path: str) -> DataFrame:
+    """The deduplicated source of a merge, written once: the merge reads it more than once, and
+    the pipeline behind it runs once."""
+    from shopfold.operators.merge import dedup_latest
+    cols = [*STANDARD_COLUMNS, *(["item_pos"] if "item_pos" in source.columns else [])]
+    with_month(dedup_latest(source.select(*cols))).write.parquet(path)
+    return spark.read.parquet(path)
 
-def install_snapshot(spark: SparkSession, name: str, rows: DataFrame, sites: list[str] | None = None,
-                     expected: dict[str, str | None] | None = None) -> str:
-    """Write ``rows`` (the new content of their sites) to a fresh snapshot, then point each
-    site's partition at it.
 
-    The sites are those of the rows.  With ``sites`` given, listed sites without rows become
-    empty, and a row of a site outside the list is an error (nothing is installed).  With
-    ``expected`` (locations read before the merge), a site that moved meanwhile is an error, so a
-    run never undoes another run's merge.  A NULL site cannot be addressed and is an error.
-    """
-    snap = f"{_location(spark, name)}/{SNAPSHOT_DIR}/{uuid.uuid4().hex}"
-    rows.select(*STANDARD_COLUMNS).write.mode("error").partitionBy("source_site").parquet(snap)
-    written = _written_sites(spark, snap)
-    if NULL_PARTITION in written:
-        raise ValueError("rows without a source_site cannot be installed")
-    if sites is not None:
-        if uncovered := sorted(set(written) - set(sites)):
-            raise ValueError(f"rows of sites outside the run: {uncovered}")
-        for site in sites:
-            if site not in written:
-                written[site] = f"{snap}/source_site={_escaped(spark, site)}"
-                fs, hp = _fs(spark, written[site])
-                fs.mkdirs(hp)
-    now = partition_locations(spark, name, sorted(written))
-    if expected is not None:
-        if moved := [s for s in written if now[s] != expected.get(s)]:
-            raise ConcurrentMergeError(f"changed while merging: {moved}")
-    for site, path in written.items():
-        _point(spark, name, site, path, now[site] is not None)
-    spark.catalog.refreshTable(name)
-    return snap
+def _partitions(rows: DataFrame) -> list[tuple[str, str]]:
+    """The distinct (site, month) of some rows: a row for each partition, not for each order."""
+    return sorted(tuple(r) for r in rows.select("source_site", "order_month").distinct().collect())
 
 
-def read_sites_of(spark: SparkSession, name: str, sites: list[str]) -> DataFrame:
-    """The current rows of some sites (static partition pruning)."""
-    return spark.table(name).filter(F.col("source_site").isin(*sites)).select(*STANDARD_COLUMNS)
+def held_partitions(spark: SparkSession, name: str, staged: DataFrame, sites: list[str]) -> list[tuple[str, str]]:
+    """Partitions of these sites that hold a key of the source: an order may have been stored
+    under another month than it has now.  Reads the four key columns only."""
+    keys = spark.table(name).filter(F.col("source_site").isin(*sites)).select(*MATCH_KEYS, "order_month")
+    return _partitions(keys.join(staged.select(*MATCH_KEYS), MATCH_KEYS, "left_semi"))
 
 
-def stage_source(spark: SparkSession, source: DataFrame) -> DataFrame:
-    """The deduplicated source of a merge, written once: the merge reads it more than once, and
-    the pipeline behind it runs once."""
-    from shopfold.operators.merge import dedup_latest
-    path = scratch_path(spark, "staging", unique=True)
-    cols = [*STANDARD_COLUMNS, *(["item_pos"] if "item_pos" in source.columns else [])]
-    dedup_latest(source.select(*cols)).select(*STANDARD_COLUMNS).write.parquet(path)
-    return spark.read.parquet(path)
+def _in_partitions(partitions: list[tuple[str, str]]) -> Column:
+    """A filter on the partition columns, so that other directories are not read."""
+    months: dict[str, list[str]] = {}
+    for site, month in partitions:
+        months.setdefault(site, []).append(month)
+    found = F.lit(False)
+    for site, listed in months.items():
+        found = found | ((F.col("source_site") == site) & F.col("order_month").isin(*listed))
+    return found
 
 
 def merge_into_table(spark: SparkSession, name: str, source: DataFrame, sites: list[str] | None = None,
-                     status_only: bool = False, attempts: int = 3) -> str | None:
-    """K3/K4 on a table: merge ``source`` into the partitions of the sites it has rows of.
-
-    The source is staged once; only its sites' partitions are read and rewritten, so the cost
-    follows the source's sites, not the table.  With ``sites`` given, a row of another site is
-    an error.  The merged frame goes to a new snapshot, so the read and the write never touch the
-    same files; if another run moved a site meanwhile, the merge is done again on its result.
-    Snapshots that nothing refers to any more are removed at the end (young ones are spared).
+                     status_only: bool = False, staging: str | None = None) -> list[tuple[str, str]]:
+    """K3/K4 on a table: merge ``source`` into the partitions it can change; returns those.
+
+    With ``sites`` given, a row of another site is an error; a row without a site always is.  The
+    staged source is dropped at the end, whatever happens (K6); the merged rows are dropped once
+    they are in the table, so after a failed overwrite they can still be written.
     """
     from shopfold.operators.merge import merge_staged, merge_status_only
-    staged = stage_source(spark, source)
-    # One row per site.
-    touched = sorted(r[0] for r in staged.select("source_site").distinct().collect() if r[0] is not None)
-    if sites is not None and (uncovered := sorted(set(touched) - set(sites))):
-        raise ValueError(f"rows of sites outside the run: {uncovered}")
-    if not touched:
-        return None
-    for attempt in range(attempts):
-        before = partition_locations(spark, name, touched)
-        target = read_sites_of(spark, name, touched)
+    staging = staging or staging_folder(spark)
+    try:
+        staged = stage_source(spark, source, f"{staging}/source")
+        wanted = _partitions(staged.withColumn("source_site", F.coalesce("source_site", F.lit(""))))
+        touched = sorted({site for site, _ in wanted})
+        if touched and touched[0] == "":
+            raise ValueError("rows without a source_site cannot be merged")
+        if sites is not None and (uncovered := sorted(set(touched) - set(sites))):
+            raise ValueError(f"rows of sites outside the run: {uncovered}")
+        if not touched:
+            return []
+        held = held_partitions(spark, name, staged, touched)
+        changed = held if status_only else sorted({*held, *wanted})
+        if not changed:
+            return []
+        target = spark.table(name).filter(_in_partitions(changed)).select(*STANDARD_COLUMNS)
         merged = (merge_status_only(target, staged, dedup=False) if status_only
                   else merge_staged(target, staged))
-        try:
-            snap = install_snapshot(spark, name, merged, touched, before)
-            break
-        except ConcurrentMergeError:
-            spark.catalog.refreshTable(name)
-            if attempt == attempts - 1:
-                raise
-    vacuum(spark, name)
-    return snap
+        with_month(merged).write.parquet(f"{staging}/merged")
+        rows = spark.read.parquet(f"{staging}/merged")
+        with _overwriting(spark, "dynamic"):
+            _in_table_order(spark, name, rows).write.insertInto(name, overwrite=True)
+        # Months that all their orders left are no part of the overwrite.
+        for site, month in sorted(set(changed) - set(_partitions(rows))):
+            _empty(spark, name, source_site=site, order_month=month)
+        drop_folder(spark, f"{staging}/merged")
+        return changed
+    finally:
+        drop_folder(spark, f"{staging}/source")
+
+
+# --- truncate -----------------------------------------------------------------
+
+def _empty(spark: SparkSession, name: str, **fixed: str) -> None:
+    """Overwrite a partition (or all with a fixed site, or all) with no rows."""
+    spec = ", ".join(f"{c}='{_q(fixed[c])}'" if c in fixed else c for c in ("source_site", "order_month"))
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+                        for f in spark.table(name).schema.fields if f.name not in fixed)
+    with _overwriting(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {columns} WHERE false")
 
 
 def truncate_table(spark: SparkSession, name: str, sites: list[str] | None = None) -> None:
-    """K5: empty the table (or some sites): each partition is pointed at a new empty directory,
-    so rows appended later are the only ones it has."""
-    known = set(_partition_sites(spark, name))
-    snap = f"{_location(spark, name)}/{SNAPSHOT_DIR}/{uuid.uuid4().hex}"
-    for site in (sites if sites is not None else sorted(known)):
-        path = f"{snap}/source_site={_escaped(spark, site)}"
-        fs, hp = _fs(spark, path)
-        fs.mkdirs(hp)
-        _point(spark, name, site, path, site in known)
-    spark.catalog.refreshTable(name)
+    """K5: empty the table, or some sites (``TRUNCATE TABLE`` refuses tables with a location)."""
+    if sites is None:
+        _empty(spark, name)
+    for site in sites or []:
+        _empty(spark, name, source_site=site)
 
 
 def truncate_all(spark: SparkSession, name: str, sites: list[str]) -> list[tuple[str, str, str]]:
@@ -224,36 +188,6 @@ def truncate_all(spark: SparkSession, name: str, sites: list[str]) -> list[tuple
     return out
 
 
-def referenced_snapshots(spark: SparkSession, name: str) -> set[str]:
-    paths = partition_locations(spark, name, _partition_sites(spark, name)).values()
-    return {p.split(f"/{SNAPSHOT_DIR}/")[1].split("/")[0] for p in paths if p and f"/{SNAPSHOT_DIR}/" in p}
-
-
-#: A snapshot younger than this may still be written by another merge.
-VACUUM_MIN_AGE_SECONDS = 24 * 3600
-
-
-def unreferenced_snapshots(spark: SparkSession, name: str, min_age_seconds: float = 0) -> list:
-    """Paths of snapshots that no partition points at (the listing comes before the references,
-    so a snapshot installed in between counts as referenced)."""
-    fs, hp = _fs(spark, f"{_location(spark, name)}/{SNAPSHOT_DIR}")
-    if not fs.exists(hp):
-        return []
-    found = [(st.getPath(), st.getModificationTime() / 1000) for st in fs.listStatus(hp)]
-    keep = referenced_snapshots(spark, name)
-    return [p for p, changed in found
-            if p.getName() not in keep and time.time() - changed >= min_age_seconds]
-
-
-def vacuum(spark: SparkSession, name: str, min_age_seconds: float = VACUUM_MIN_AGE_SECONDS) -> list[str]:
-    """Delete snapshot directories no partition points at any more (K6 cleanup)."""
-    old = unreferenced_snapshots(spark, name, min_age_seconds)
-    fs, _ = _fs(spark, _location(spark, name))
-    for path in old:
-        fs.delete(path, True)
-    return [p.getName() for p in old]
-
-
 def export_csv(rows: DataFrame, path: str) -> None:
     """K8: CSV export with a header row.
 

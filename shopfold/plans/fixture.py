@@ -26,6 +26,9 @@ TARGET_END = _dt.datetime(1999, 1, 1)
 SOURCE_START = _dt.datetime(1998, 1, 1)
 TARGET_SYNCED_AT = _dt.datetime(1999, 1, 1, 6, 0, 0)
 TARGET_STATUS = "order_processed"
+# The quarter of the merge whose orders were stored under an earlier month.
+MOVED_FROM = _dt.datetime(1998, 1, 1)
+MOVED_TO = _dt.datetime(1998, 3, 31)
 
 
 # Landed inputs are listed once per session: the DataFrame (and its file

@@ -688,8 +688,12 @@ def table_sql() -> dict[str, str]:
     q["append_rows"] = with_base(f"x AS (SELECT 1) SELECT {FACT} FROM flat")
     q["ensure_table"] = with_base(
         "x AS (SELECT 1) SELECT source_site, count(*) AS row_count FROM flat GROUP BY ALL")
-    q["drop_staging"] = f"""SELECT source_site, count(*) AS row_count, CAST(0 AS BIGINT) AS snapshots_left
+    q["drop_staging"] = f"""SELECT source_site, count(*) AS row_count, CAST(0 AS BIGINT) AS staging_left
 FROM ({sql_catalog_core()["merge_upsert"]}) GROUP BY ALL"""
+    moved = (f"CASE WHEN source_site = '{fx.RUN_SITE}' AND order_date BETWEEN {ts(fx.MOVED_FROM)} AND "
+             f"{ts(fx.MOVED_TO)} THEN order_date ELSE order_date - INTERVAL 40 DAY END")
+    q["merge_moved_months"] = with_base(DEDUP + f""" SELECT {FACT.replace("order_date", moved + " AS order_date")},
+       strftime({moved}, '%Y-%m') AS order_month FROM dedup""")
     q["merge_named_sites"] = with_base(DEDUP + f""" SELECT {FACT.replace("source_site", SITE_RENAMED)} FROM dedup""")
     q["truncate_all"] = with_base(sites_cte() + """
 SELECT site_id, 'truncated' AS status, CAST(0 AS BIGINT) AS rows_after,

@@ -11,7 +11,7 @@ from shopfold.operators.history import (newest_per_site, retain, store_history,
                                          stored_history)
 from shopfold.operators.report import (dashboard_summary, mark_sites, report_totals,
                                        site_report, sync_status)
-from shopfold.operators.tables import ensure_table, install_snapshot, read_sites_of
+from shopfold.operators.tables import append_rows, ensure_table, read_sites_of
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _out, register
 from shopfold.plans.sync import run, run_into_table, run_result_rows, run_sites
@@ -45,7 +45,7 @@ def _run_table(spark, sf_dir, mode, site_ids=None, raw=None, sites=None):
     sites = fx.sites(spark, sf_dir) if sites is None else sites
     name = f"run_{uuid.uuid4().hex[:12]}"
     ensure_table(spark, name)
-    install_snapshot(spark, name, run_target(spark, sf_dir))
+    append_rows(spark, name, run_target(spark, sf_dir))
     results = run_into_table(spark, name, fx.raw(spark, sf_dir) if raw is None else raw, sites,
                              fx.mappings(spark, sf_dir), fx.AS_OF, mode, site_ids,
                              fx.AS_OF + fx.RUN_TIME)

@@ -7,104 +7,127 @@ from pyspark.sql import functions as F
 
 from helpers import SF_SMALL
 from shopfold.operators.feed import feed_membership
-from shopfold.operators.history import append_history, retain
-from shopfold.operators.tables import (append_rows, ensure_table, install_snapshot,
-                                       merge_into_table, referenced_snapshots, truncate_table,
-                                       unreferenced_snapshots, vacuum)
+from shopfold.operators.history import append_history, retain, store_history, stored_history
+from shopfold.operators.tables import append_rows, ensure_table, merge_into_table, truncate_table
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import merge_inputs, registry
 from shopfold.schema import HISTORY_SCHEMA, STANDARD_COLUMNS
 
 
-def test_snapshot_merge_is_idempotent_and_vacuums(spark):
+def _table(spark, prefix, rows=None):
+    name = f"{prefix}_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name)
+    if rows is not None:
+        append_rows(spark, name, rows)
+    return name
+
+
+def _content(spark, name):
+    return sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect()))
+
+
+def test_merge_is_idempotent_and_drops_its_staging(spark):
+    from shopfold.operators.tables import staging_folder
+    from shopfold.session import path_exists
     target, source = merge_inputs(spark, SF_SMALL)
     sites = [r.site_id for r in fx.sites(spark, SF_SMALL).collect()]
-    name = f"t_snap_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
-    install_snapshot(spark, name, target, sites)
+    name, staging = _table(spark, "t_merge", target), staging_folder(spark)
     n_target = spark.table(name).count()
+    merge_into_table(spark, name, source, sites, staging=staging)
+    once = _content(spark, name)
     merge_into_table(spark, name, source, sites)
-    once = sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect()))
-    merge_into_table(spark, name, source, sites)
-    twice = sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect()))
-    assert once == twice and len(once) >= n_target
-    refs = referenced_snapshots(spark, name)
-    assert len(refs) == 1
-    assert vacuum(spark, name) == []  # young snapshots are spared
-    removed = vacuum(spark, name, min_age_seconds=0)
-    assert len(removed) == 2 and unreferenced_snapshots(spark, name) == []
-    assert sorted(map(tuple, spark.table(name).select(*STANDARD_COLUMNS).collect())) == once
+    assert _content(spark, name) == once and len(once) >= n_target
+    assert not path_exists(spark, f"{staging}/source") and not path_exists(spark, f"{staging}/merged")
 
 
 def test_status_only_keeps_rows_and_amounts(spark):
     target, source = merge_inputs(spark, SF_SMALL)
     sites = [r.site_id for r in fx.sites(spark, SF_SMALL).collect()]
-    name = f"t_status_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
-    install_snapshot(spark, name, target, sites)
+    name = _table(spark, "t_status", target)
     merge_into_table(spark, name, source, sites, status_only=True)
     after = spark.table(name)
     assert after.count() == target.count()
     cols = [c for c in STANDARD_COLUMNS if c not in ("order_status", "synced_at")]
     assert after.select(*cols).exceptAll(target.select(*cols)).count() == 0
+    empty = _table(spark, "t_none")
+    assert merge_into_table(spark, empty, source, status_only=True) == []
+    assert spark.table(empty).count() == 0
 
 
 def test_append_and_truncate(spark):
-    name = f"t_trunc_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
     target, _ = merge_inputs(spark, SF_SMALL)
-    append_rows(spark, name, target)
+    name = _table(spark, "t_trunc", target)
     assert spark.table(name).count() == target.count()
     truncate_table(spark, name, ["store_0"])
     assert spark.table(name).filter("source_site = 'store_0'").count() == 0
+    assert spark.table(name).count() == target.filter("source_site <> 'store_0'").count()
     truncate_table(spark, name)
     assert spark.table(name).count() == 0
     append_rows(spark, name, target)
     assert spark.table(name).count() == target.count()
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
-def test_install_loses_no_site(spark):
+def test_merge_loses_no_site(spark):
     import pytest
-    name = f"t_sites_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
     target, source = merge_inputs(spark, SF_SMALL)
-    with pytest.raises(ValueError):
-        install_snapshot(spark, name, target, ["store_0"])
+    name = _table(spark, "t_sites")
     with pytest.raises(ValueError):
         merge_into_table(spark, name, source, ["store_0"])
     with pytest.raises(ValueError):
-        install_snapshot(spark, name, target.withColumn("source_site", F.lit(None).cast("string")))
-    odd = target.withColumn("source_site", F.concat(F.lit("a:b/c=%"), F.substring("source_site", 7, 1)))
+        merge_into_table(spark, name, target.withColumn("source_site", F.lit(None).cast("string")))
+    assert spark.table(name).count() == 0
+    odd = target.withColumn("source_site", F.concat(F.lit("a:b/c=%', x"), F.substring("source_site", 7, 1)))
     merge_into_table(spark, name, odd)
     assert spark.table(name).groupBy("source_site").count().count() == odd.select("source_site").distinct().count()
-    truncate_table(spark, name, ["a:b/c=%0"])
-    assert spark.table(name).filter("source_site = 'a:b/c=%0'").count() == 0
-
-
-def test_overlapping_merges_keep_both(spark):
-    """A run that moved the site between the read and the install is not undone."""
-    import pytest
-    from shopfold.operators.tables import ConcurrentMergeError, partition_locations
-    name = f"t_race_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
-    target, source = merge_inputs(spark, SF_SMALL)
-    install_snapshot(spark, name, target)
-    before = partition_locations(spark, name, ["store_0"])
-    merge_into_table(spark, name, source)
-    with pytest.raises(ConcurrentMergeError):
-        install_snapshot(spark, name, target.filter("source_site = 'store_0'"), expected=before)
-
-
-def test_merge_rewrites_only_the_sources_sites(spark):
-    from shopfold.operators.tables import partition_locations
-    name = f"t_touch_{uuid.uuid4().hex[:8]}"
-    ensure_table(spark, name)
-    target, source = merge_inputs(spark, SF_SMALL)
-    install_snapshot(spark, name, target)
-    before = partition_locations(spark, name, ["store_0", "store_1"])
-    merge_into_table(spark, name, source.filter("source_site = 'store_0'"))
-    after = partition_locations(spark, name, ["store_0", "store_1"])
-    assert before["store_0"] != after["store_0"] and before["store_1"] == after["store_1"]
+    truncate_table(spark, name, ["a:b/c=%', x0"])
+    assert spark.table(name).filter("source_site = \"a:b/c=%', x0\"").count() == 0
+
+
+def test_merge_rewrites_only_the_partitions_it_changes(spark):
+    """Files of other sites and months stay; a key stored under another month is found and moved."""
+    def row(order, day, site="s", sku="k", status="order_processed"):
+        d = None if day is None else dt.datetime.fromisoformat(day)
+        return (order, d, status, 1.0, "RON", "p", sku, "n", 1.0, 1, 1.0, site, dt.datetime(2024, 1, 1))
+
+    from shopfold.schema import FACT_SCHEMA
+    frame = lambda *rows: spark.createDataFrame(list(rows), FACT_SCHEMA)
+    name = _table(spark, "t_touch", frame(
+        row("1", "2024-01-05"), row("2", "2024-02-05"), row("2", "2024-02-05"), row("3", "2024-03-05"),
+        row("4", None), row("1", "2024-01-05", "other")))
+    files = lambda: {r[0]: r[1] for r in spark.table(name).select(
+        F.concat_ws("/", "source_site", "order_month").alias("at"), F.input_file_name().alias("file"))
+        .groupBy("at").agg(F.collect_set("file")).collect()}
+    before = files()
+    changed = merge_into_table(spark, name, frame(
+        row("2", "2024-03-07", status="order_cancelled"), row("5", "2024-04-01"), row("4", "2024-04-02")))
+    assert changed == [("s", "2024-02"), ("s", "2024-03"), ("s", "2024-04"), ("s", "undated")]
+    after = files()
+    assert set(after) == {"s/2024-01", "s/2024-03", "s/2024-04", "other/2024-01"}
+    assert all(after[p] == before[p] for p in ("s/2024-01", "other/2024-01"))
+    got = sorted((r.order_id, r.order_status, r.order_month) for r in spark.table(name).filter("source_site = 's'").collect())
+    assert got == [("1", "order_processed", "2024-01"), ("2", "order_cancelled", "2024-03"),
+                   ("2", "order_cancelled", "2024-03"), ("3", "order_processed", "2024-03"),
+                   ("4", "order_processed", "2024-04"), ("5", "order_processed", "2024-04")]
+
+
+def test_stored_history_overwrites_only_the_runs_sites(spark):
+    from shopfold.session import scratch_path
+    path = scratch_path(spark, "history", unique=True)
+    assert stored_history(spark, path).count() == 0
+    base = dt.datetime(2024, 1, 1)
+    runs = lambda site, hours: spark.createDataFrame([
+        (site, base + dt.timedelta(hours=h), base + dt.timedelta(hours=h), 0, "success", h, "full", None)
+        for h in hours], HISTORY_SCHEMA)
+    store_history(spark, path, runs("a", range(100)).unionAll(runs("b", range(3))))
+    before = {r[0] for r in spark.read.parquet(path).filter("site_id = 'b'").select(F.input_file_name()).collect()}
+    store_history(spark, path, runs("a", [200]))
+    h = stored_history(spark, path)
+    assert h.columns == HISTORY_SCHEMA.names
+    counts = {r.site_id: (r.n, r.low) for r in h.groupBy("site_id").agg(
+        F.count("*").alias("n"), F.min("row_count").alias("low")).collect()}
+    assert counts == {"a": (100, 1), "b": (3, 0)}
+    assert before == {r[0] for r in spark.read.parquet(path).filter("site_id = 'b'").select(F.input_file_name()).collect()}
 
 
 def test_history_keeps_newest_100(spark):
