@@ -10,6 +10,8 @@ depends on how many distinct keys exist, and nothing is walked on the driver.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +84,49 @@ def auto_map(paths: DataFrame) -> DataFrame:
         F.when(hit, F.lit("confirmed")).otherwise(F.lit("unmapped")).alias("status"))
 
 
+#: Where line items lie in a raw order: a leaf below is a product's, a top-level one the order's.
+ITEM_ROOTS = ["line_items", "items", "products"]
+#: Least similarity of a suggestion: one letter in four may differ.
+MIN_SIMILARITY = 0.75
+
+
+def _similarity(a: Column, b: Column) -> Column:
+    """1 - edit distance / length of the longer name."""
+    return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.char_length(a), F.char_length(b))
+
+
+def _plain(name: Column) -> Column:
+    """A name as it is compared: lower case, words split where camelCase or signs split them."""
+    words = F.regexp_replace(name, "([a-z0-9])([A-Z])", "$1_$2")
+    return F.btrim(F.regexp_replace(F.lower(words), "[^a-z0-9]+", "_"), F.lit("_"))
+
+
+def suggest_columns(paths: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """P8 by name similarity: the standard column most like the path, its last part, or that part
+    with the prefix of its place (``product_`` below the line items, ``order_`` at the top).
+
+    An equal name is confirmed; a similar one is a suggestion that stays unmapped until someone
+    confirms it.  Of equally similar columns the first in schema order is taken.
+    """
+    parts = F.split("path", r"\.")
+    last = _plain(F.element_at(parts, -1))
+    placed = (F.when(F.element_at(parts, 1).isin(*ITEM_ROOTS) & (F.size(parts) > 1),
+                     F.concat(F.lit("product_"), last))
+              .when(F.size(parts) == 1, F.concat(F.lit("order_"), last)).otherwise(last))
+    named = paths.select("source_site", "path", F.array(_plain(F.col("path")), last, placed).alias("names"))
+    scores = F.array(*[F.struct(
+        F.round(F.array_max(F.transform("names", lambda n: _similarity(n, F.lit(c)))), 4).alias("similarity"),  # noqa: B023
+        F.lit(-k).alias("first"), F.lit(c).alias("target")) for k, c in enumerate(STANDARD_COLUMNS)])
+    best = named.select("source_site", "path", F.array_max(scores).alias("best"))
+    exact = F.col("path") == F.col("best.target")
+    good = F.col("best.similarity") >= min_similarity
+    return best.select(
+        "source_site", F.col("path").alias("source_column"),
+        F.when(good, F.col("best.target")).otherwise(F.lit("")).alias("target_column"),
+        F.when(exact, F.lit("confirmed")).otherwise(F.lit("unmapped")).alias("status"),
+        F.when(good, F.col("best.similarity")).alias("similarity"))
+
+
 def nested_value(v: Column, path: str) -> Column:
     """P10: value at a dotted path; an array on the way yields its first element."""
     cur = v
@@ -108,7 +153,9 @@ def apply_transform(text: Column, transform: str | None) -> Column:
     """X11 transforms on the value's text.
 
     toString -> text; toNumber -> ``Number(text)`` ('' -> 0, invalid -> NULL);
-    toDate -> timestamp (NULL when unparsable); split(',') -> array of parts.
+    toDate -> timestamp (NULL when unparsable); split(',') -> array of parts;
+    regex:<pattern> -> the first group of the first match (the match itself if the pattern has no
+    group), NULL when nothing matches.
     """
     if transform in (None, "", "toString"):
         return text
@@ -119,6 +166,10 @@ def apply_transform(text: Column, transform: str | None) -> Column:
         return F.try_to_timestamp(text)
     if transform == "split(',')":
         return F.split(text, ",")
+    if transform.startswith("regex:"):
+        pattern = transform[len("regex:"):]
+        group = 1 if re.compile(pattern).groups else 0
+        return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
     raise ValueError(f"unknown transform {transform!r}")
 
 

@@ -8,7 +8,9 @@ flattening rules on plain columns.
 
 from __future__ import annotations
 
+from shopfold.operators.detect import ITEM_ROOTS, MIN_SIMILARITY
 from shopfold.plans import fixture as fx
+from shopfold.plans.q_detect import MAPPINGS
 from shopfold.schema import DEFAULT_STATUS_MAPPINGS
 from shopfold.sources.sites import SITE_STATUS_OVERRIDES
 
@@ -372,6 +374,13 @@ FROM sw JOIN o ON o.source_site = sw.site_id GROUP BY ALL""")
 SELECT s.site_id, s.name, s.platform, 'orders_' || s.site_id AS table_name,
        CAST(s.lookback_days AS INTEGER) AS lookback_days, s.hourly AS hourly_sync_enabled,
        s.enabled, s.has_feed, CAST(m.pos AS INTEGER) AS pos, m.source_status, m.target_status
+FROM sites s JOIN smap m ON m.site_id = s.site_id""")
+    n_columns = " ".join(f"WHEN '{p}' THEN {len(m)}" for p, m in MAPPINGS.items())
+    q["read_sites_json"] = with_base(sites_cte() + f"""
+SELECT s.site_id, s.name, s.platform, 'orders_' || s.site_id AS table_name,
+       CAST(s.lookback_days AS INTEGER) AS lookback_days, s.hourly AS hourly_sync_enabled,
+       s.enabled, s.has_feed, CAST(CASE s.platform {n_columns} ELSE 0 END AS BIGINT) AS n_columns,
+       CAST(m.pos AS INTEGER) AS pos, m.source_status, m.target_status
 FROM sites s JOIN smap m ON m.site_id = s.site_id""")
     q["hourly_sites"] = with_base(sites_cte() +
                                   " SELECT site_id, platform FROM sites WHERE enabled AND hourly")
@@ -518,6 +527,7 @@ def detect_sql() -> dict[str, str]:
     from shopfold.plans.q_detect import MAPPINGS  # noqa: F401  (documentation of the mapping)
     q: dict[str, str] = {}
     q["read_feed"] = with_base(feed_ctes() + " SELECT source_site, product_id FROM feedids")
+    q["read_feed_containers"] = q["read_feed"]
     q["nonblank_ids"] = with_base(feed_ctes() + """
 SELECT source_site, CAST(count(*) + count_if(pk % 13 = 0 OR pk % 17 = 0) AS BIGINT) AS entries,
        count(*) AS kept_entries FROM feed GROUP BY ALL""")
@@ -544,6 +554,30 @@ SELECT source_site, path AS source_column,
        CASE WHEN path IN ({std}) THEN path ELSE '' END AS target_column,
        CASE WHEN path IN ({std}) THEN 'confirmed' ELSE 'unmapped' END AS status
 FROM leaves""")
+    columns = ", ".join(f"({k}, '{c}')" for k, c in enumerate(STANDARD_COLUMNS))
+    plain = r"trim(regexp_replace(lower(regexp_replace({}, '([a-z0-9])([A-Z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g'), '_')"
+    like = "1.0 - levenshtein({0}, c.name) / CAST(greatest(length({0}), length(c.name)) AS DOUBLE)"
+    roots = ", ".join(f"'{r}'" for r in ITEM_ROOTS)
+    q["suggest_columns"] = with_base(detect_ctes() + f""",
+named AS (
+  SELECT source_site, path, {plain.format("path")} AS whole, {plain.format("string_split(path, '.')[-1]")} AS last,
+         CASE WHEN path NOT LIKE '%.%' THEN 'order_'
+              WHEN string_split(path, '.')[1] IN ({roots}) THEN 'product_' ELSE '' END AS prefix
+  FROM leaves),
+scored AS (
+  SELECT n.*, c.k, c.name, round(greatest({like.format("n.whole")}, {like.format("n.last")},
+         {like.format("n.prefix || n.last")}), 4) AS s
+  FROM named n, (VALUES {columns}) c(k, name)),
+best AS (SELECT source_site, path, max(s) AS s, arg_min(name, (-s, k)) AS name FROM scored GROUP BY ALL)
+SELECT source_site, path AS source_column, CASE WHEN s >= {MIN_SIMILARITY} THEN name ELSE '' END AS target_column,
+       CASE WHEN path = name THEN 'confirmed' ELSE 'unmapped' END AS status,
+       CASE WHEN s >= {MIN_SIMILARITY} THEN s END AS similarity
+FROM best""")
+    pattern = lambda c, p, g: f"CASE WHEN regexp_matches({c}, '{p}') THEN regexp_extract({c}, '{p}', {g}) END"
+    q["regex_transform"] = f"""
+SELECT p_partkey, {pattern("p_brand", "#?([0-9]+)$", 1)} AS brand_number,
+       {pattern("p_type", "[A-Z]+$", 0)} AS last_word, {pattern("p_name", "([a-z]+) ([a-z]+)", 1)} AS first_word
+FROM part"""
     q["detect_columns_events"] = """
 SELECT DISTINCT event_type AS source_site, unnest(json_keys(props)) AS path
 FROM events WHERE props IS NOT NULL"""
@@ -568,6 +602,7 @@ SELECT o.source_site, CAST(o.ok AS VARCHAR) AS order_id, o.o_orderdate AS order_
        li.p_name AS product_name, li.p_retailprice AS product_price,
        li.l_quantity AS product_quantity, li.l_extendedprice AS product_total
 FROM o LEFT JOIN li ON li.ok = o.ok WHERE o.platform = 'woocommerce'""")
+    q["json_mappings_applied"] = q["apply_mapping"]
     return q
 
 

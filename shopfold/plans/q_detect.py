@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopfold.operators.detect import (apply_mapping, auto_map, detect_paths, nested_value,
-                                       sample_text)
+from shopfold.operators.detect import (apply_mapping, apply_transform, auto_map, detect_paths,
+                                       nested_value, sample_text, suggest_columns)
 from shopfold.operators.feed import feed_count, feed_membership, in_feed, not_in_feed
 from shopfold.operators.flatten import explode_items, fact_columns, order_headers
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _out, register
-from shopfold.sources.feed import land_feeds, read_feed, read_feed_entries
+from shopfold.sources.tables import read_table
+from shopfold.sources.feed import feed_container_lines, land_feeds, read_feed, read_feed_entries
 
 # Item array path per platform (where item-level mapping paths start).
 ITEMS_PATH = {"woocommerce": "line_items", "gomag": "items", "merchantpro": "line_items"}
@@ -48,6 +49,13 @@ def q_read_feed(spark, sf_dir):
     return feed
 
 
+@register("read_feed_containers")
+def q_read_feed_containers(spark, sf_dir):
+    """The same ids from feeds that hold them in other elements and spellings."""
+    path = land_feeds(spark, sf_dir, fx.sites(spark, sf_dir), "feeds_containers", feed_container_lines)
+    return read_feed(spark, path)
+
+
 @register("nonblank_ids")
 def q_nonblank_ids(spark, sf_dir):
     """feed entries read vs. ids kept after trimming and dropping blanks."""
@@ -118,6 +126,22 @@ def q_auto_map(spark, sf_dir):
     return auto_map(detect_paths(fx.raw(spark, sf_dir)))
 
 
+@register("suggest_columns")
+def q_suggest_columns(spark, sf_dir):
+    """Suggestions by name similarity."""
+    return suggest_columns(detect_paths(fx.raw(spark, sf_dir)))
+
+
+@register("regex_transform")
+def q_regex_transform(spark, sf_dir):
+    """X11: custom patterns, with and without a group, on every part's texts."""
+    part = read_table(spark, sf_dir, "part")
+    return part.select(
+        "p_partkey", apply_transform(F.col("p_brand"), r"regex:#?([0-9]+)$").alias("brand_number"),
+        apply_transform(F.col("p_type"), "regex:[A-Z]+$").alias("last_word"),
+        apply_transform(F.col("p_name"), "regex:([a-z]+) ([a-z]+)").alias("first_word"))
+
+
 @register("nested_value")
 def q_nested_value(spark, sf_dir):
     """P10 + X10: the preview cell of the product-id path of every order."""

@@ -12,6 +12,7 @@ from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import _flat, _normalized, _out, merge_inputs, register
 from shopfold.plans.sync import windowed_rows
 from shopfold.schema import MATCH_KEYS
+from shopfold.session import scratch_path
 from shopfold.sources.raw import envelope_orders, total_available
 
 
@@ -214,3 +215,56 @@ def q_read_sites(spark, sf_dir):
                                        "lookback_days", "hourly_sync_enabled", "enabled",
                                        F.col("product_feed_url").isNotNull().alias("has_feed"))
     return s.join(fx.mappings(spark, sf_dir), "site_id")
+
+
+def _sites_json(spark, sf_dir):
+    """The site list written as JSON (own status lists only) and read back."""
+    from shopfold.plans.q_detect import MAPPINGS
+    from shopfold.sources.sites import SITE_STATUS_OVERRIDES, read_sites_json, write_sites_json
+    status = "array<struct<sourceStatus:string,targetStatus:string>>"
+    column = "array<struct<sourceColumn:string,targetColumn:string,status:string,transform:string>>"
+    own = F.array().cast(status)
+    for site, listed in SITE_STATUS_OVERRIDES.items():
+        own = F.when(F.col("site_id") == site, F.array(*[
+            F.struct(F.lit(a).alias("sourceStatus"), F.lit(b).alias("targetStatus")) for a, b in listed])).otherwise(own)
+    columns = F.lit(None).cast(column)
+    for platform, listed in MAPPINGS.items():
+        columns = F.when(F.col("platform") == platform, F.array(*[F.struct(*[
+            F.lit(v).cast("string").alias(n) for n, v in zip(("sourceColumn", "targetColumn", "status", "transform"), m)])
+            for m in listed])).otherwise(columns)
+    path = scratch_path(spark, "sites_json", unique=True)
+    write_sites_json(fx.sites(spark, sf_dir).withColumn("status_mapping", own.cast(status))
+                     .withColumn("column_mapping", columns.cast(column)), path)
+    return read_sites_json(spark, path)
+
+
+@register("read_sites_json")
+def q_read_sites_json(spark, sf_dir):
+    """The JSON site list with the effective status mapping."""
+    from shopfold.sources.sites import status_mapping_rows
+    sites = _sites_json(spark, sf_dir)
+    rows = sites.select("site_id", "name", "platform", "table_name", "lookback_days", "hourly_sync_enabled",
+                        "enabled", F.col("product_feed_url").isNotNull().alias("has_feed"),
+                        F.size("column_mapping").cast("long").alias("n_columns"))
+    return rows.join(status_mapping_rows(sites), "site_id")
+
+
+@register("json_mappings_applied")
+def q_json_mappings_applied(spark, sf_dir):
+    """S6 + P9: the column mappings of the JSON site list, applied to the sites' orders."""
+    from shopfold.operators.detect import apply_mapping
+    from shopfold.plans.q_detect import ITEMS_PATH
+    from shopfold.sources.sites import column_mapping_rows
+    sites = _sites_json(spark, sf_dir).filter("platform = 'woocommerce'")
+    # Mappings are configuration: a handful of rows per site.
+    rows = column_mapping_rows(sites).orderBy("site_id", "pos").collect()
+    by_mapping: dict[tuple, list[str]] = {}
+    for site in sorted({r["site_id"] for r in rows}):
+        mapping = tuple((r["source_column"], r["target_column"], r["status"], r["transform"])
+                        for r in rows if r["site_id"] == site)
+        by_mapping.setdefault(mapping, []).append(site)
+    raw, out = fx.raw(spark, sf_dir, "woocommerce"), None
+    for mapping, ids in by_mapping.items():
+        one = apply_mapping(raw.filter(F.col("source_site").isin(*ids)), list(mapping), ITEMS_PATH["woocommerce"])
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return _out(out)

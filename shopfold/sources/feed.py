@@ -1,9 +1,8 @@
 """Product feed source (S5) and a feed landing derived from the order data.
 
-A feed is Google-Shopping style XML; only ``g:id`` inside ``item`` is read:
-text or CDATA, tag name case-insensitive, trimmed, blanks dropped.  Spark's
-XML source reads it with an explicit STRING schema (inference would turn
-``007`` into 7) and splits files on ``item`` boundaries.
+A feed is Google-Shopping style XML; only ``g:id`` elements are read, in whatever element they
+lie: text or CDATA, tag name case-insensitive, trimmed, blanks dropped.  Spark's XML source reads
+them with an explicit STRING schema (inference would turn ``007`` into 7) and splits files.
 """
 
 from __future__ import annotations
@@ -62,13 +61,29 @@ def feed_item_lines(feed: DataFrame) -> DataFrame:
                        F.explode(lines).alias("line"))
 
 
-def feed_documents(feed: DataFrame) -> DataFrame:
+def feed_container_lines(feed: DataFrame) -> DataFrame:
+    """Like :func:`feed_item_lines`, with the ids in other elements than ``item``, in every
+    spelling, with attributes, and beside ids in comments and CDATA that are none."""
+    pk = F.col("p_partkey")
+    letter = lambda k, low, up: F.when(F.floor(pk / k) % 2 == 0, F.lit(low)).otherwise(F.lit(up))
+    tag = F.concat(letter(1, "g", "G"), F.lit(":"), letter(2, "i", "I"), letter(4, "d", "D"))
+    attribute = F.when(pk % 9 == 0, F.lit(' type="sku"')).otherwise(F.lit(""))
+    gid = F.concat(F.lit("<"), tag, attribute, F.lit("> "), pk.cast("string"), F.lit("</"), tag, F.lit(">"))
+    around = lambda a, b: F.concat(F.lit(a), gid, F.lit(b))
+    line = (F.when(pk % 5 == 0, around("<item>", "</item>")).when(pk % 5 == 1, around("<entry>", "</entry>"))
+            .when(pk % 5 == 2, around("<product><details>", "</details></product>")).when(pk % 5 == 3, gid)
+            .otherwise(around("<item><!-- <g:id>comment</g:id> --><title><![CDATA[<g:id>text</g:id>]]></title>",
+                              "</item>")))
+    return feed.select("source_site", F.floor(pk / FEED_CHUNK).alias("chunk"), "p_partkey", line.alias("line"))
+
+
+def feed_documents(feed: DataFrame, lines=feed_item_lines) -> DataFrame:
     """(source_site, chunk, value): one complete XML document per id range.
 
     Grouping is by (site, id range), so a group holds at most FEED_CHUNK ids
     whatever the size or skew of a site's catalogue.
     """
-    items = feed_item_lines(feed)
+    items = lines(feed)
     docs = items.groupBy("source_site", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("p_partkey", "line"))).alias("items"))
     body = F.array_join(F.transform("items", lambda x: x["line"]), "\n")
@@ -77,16 +92,36 @@ def feed_documents(feed: DataFrame) -> DataFrame:
                        .alias("value"))
 
 
-def land_feeds(spark: SparkSession, sf_dir: str, sites: DataFrame) -> str:
+def land_feeds(spark: SparkSession, sf_dir: str, sites: DataFrame, name: str = "feeds",
+               lines=feed_item_lines) -> str:
     """Write one XML file per (site, id range) under ``source_site=/chunk=``."""
     tag = sf_dir.rstrip("/").replace("/", "_").replace(".", "_").strip("_")
-    path = scratch_path(spark, "landing", tag, "feeds")
+    path = scratch_path(spark, "landing", tag, name)
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        (feed_documents(feed_rows(spark, sf_dir, sites)).repartition("source_site", "chunk")
+        (feed_documents(feed_rows(spark, sf_dir, sites), lines).repartition("source_site", "chunk")
          .write.mode("overwrite").partitionBy("source_site", "chunk").text(path))
     return path
 
 
+def _spellings(spark: SparkSession, path: str) -> list[str]:
+    """How the feeds under ``path`` spell the id tag (of eight possible ways): one scan of text."""
+    found = spark.read.option("basePath", path).text(path).select(F.explode(F.regexp_extract_all(
+        "value", F.lit("(?i)<(g:id)(?=[\\s>/]|$)"), F.lit(1))).alias("tag")).distinct().collect()
+    return sorted(r["tag"] for r in found)
+
+
+def read_feed_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(source_site, raw_id): the text of every ``g:id`` element, whatever holds it and however
+    the tag is spelled.  Each spelling is a row tag of the XML source, which skips comments and
+    CDATA sections and splits large files."""
+    found = None
+    for tag in _spellings(spark, path):
+        one = (spark.read.format("xml").option("rowTag", tag).schema("_VALUE string")
+               .option("basePath", path).load(path).select("source_site", F.col("_VALUE").alias("raw_id")))
+        found = one if found is None else found.unionByName(one)
+    return found if found is not None else spark.createDataFrame([], "source_site string, raw_id string")
+
+
 def read_feed_entries(spark: SparkSession, path: str) -> DataFrame:
     """(source_site, raw_id) — every ``item`` with its raw ``g:id`` text (or NULL)."""
     df = (spark.read.format("xml").option("rowTag", "item").schema(FEED_SCHEMA)
@@ -96,7 +131,7 @@ def read_feed_entries(spark: SparkSession, path: str) -> DataFrame:
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """S5 + F7 + U2: distinct trimmed, non-blank ids per site."""
-    e = read_feed_entries(spark, path)
+    e = read_feed_ids(spark, path)
     return (e.select("source_site", F.trim(F.col("raw_id")).alias("product_id"))
             .filter(F.col("product_id").isNotNull() & (F.col("product_id") != ""))
             .distinct())

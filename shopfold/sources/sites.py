@@ -90,5 +90,69 @@ def status_mappings(spark: SparkSession, sites: DataFrame) -> DataFrame:
                          .select("site_id", "pos", "source_status", "target_status")))
 
 
+# --- the site list as JSON ------------------------------------------------------
+
+#: The JSON site list; credentials are left out of the schema, so they are never read.
+SITES_JSON_SCHEMA = (
+    "id string, name string, platform string, bigqueryTable string, "
+    "columnMapping array<struct<sourceColumn:string,targetColumn:string,status:string,transform:string>>, "
+    "statusMapping array<struct<sourceStatus:string,targetStatus:string>>, productFeedUrl string, "
+    "syncSchedule string, lookbackDays int, hourlySyncEnabled boolean, lastSyncAt timestamp, "
+    "lastSyncStatus string, lastSyncRowCount long, enabled boolean")
+
+
+def read_sites_json(spark: SparkSession, path: str) -> DataFrame:
+    """The JSON site list (an array of objects, or one object a line), one row per site.
+
+    Columns are those of :func:`site_rows`, and ``column_mapping`` and ``status_mapping`` as
+    arrays.  A missing or empty status mapping is filled with the platform's default list; an
+    unknown platform has none.
+    """
+    raw = spark.read.schema(SITES_JSON_SCHEMA).option("multiLine", True).json(path)
+    entry = "array<struct<sourceStatus:string,targetStatus:string>>"
+    defaults = F.create_map(*[x for platform, listed in DEFAULT_STATUS_MAPPINGS.items() for x in (
+        F.lit(platform), F.array(*[F.struct(F.lit(a).alias("sourceStatus"), F.lit(b).alias("targetStatus"))
+                                   for a, b in listed]))])
+    own = F.when(F.size("statusMapping") > 0, F.col("statusMapping"))
+    filled = F.coalesce(own, F.try_element_at(defaults, F.col("platform")), F.array().cast(entry))
+    return raw.select(
+        F.col("id").alias("site_id"), "name", "platform", F.col("bigqueryTable").alias("table_name"),
+        F.col("productFeedUrl").alias("product_feed_url"), F.col("syncSchedule").alias("sync_schedule"),
+        F.col("lookbackDays").alias("lookback_days"),
+        F.coalesce("hourlySyncEnabled", F.lit(False)).alias("hourly_sync_enabled"),
+        F.col("lastSyncAt").alias("last_sync_at"), F.col("lastSyncStatus").alias("last_sync_status"),
+        F.col("lastSyncRowCount").alias("last_sync_row_count"),
+        F.coalesce("enabled", F.lit(False)).alias("enabled"),
+        F.coalesce("columnMapping", F.array()).alias("column_mapping"), filled.alias("status_mapping"))
+
+
+def status_mapping_rows(sites: DataFrame) -> DataFrame:
+    """(site_id, pos, source_status, target_status) of a site list with ``status_mapping``."""
+    return sites.select("site_id", F.posexplode("status_mapping").alias("pos", "m")).select(
+        "site_id", "pos", F.col("m.sourceStatus").alias("source_status"),
+        F.col("m.targetStatus").alias("target_status"))
+
+
+def column_mapping_rows(sites: DataFrame) -> DataFrame:
+    """(site_id, pos, source_column, target_column, status, transform) of a site list."""
+    return sites.select("site_id", F.posexplode("column_mapping").alias("pos", "m")).select(
+        "site_id", "pos", F.col("m.sourceColumn").alias("source_column"),
+        F.col("m.targetColumn").alias("target_column"), F.col("m.status").alias("status"),
+        F.col("m.transform").alias("transform"))
+
+
+def write_sites_json(sites: DataFrame, path: str) -> None:
+    """The site list as a JSON array, with each site's own mappings (one row per configured site)."""
+    renamed = sites.select(F.struct(
+        F.col("site_id").alias("id"), "name", "platform", F.col("table_name").alias("bigqueryTable"),
+        F.col("column_mapping").alias("columnMapping"), F.col("status_mapping").alias("statusMapping"),
+        F.col("product_feed_url").alias("productFeedUrl"), F.col("sync_schedule").alias("syncSchedule"),
+        F.col("lookback_days").alias("lookbackDays"), F.col("hourly_sync_enabled").alias("hourlySyncEnabled"),
+        F.col("last_sync_at").alias("lastSyncAt"), F.col("last_sync_status").alias("lastSyncStatus"),
+        F.col("last_sync_row_count").alias("lastSyncRowCount"), "enabled").alias("s"))
+    (renamed.agg(F.to_json(F.sort_array(F.collect_list("s"))).alias("value"))
+     .write.mode("error").text(path))
+
+
 def site_slug(name: Column) -> Column:
     return slugify(name)
