@@ -1,11 +1,10 @@
 """Column detection, auto-mapping and mapping application.
 
-Detection walks the JSON level by level as Spark jobs: every level explodes
-object entries into (path, value) rows; arrays continue with their first
-object element; primitives, nulls and arrays without an object element are
-leaves; empty objects end silently.  The union of the leaves of every order
-is the site's column set (a distinct with map-side combine), so nothing
-depends on how many distinct keys exist, and nothing is walked on the driver.
+Detection opens the JSON of every row level by level: object entries become (path, value)
+pairs; arrays continue with their first object element; primitives, nulls and arrays without an
+object element are leaves; empty objects end silently.  The union of the leaves of every order is
+the site's column set (a distinct with map-side combine), so nothing depends on how many distinct
+keys exist, and nothing is walked on the driver.
 """
 
 from __future__ import annotations
@@ -39,39 +38,62 @@ def clean_top_level(entries: DataFrame) -> DataFrame:
         F.when(deliv, total).otherwise(F.col("value")).alias("value"))
 
 
-def detect_paths(raw: DataFrame, clean: bool = True, checkpoint: bool = True) -> DataFrame:
+def _depth(raw: Column) -> Column:
+    """How deep a row's objects lie in each other: the deepest open brace outside of strings."""
+    braces = F.regexp_replace(F.to_json(raw), r'"(?:[^"\\]|\\.)*"|[^{}]', "")
+
+    def step(state, brace):
+        now = state["now"] + F.when(brace == "{", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["top"], now).alias("top"))
+
+    none = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
+    return F.aggregate(F.split(braces, ""), none, step, lambda state: state["top"])
+
+
+def _entry(path: Column, value: Column) -> Column:
+    """(path, value that continues): an object, or the first object of an array; NULL is a leaf."""
+    arr = as_array(value)
+    return F.struct(path.alias("path"), F.when(is_object(value), value).when(
+        arr.isNotNull(), _first_object(arr)).alias("value"))
+
+
+def _clean_entries(entries: Column, platform: Column) -> Column:
+    """P6 on an array of top-level map entries (see :func:`clean_top_level`)."""
+    def kept(e):
+        return ~(((platform == "woocommerce") & e["key"].isin(*WOO_IGNORED_TOP_KEYS))
+                 | ((platform == "gomag") & e["key"].isin(*GOMAG_IGNORED_TOP_KEYS)))
+
+    def one(e):
+        total = F.coalesce(F.variant_get(e["value"], "$.total", "variant"), F.lit(0).cast("variant"))
+        delivery = (platform == "gomag") & (e["key"] == "delivery") & is_object(e["value"])
+        return F.struct(F.when(delivery, F.lit("delivery.total")).otherwise(e["key"]).alias("key"),
+                        F.when(delivery, total).otherwise(e["value"]).alias("value"))
+
+    return F.transform(F.filter(entries, kept), one)
+
+
+def detect_paths(raw: DataFrame, clean: bool = True) -> DataFrame:
     """(source_site, path) leaf paths of every order, dot notation.
 
-    Runs one explode per nesting level until no level is left (a small
-    ``isEmpty`` job per level); each level is checkpointed to the shared
-    checkpoint folder so the lineage stays flat however deep the JSON is.
+    One pass over the orders: each row opens its own objects level by level, as often as it is
+    deep, and sends its leaf paths to a distinct that combines map-side.  Nothing is stored, and
+    how deep the JSON is costs no further job.
     """
-    top = raw.select("source_site", "platform",
-                     F.explode(as_object(F.col("raw"))).alias("path", "value"))
-    level = clean_top_level(top) if clean else top
-    leaves = []
-    while True:
-        v = F.col("value")
-        arr = as_array(v)
-        first = _first_object(arr)
-        # What continues: objects, and arrays that hold an object element.
-        nxt = F.when(is_object(v), v).when(arr.isNotNull(), first)
-        staged = level.select("source_site", "platform", "path", nxt.alias("next"),
-                              (~is_object(v) & (arr.isNull() | first.isNull())).alias("leaf"))
-        if checkpoint:
-            staged = staged.checkpoint(eager=True)
-        leaves.append(staged.filter("leaf").select("source_site", "path"))
-        deeper = staged.filter(~F.col("leaf")).select(
-            "source_site", "platform", F.col("path").alias("prefix"),
-            F.explode(as_object(F.col("next"))).alias("key", "value"))
-        level = deeper.select("source_site", "platform",
-                              F.concat_ws(".", "prefix", "key").alias("path"), "value")
-        if level.isEmpty():
-            break
-    out = leaves[0]
-    for x in leaves[1:]:
-        out = out.unionByName(x)
-    return out.distinct()
+    entries = F.map_entries(as_object(F.col("raw")))
+    if clean:
+        entries = _clean_entries(entries, F.col("platform"))
+    top = F.transform(entries, lambda e: _entry(e["key"], e["value"]))
+
+    def opened(state, _):
+        return F.flatten(F.transform(state, lambda s: F.when(s["value"].isNull(), F.array(s)).otherwise(
+            F.transform(F.map_entries(as_object(s["value"])),
+                        lambda e: _entry(F.concat_ws(".", s["path"], e["key"]), e["value"])))))
+
+    # Two levels are opened in any row; only rows that are deeper measure how deep they are.
+    state, unopened = F.col("state"), F.exists(F.col("state"), lambda s: s["value"].isNotNull())
+    left = F.when(unopened, F.aggregate(F.sequence(F.lit(3), _depth(F.col("raw"))), state, opened)).otherwise(state)
+    return (raw.withColumn("state", opened(top, None)).select("source_site", F.explode(left).alias("leaf"))
+            .select("source_site", "leaf.path").distinct())
 
 
 def auto_map(paths: DataFrame) -> DataFrame:

@@ -82,6 +82,29 @@ def test_site_list_round_trip(spark, folder):
     assert sorted(map(str, again.collect())) == sorted(map(str, sites.collect()))
 
 
+def test_detected_paths_of_deep_and_odd_json(spark):
+    from shopfold.operators.detect import detect_paths
+    deep = {"k": 1}
+    for n in range(12):
+        deep = {f"d{n}": deep, "}{\"": "{{"}
+    docs = [json.dumps(d) for d in (
+        deep, {"a": [], "b": {}, "c": None, "d": [1, {"x": [{"y": 1}], "z": {}}, {"w": 2}], "e": [[{"n": 1}]], "s": "{\\\"{"},
+        {"a": [{"p": 1}]}, [1, {"x": 1}], 3, None)] + [None]
+
+    def leaves(value, path):
+        if isinstance(value, list):
+            first = next((x for x in value if isinstance(x, dict)), None)
+            return [path] if first is None else leaves(first, path)
+        if not isinstance(value, dict):
+            return [path]
+        return [p for k, v in value.items() for p in leaves(v, f"{path}.{k}" if path else k)]
+
+    want = {p for d in docs if d is not None and isinstance(json.loads(d), dict) for p in leaves(json.loads(d), "")}
+    df = spark.createDataFrame([("s", "x", d) for d in docs], "source_site string, platform string, doc string")
+    raw = df.select("source_site", "platform", F.try_parse_json("doc").alias("raw"))
+    assert {r.path for r in detect_paths(raw).collect()} == want
+
+
 def test_suggestions(spark):
     paths = ["order_id", "id", "orderDate", "line_items.sku", "line_items.quantity", "items.prices", "billing.email",
              "currency_code", "total", "zzz"]
