@@ -164,8 +164,9 @@ def q_preview_mapping(spark, sf_dir, n: int = 5):
     """The n newest orders of every site through the site's own flattener."""
     plats = fx.platforms(spark, sf_dir)
     h = order_headers(fx.raw(spark, sf_dir), plats)
-    w = Window.partitionBy("source_site").orderBy(F.col("order_date").desc(),
-                                                  F.col("order_id").asc())
+    # A site has one platform; as a key it lets each platform's branch read its own files only.
+    w = Window.partitionBy("source_site", "platform").orderBy(F.col("order_date").desc(),
+                                                              F.col("order_id").asc())
     top = h.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
     return _out(fact_columns(explode_items(top, fx.AS_OF, plats)))
 
