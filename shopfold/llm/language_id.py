@@ -23,6 +23,9 @@ from shopfold.llm.common import slices
 
 #: At most so many labelled documents of each language are learned from.
 SAMPLE_PER_LANGUAGE = 1500
+#: Parts of a language in which ids are ranked, and tasks that count the sample's grams.
+RANK_PARTS = 64
+COUNT_PARTS = 8
 #: Of one text, a stretch of so many grams belongs to one language.
 STRETCH = 48
 TABLE_BITS = 16
@@ -49,25 +52,39 @@ def grams(text: str) -> np.ndarray:
 def train(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, np.ndarray]:
     """Log-probabilities of the grams by language, from `docs` (doc_id, text, lang).
 
-    The sample is fixed by a hash of the id; one bounded group for each language is counted in a
-    task and comes to the driver as one array."""
+    The sample is fixed by a hash of the id.  Ids are ranked in RANK_PARTS parts of each language
+    first, so that the ranking of a frequent language is no single task; an id counts once, with
+    the text of the smallest hash, however many rows repeat it.  Grams are counted where the
+    texts lie, and one array a part and language meets the others'."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(
         "lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= sample_per_language).select("doc_id", "lang").distinct())
+    ids = rows.select("doc_id", "lang").distinct().withColumn("at", F.xxhash64("doc_id"))
+    for keys in (["lang", F.pmod("at", F.lit(RANK_PARTS))], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("at", "doc_id")
+        ids = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_per_language)
     # At most sample_per_language ids for each language: bounded, so it may be broadcast.
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
+    chosen = F.broadcast(ids.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")))
+    # A null id is an id, too.
+    sample = (rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of")))
+              .groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
 
-    def count(pdf):
-        total = np.zeros(1 << TABLE_BITS, dtype=np.float64)
-        for text in pdf["text"]:
-            total += np.bincount(grams(text), minlength=1 << TABLE_BITS)
+    def count(batches):
+        totals = {}
+        for pdf in batches:
+            for lang, text in zip(pdf["lang"], pdf["text"]):
+                total = totals.setdefault(lang, np.zeros(1 << TABLE_BITS, dtype=np.int64))
+                total += np.bincount(grams(text), minlength=1 << TABLE_BITS)
+        if totals:
+            yield pd.DataFrame({"lang": list(totals), "total": [t.tobytes() for t in totals.values()]})
+
+    def add(pdf):
+        total = sum(np.frombuffer(t, dtype=np.int64) for t in pdf["total"])
         p = (1 - SMOOTHING) * total / max(1.0, total.sum()) + SMOOTHING / len(total)
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]],
                              "logp": [np.log(p).astype(np.float32).tobytes()]})
 
-    got = sample.groupBy("lang").applyInPandas(count, "lang string, logp binary").collect()
+    got = (sample.repartition(COUNT_PARTS).select("lang", "text").mapInPandas(count, "lang string, total binary")
+           .groupBy("lang").applyInPandas(add, "lang string, logp binary").collect())
     return {r["lang"]: np.frombuffer(r["logp"], dtype=np.float32)
             for r in sorted(got, key=lambda r: r["lang"])}
 

@@ -17,8 +17,17 @@ def op1_suffix_dedup(spark, sf_dir):
 
 
 def op2_token_counts(spark, sf_dir):
+    """All documents, maintained: one id in 20 is loaded under another source and revised, one is
+    deleted and inserted again; a batch that is sent twice changes nothing."""
+    docs = common.documents(spark, sf_dir)
+    part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(20)))
     rollup = token_counts.TokenRollup(spark)
-    rollup.apply("load", common.documents(spark, sf_dir).withColumn("op", F.lit("insert")))
+    rollup.apply("1-load", docs.withColumn("op", F.lit("insert")).withColumn(
+        "source", F.when(part == 0, F.lit("unsorted")).otherwise(F.col("source"))))
+    changes = docs.filter(part.isin(0, 1)).withColumn("op", F.when(part == 0, "revise").otherwise("delete"))
+    for _ in range(2):
+        rollup.apply("2-change", changes)
+    rollup.apply("3-again", docs.filter(part == 1).withColumn("op", F.lit("insert")))
     return rollup.totals()
 
 

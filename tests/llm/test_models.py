@@ -31,6 +31,17 @@ def test_language_ignores_other_columns(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_sample_takes_a_repeated_id_once(spark, prose):
+    rows = [(7, prose(k, 30), "en") for k in range(60)] + [(100 + k, prose(500 + k, 30), "en") for k in range(40)]
+    rows += [(300 + k, prose(900 + k, 30).upper(), "xx") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    first = min((r for r in docs.filter("doc_id = 7").withColumn("h", F.xxhash64("text")).collect()), key=lambda r: r.h)
+    once = spark.createDataFrame([(7, first.text, "en"), *(r for r in rows if r[0] != 7)], docs.schema)
+    for per_language in (1500, 12):
+        a, b = language_id.train(docs, per_language), language_id.train(once, per_language)
+        assert list(a) == list(b) == ["en", "xx"] and all((a[k] == b[k]).all() for k in a)
+
+
 def test_mixture_shares(spark):
     docs = documents(spark, SF).filter("n_chars > 1500")
     model = language_id.train(documents(spark, SF), 100)

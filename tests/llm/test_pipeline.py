@@ -73,6 +73,6 @@ def test_registered(spark):
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert {"pipeline"} <= names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert os.path.exists(corpus_pipeline.__file__)

@@ -196,3 +196,14 @@ def test_bulk_load_of_documents(spark, edge_docs):
     live = {i: t for i, t in edge_docs if i is not None}
     want = brute([(t, "src0", "en") for t in [*live.values(), *(t for i, t in edge_docs if i is None)]])
     assert totals(rollup) == want
+
+
+def test_registered_rollup_ends_in_the_plain_totals(spark):
+    """Loads, revisions, deletes, re-inserts and a repeated batch leave what one load leaves."""
+    from shopfold.llm import queries
+    from shopfold.llm.common import documents
+    sf_dir = "/root/testdata/sf0.001"
+    plain = TokenRollup(spark)
+    plain.apply("load", documents(spark, sf_dir).withColumn("op", F.lit("insert")))
+    got = queries.op2_token_counts(spark, sf_dir)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.totals().collect()))
