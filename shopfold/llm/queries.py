@@ -17,10 +17,10 @@ def op1_suffix_dedup(spark, sf_dir):
 
 
 def op2_token_counts(spark, sf_dir):
-    """All documents, maintained: one id in 20 is loaded under another source and revised, one is
+    """All documents, maintained: one id in 100 is loaded under another source and revised, one is
     deleted and inserted again; a batch that is sent twice changes nothing."""
     docs = common.documents(spark, sf_dir)
-    part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(20)))
+    part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(100)))
     rollup = token_counts.TokenRollup(spark)
     rollup.apply("1-load", docs.withColumn("op", F.lit("insert")).withColumn(
         "source", F.when(part == 0, F.lit("unsorted")).otherwise(F.col("source"))))
