@@ -96,6 +96,24 @@ _LATIN_1 = dict.fromkeys(range(256))
 _CLOSING = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|\Z)")
 
 
+class _Remembered(dict):
+    """Ids by unit; a unit that is missing is made, and kept in two generations of `size` at most."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self._make, self._size, self._older = make, size, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= self._size:
+            self._older = dict(self)
+            self.clear()
+        ids = self._older.get(unit)
+        if ids is None:
+            ids = self._make(unit)
+        self[unit] = ids
+        return ids
+
+
 class MemoTokenizer:
     """Encodes texts with the tokenizers library, remembering the ids of frequent words.
 
@@ -116,39 +134,29 @@ class MemoTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(tokenizer_path(file))
+        self._model = self._tok.model
         self._keeps_space = keeps_space
-        self._max = max_words
-        self._memo: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._ids_of = _Remembered(self._unit_ids, max_words).__getitem__
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of units.  Words of Latin-1 letters are one piece to the tokenizer, which its
-        normaliser (after lower case) leaves alone, so they go to its model directly."""
-        out, others = {}, []
-        model = self._tok.model
-        for unit in units:
-            space = unit[:1] == " "
-            word = unit[1:] if space else unit
-            if word.isalpha():
-                word = word if self._keeps_space else word.lower()
-                if word.isascii():
-                    piece = _SPACE_LETTER + word if space else word
-                elif word.translate(_LATIN_1) == "":
-                    piece = (" " * space + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
-                else:
-                    others.append(unit)
-                    continue
-                out[unit] = array("I", [t.id for t in model.tokenize(piece)]).tobytes()
-                continue
-            others.append(unit)
-        for a in range(0, len(others), 20_000):
-            part = others[a:a + 20_000]
-            out.update(zip(part, self._raw(part)))
-        return out
+    def _unit_ids(self, unit: str) -> bytes:
+        """Ids of a unit.  A word of Latin-1 letters is one piece to the tokenizer, which its
+        normaliser (after lower case) leaves alone, so it goes to the model directly."""
+        space = unit[:1] == " "
+        word = unit[1:] if space else unit
+        piece = None
+        if word.isalpha():
+            word = word if self._keeps_space else word.lower()
+            if word.isascii():
+                piece = _SPACE_LETTER + word if space else word
+            elif word.translate(_LATIN_1) == "":
+                piece = (" " * space + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
+        if piece is None:
+            return self._raw([unit])[0]
+        return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
 
     def _units(self, text: str) -> list[str] | None:
         """The pieces of a text, or None if it has to be encoded as a whole."""
@@ -156,36 +164,22 @@ class MemoTokenizer:
             if "<|" not in text:  # ids of special tokens are spelled in one case only
                 text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
             return _CLOSING.sub(r" \1", text).replace("\n", " ").split(" ")
-        units: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            words = line.split()
-            spaced = " ".join(words)
-            if spaced != line or not words:
-                return None
-            if k:
-                units.append("\n")
-            units.extend(_CLOSING.sub(r"\n\1", spaced).replace(" ", "\n ").split("\n"))
-        return units
+        if not text or " ".join(text.split()) != text.replace("\n", " "):
+            return None
+        # No other white space is left in such a text, so a carriage return can mark the cuts.
+        return _CLOSING.sub("\r\\1", text).replace(" ", "\r ").replace("\n", "\r\n\r").split("\r")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        memo, out = self._memo, [b""] * len(texts)
-        cut = [self._units(t) for t in texts]
-        whole = [i for i, u in enumerate(cut) if u is None]
+        out, whole = [b""] * len(texts), []
+        for i, text in enumerate(texts):
+            units = self._units(text)
+            if units is None:
+                whole.append(i)
+            else:
+                out[i] = b"".join(map(self._ids_of, units))
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]) if whole else []):
             out[i] = ids
-        wanted = {w for u in cut if u is not None for w in u if w not in memo}
-        if wanted:
-            if len(memo) + len(wanted) > self._max:  # the last generation is asked before the tokenizer
-                self._older, self._memo = memo, {}
-                memo = self._memo
-                wanted = {w for u in cut if u is not None for w in u}
-            known = {w: self._older[w] for w in wanted if w in self._older}
-            memo.update(known)
-            memo.update(self._new(sorted(wanted.difference(known))))
-        for i, u in enumerate(cut):
-            if u is not None:
-                out[i] = b"".join(map(memo.__getitem__, u))
         return out
 
 
