@@ -14,12 +14,16 @@ from shopfold.llm import common, decontamination, language_id, line_dedup, packi
 #: A document is rejected if no language is found, or none with this share of the text.  A short
 #: clean text with one foreign line (a licence, say) has a main language of about a half.
 MIN_LANGUAGE_SHARE = 0.35
+#: Also if a gram of it is so much less likely in its languages than among random bytes (an unlearned
+#: script, random letters).  Unseen grams stand at -3.9; numbers and keys pull a short clean text to -1.4.
+MIN_EVIDENCE = -2.0
 
 
 def identify_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents without a letter or without a main language."""
+    """Drop the documents without a letter, without a main language or in no learned language."""
     found = language_id.language_id(docs, common.documents(spark, sf_dir))
-    bad = (F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SHARE)
+    bad = ((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SHARE)
+           | F.coalesce(F.col("evidence") < MIN_EVIDENCE, F.lit(False)))
     gone = found.filter(bad).select("doc_key").distinct()
     key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
     return docs.join(gone, key == gone["doc_key"], "left_anti")

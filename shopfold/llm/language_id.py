@@ -8,7 +8,7 @@ penalised likelihood is selected; the answer is its language of the largest shar
 Defined cases: a null text, or one without a letter, is `und` with score 0; shorter texts than a
 gram are padded with spaces; with nothing to learn from, every document is `und`; ties go to the
 first language in order; rows are answered one by one, so repeated rows get equal answers;
-further columns are ignored.
+further columns are ignored.  Texts shorter than a stretch have null evidence.
 """
 
 from __future__ import annotations
@@ -102,8 +102,10 @@ def _em(like: np.ndarray, allowed: np.ndarray, doc: np.ndarray, starts: np.ndarr
     return shares, fit
 
 
-def infer(texts: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each text the selected languages' shares (n x languages) and the set's size."""
+def infer(texts: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the selected languages' shares (n x languages), the set's size, and its
+    evidence: mean log-likelihood of a gram over the uniform distribution (NaN for texts shorter
+    than a stretch, which show too little)."""
     index = [grams(t) for t in texts]
     lengths = np.array([len(g) for g in index])
     logs = tables[np.concatenate(index)]
@@ -113,13 +115,14 @@ def infer(texts: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
     within = np.arange(len(doc)) - starts[doc]
     score = np.add.reduceat(logs, first[doc] + within * STRETCH, axis=0).astype(np.float64)
-    score -= score.max(axis=1, keepdims=True)
+    peak = score.max(axis=1)
+    score -= peak[:, None]
     like = np.exp(np.maximum(score, -60.0))
     n = tables.shape[1]
     everything = np.ones((len(texts), n), dtype=bool)
     full, _ = _em(like, everything, doc, starts, counts, np.full((len(texts), n), 1.0 / n))
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
-    best = np.full(len(texts), -np.inf)
+    best, fits = np.full(len(texts), -np.inf), np.zeros(len(texts))
     chosen, size = full.copy(), np.zeros(len(texts), dtype=np.int64)
     # Documents whose shares leave no room for k languages need no fit of k languages.
     for k in range(1, n + 1):
@@ -136,8 +139,9 @@ def infer(texts: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         value = fit - PENALTY * (k - 1) * np.log(c + 1.0)
         better = value > best[rows]
         at = rows[better]
-        best[at], chosen[at], size[at] = value[better], share[better], k
-    return chosen, size
+        best[at], chosen[at], size[at], fits[at] = value[better], share[better], k, fit[better]
+    evidence = (np.add.reduceat(peak, starts) + fits) / lengths + TABLE_BITS * np.log(2)
+    return chosen, size, np.where(lengths < STRETCH, np.nan, evidence)
 
 
 def has_letter(text: str | None) -> bool:
@@ -146,7 +150,8 @@ def has_letter(text: str | None) -> bool:
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """doc_id, doc_key (tells rows of one doc_id with different texts apart), lang_pred, score
-    (share of the predicted language), n_langs; from the text alone."""
+    (share of the predicted language), n_langs, evidence (see `infer`; null where there is none);
+    from the text alone."""
     langs = list(model)
     tables = np.stack([model[k] for k in langs], axis=1) if langs else None
 
@@ -154,22 +159,24 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
         for pdf in batches:
             n = len(pdf)
             pred, score = np.full(n, UNKNOWN, dtype=object), np.zeros(n)
-            sizes = np.zeros(n, dtype=np.int32)
+            sizes, evidence = np.zeros(n, dtype=np.int32), np.full(n, np.nan)
             texts = pdf["text"].tolist()
             rows = [i for i, t in enumerate(texts) if has_letter(t)] if langs else []
             for a, b in slices([len(texts[i]) for i in rows], 1_000_000):
                 part = rows[a:b]
-                share, size = infer([texts[i] for i in part], tables)
+                share, size, evidence[part] = infer([texts[i] for i in part], tables)
                 top = share.argmax(axis=1)
                 pred[part] = [langs[t] for t in top]
                 score[part] = np.clip(share[np.arange(len(part)), top], 0.0, 1.0)
                 sizes[part] = size
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "doc_key": pdf["doc_key"],
-                                "lang_pred": pred, "score": score, "n_langs": sizes})
+                                "lang_pred": pred, "score": score, "n_langs": sizes,
+                                "evidence": pd.array(evidence, dtype="Float64")})
 
     doc_id = F.col("doc_id").cast("long")
     return (docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, "text").alias("doc_key"), "text")
-            .mapInPandas(run, "doc_id long, doc_key long, lang_pred string, score double, n_langs int"))
+            .mapInPandas(run, "doc_id long, doc_key long, lang_pred string, score double, n_langs int, "
+                              "evidence double"))
 
 
 def language_id(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
@@ -177,4 +184,4 @@ def language_id(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     model = train((docs if training is None else training).filter(~F.coalesce(held_out(), F.lit(False))))
     return predict(docs, model).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"),
-        "lang_pred", "score", "n_langs", "doc_key")
+        "lang_pred", "score", "n_langs", "evidence", "doc_key")

@@ -52,6 +52,22 @@ def test_mixture_shares(spark):
     assert rows[2].lang_pred == "en" and rows[2].n_langs == 2 and 0.55 < rows[2].score < 0.8
 
 
+def test_language_evidence(spark):
+    """Texts of no learned language stand apart from all texts of the learned ones."""
+    r = random.Random(5)
+    docs = documents(spark, SF)
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    noise = "".join(r.choices("abcdefghijklmnopqrstuvwxyz    ", k=600))
+    other = "Дети играют в саду, пока их родители готовят обед под фруктовыми деревьями."
+    rows = {x.doc_id: x for x in language_id.predict(make_docs(
+        spark, [(1, noise), (2, other), (3, "xq zzkw"), (4, "123"), (5, None)]), model).collect()}
+    assert rows[1].evidence < -2 and rows[2].evidence < -2
+    assert rows[3].evidence is None and rows[3].lang_pred != "und"
+    assert rows[4].evidence is None and rows[5].evidence is None
+    known = language_id.predict(docs.filter(language_id.held_out()), model)
+    assert known.agg(F.min("evidence")).first()[0] > -2
+
+
 def test_language_edge_cases(spark, edge_docs):
     got = language_id.language_id(clash(make_docs(spark, edge_docs))).collect()
     assert len(got) == len(edge_docs)
