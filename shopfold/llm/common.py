@@ -130,7 +130,7 @@ class MemoTokenizer:
     The memory is bounded: two generations of `max_words` at most; it saves time only.
     """
 
-    def __init__(self, file: str, keeps_space: bool, max_words: int = 300_000):
+    def __init__(self, file: str, keeps_space: bool, max_words: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(tokenizer_path(file))
