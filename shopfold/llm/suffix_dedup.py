@@ -15,7 +15,9 @@ factors are computed.
 
 Copies are settled early: of equal stretches in one chunk of documents only those of the
 smallest doc_id travel (the others are known to go), so a passage in many documents costs a
-bucket one stretch from each chunk.
+bucket one stretch from each chunk.  Where a text repeats itself (a run of spaces, a rule), the
+stretches behind each other are equal, as short as the period; such a run travels as one stretch
+and the number of times it stands there.
 
 Defined cases: a null text counts as empty; texts shorter than DEPTH lose nothing; a null doc_id
 is smaller than every other; rows that repeat a doc_id are no earlier documents to each other; an
@@ -128,6 +130,30 @@ def stretches(data: np.ndarray, doc_starts: np.ndarray, doc_lengths: np.ndarray)
     return first, last - first + 1, anchor[first]
 
 
+def _same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the substrings from `one` and from `other` on are the same."""
+    out = np.zeros(len(one), dtype=bool)
+    for a in range(0, len(one), 50_000):
+        part = slice(a, a + 50_000)
+        left, at = _gather(data, one[part], lengths[part])
+        right, _ = _gather(data, other[part], lengths[part])
+        out[part] = np.logical_and.reduceat(left == right, at)
+    return out
+
+
+def repeated_runs(hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, counts: np.ndarray,
+                  docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches that do not just repeat the one before them in the text, and how many equal
+    ones stand there behind each other."""
+    sizes = counts + DEPTH - 1
+    again = ((hashes[1:] == hashes[:-1]) & (counts[1:] == counts[:-1]) & (docs[1:] == docs[:-1])
+             & (starts[1:] == starts[:-1] + counts[:-1]))
+    maybe = np.flatnonzero(again)
+    again[maybe] = _same_bytes(data, starts[maybe], starts[maybe + 1], sizes[maybe])
+    kept = np.flatnonzero(np.concatenate([[True], ~again]))
+    return kept, np.diff(np.append(kept, len(starts)))
+
+
 def covered_by_smaller(hashes: np.ndarray, ids: np.ndarray, data: np.ndarray, starts: np.ndarray,
                        lengths: np.ndarray) -> np.ndarray:
     """Which substrings equal one with a smaller id; the substrings must be in ascending id order."""
@@ -137,11 +163,7 @@ def covered_by_smaller(hashes: np.ndarray, ids: np.ndarray, data: np.ndarray, st
     head[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     found = np.flatnonzero((ids[head] < ids) & (lengths[head] == lengths))
     out = np.zeros(len(ids), dtype=bool)
-    for a in range(0, len(found), 50_000):  # equal hashes: compare the bytes
-        part = found[a:a + 50_000]
-        mine, at = _gather(data, starts[part], lengths[part])
-        theirs, _ = _gather(data, starts[head[part]], lengths[part])
-        out[part] = np.logical_and.reduceat(mine == theirs, at)
+    out[found] = _same_bytes(data, starts[found], starts[head[found]], lengths[found])
     return out
 
 
@@ -232,9 +254,9 @@ def _unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
-#: Documents (id, key); stretches (document, start in it, suffixes, anchor's place, bytes); settled
-#: stretches (document, start, suffixes).
-_STRETCHES = "<i8 <i8 <u4 <u4 <u1 <u1 <u1 <u4 <u4 <u1"
+#: Documents (id, key); stretches (document, start in it, suffixes, times, anchor's place, bytes);
+#: settled stretches (document, start, suffixes, times).
+_STRETCHES = "<i8 <i8 <u4 <u4 <u1 <u4 <u1 <u1 <u4 <u4 <u1 <u4"
 _SPANS = "<i8 <u4 <u4"
 #: Documents of a part: id, key, null id, bytes, text.
 _TEXTS = "<i8 <i8 <u1 <u4 <u1"
@@ -250,7 +272,10 @@ def _chunk_rows(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, n_buckets
         return
     doc = np.searchsorted(doc_starts, start, side="right") - 1
     size = count + DEPTH - 1
-    settled = covered_by_smaller(_Rolling(data).hash(start, size), ids[doc], data, start, size)
+    hashes = _Rolling(data).hash(start, size)
+    kept, times = repeated_runs(hashes, data, start, count, doc)
+    hashes, start, count, anchor, doc, size = (c[kept] for c in (hashes, start, count, anchor, doc, size))
+    settled = covered_by_smaller(hashes, ids[doc], data, start, size)
     gram = _gram_hashes_at(data, anchor)
     bucket = ((gram >> np.uint64(8)) % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(bucket * 2 + settled, kind="stable")
@@ -260,11 +285,12 @@ def _chunk_rows(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, n_buckets
         n_sent = int(np.count_nonzero(~settled[mine]))
         docs, local = np.unique(doc[mine], return_inverse=True)
         place = (start[mine] - doc_starts[doc[mine]]).astype("<u4")
+        often = times[mine].astype("<u4")
         sent, gone = slice(0, n_sent), slice(n_sent, None)
         text, _ = _gather(data, start[mine[sent]], size[mine[sent]])
         yield b, _pack(ids[docs], keys[docs], local[sent].astype("<u4"), place[sent],
-                       count[mine[sent]].astype("u1"), (anchor - start)[mine[sent]].astype("u1"), text,
-                       local[gone].astype("<u4"), place[gone], count[mine[gone]].astype("u1"))
+                       count[mine[sent]].astype("u1"), often[sent], (anchor - start)[mine[sent]].astype("u1"),
+                       text, local[gone].astype("<u4"), place[gone], count[mine[gone]].astype("u1"), often[gone])
 
 
 def _gram_hashes_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -284,17 +310,20 @@ def _gram_hashes_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _bucket_spans(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document key, start, end) of the removed bytes that the stretches of a bucket show."""
-    ids, keys, places, counts, offsets, texts = [], [], [], [], [], []
+    """(document key, start, end) of the removed bytes that the stretches of a bucket show.  Of a
+    stretch that stands there several times the same suffixes go each time; they follow each other
+    in less than DEPTH bytes, so what they cover is one span."""
+    ids, keys, places, counts, times, offsets, texts = [], [], [], [], [], [], []
     out = []
     for blob in blobs:
-        d_id, d_key, doc, place, count, offset, text, g_doc, g_place, g_count = _unpack(blob, _STRETCHES)
+        d_id, d_key, doc, place, count, often, offset, text, *gone = _unpack(blob, _STRETCHES)
         for column, values in ((ids, d_id[doc]), (keys, d_key[doc]), (places, place), (counts, count),
-                               (offsets, offset), (texts, text)):
+                               (times, often), (offsets, offset), (texts, text)):
             column.append(values)
-        out.append((d_key[g_doc], g_place.astype(np.int64), g_place.astype(np.int64) + g_count + DEPTH - 1))
+        g_doc, g_place, g_count, g_times = (c.astype(np.int64) for c in gone)
+        out.append((d_key[g_doc], g_place, g_place + g_count * g_times + DEPTH - 1))
     ids, keys, places = np.concatenate(ids), np.concatenate(keys), np.concatenate(places).astype(np.int64)
-    counts, offsets = np.concatenate(counts).astype(np.int64), np.concatenate(offsets).astype(np.int64)
+    counts, times, offsets = (np.concatenate(c).astype(np.int64) for c in (counts, times, offsets))
     data = np.concatenate(texts)
     size = counts + DEPTH - 1
     starts = np.cumsum(size) - size
@@ -308,7 +337,8 @@ def _bucket_spans(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         text, at = _gather(data, starts[mine], size[mine])
         which, first, last = removed_suffixes(text, at, counts[mine], ids[mine])
         row = mine[which]
-        out.append((keys[row], places[row] + first, places[row] + last + DEPTH))
+        behind = (times[row] - 1) * counts[row]
+        out.append((keys[row], places[row] + first, places[row] + behind + last + DEPTH))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 

@@ -78,3 +78,21 @@ def test_a_text_over_several_chunks(prose):
     spans = [np.concatenate(c) for c in zip(*(suffix_dedup._bucket_spans(v) for v in packed.values()))]
     merged = suffix_dedup._merged(spans[1][spans[0] == 2], spans[2][spans[0] == 2])
     assert merged.tolist() == [[10, 10 + len(text)]] and not (spans[0] == 1).any()
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 40, 41, 49, 60])
+def test_runs_that_repeat_themselves(spark, period, prose):
+    """Runs of one unit, of other lengths and with other neighbours, within and across documents."""
+    unit = ("=-ab cdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")[:period]
+    r = random.Random(period)
+    rows = [(k, "".join(r.choice([unit * r.randint(1, 400 // period + 2), unit[:-1] * r.randint(1, 9),
+                                  prose(r.random(), 6), "="]) for _ in range(r.randint(1, 6)))) for k in range(30)]
+    assert run(make_docs(spark, rows)) == brute(rows)
+
+
+def test_a_long_run_travels_as_one_stretch():
+    sent = 0
+    for _, blob in suffix_dedup._chunk_rows([b" " * 300_000, b"." * 200_000 + b"x"], np.array([1, 2]),
+                                            np.array([1, 2]), 3):
+        sent += len(suffix_dedup._unpack(blob, suffix_dedup._STRETCHES)[7])
+    assert sent < 5_000
