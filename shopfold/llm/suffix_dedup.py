@@ -323,8 +323,9 @@ def _bucket_spans(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         g_doc, g_place, g_count, g_times = (c.astype(np.int64) for c in gone)
         out.append((d_key[g_doc], g_place, g_place + g_count * g_times + DEPTH - 1))
     ids, keys, places = np.concatenate(ids), np.concatenate(keys), np.concatenate(places).astype(np.int64)
-    counts, times, offsets = (np.concatenate(c).astype(np.int64) for c in (counts, times, offsets))
-    data = np.concatenate(texts)
+    counts, offsets = np.concatenate(counts).astype(np.int64), np.concatenate(offsets).astype(np.int64)
+    times, data = np.concatenate(times), np.concatenate(texts)
+    texts.clear()  # views of the unpacked blobs, which would stay in memory beside their copy
     size = counts + DEPTH - 1
     starts = np.cumsum(size) - size
     gram = _gram_hashes_at(data, starts + offsets)
@@ -337,7 +338,7 @@ def _bucket_spans(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         text, at = _gather(data, starts[mine], size[mine])
         which, first, last = removed_suffixes(text, at, counts[mine], ids[mine])
         row = mine[which]
-        behind = (times[row] - 1) * counts[row]
+        behind = (times[row].astype(np.int64) - 1) * counts[row]
         out.append((keys[row], places[row] + first, places[row] + behind + last + DEPTH))
     return tuple(np.concatenate(c) for c in zip(*out))
 
