@@ -171,3 +171,17 @@ def test_unknown_and_disabled_sites_raise(spark):
         check_site(spark, sites, "store_5")
     check_site(spark, sites, "store_0")
     assert F is not None
+
+
+def test_truncate_all_flattens_once(spark, monkeypatch):
+    from shopfold.plans import q_tables
+    from shopfold.session import path_exists
+    loads, stored = [], []
+    append, store = q_tables.append_rows, q_tables.store_rows
+    monkeypatch.setattr(q_tables, "append_rows", lambda s, n, rows: (loads.append(rows.inputFiles()), append(s, n, rows)))
+    monkeypatch.setattr(q_tables, "store_rows", lambda rows, path: (stored.append(path), store(rows, path)))
+    rows = registry()["truncate_all"](spark, SF_SMALL).collect()
+    assert len(stored) == 1 and len(loads) == 2
+    assert all(f.endswith(".parquet") and stored[0] in f for files in loads for f in files)
+    assert not path_exists(spark, stored[0])
+    assert rows and all(r.rows_after == 0 and r.rows_again > 0 for r in rows)
