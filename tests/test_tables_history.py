@@ -11,7 +11,7 @@ from shopfold.operators.history import append_history, retain, store_history, st
 from shopfold.operators.tables import append_rows, ensure_table, merge_into_table, truncate_table
 from shopfold.plans import fixture as fx
 from shopfold.plans.catalog import merge_inputs, registry
-from shopfold.schema import HISTORY_SCHEMA, STANDARD_COLUMNS
+from shopfold.schema import FACT_SCHEMA, HISTORY_SCHEMA, STANDARD_COLUMNS
 
 
 def _table(spark, prefix, rows=None):
@@ -185,3 +185,27 @@ def test_truncate_all_flattens_once(spark, monkeypatch):
     assert all(f.endswith(".parquet") and stored[0] in f for files in loads for f in files)
     assert not path_exists(spark, stored[0])
     assert rows and all(r.rows_after == 0 and r.rows_again > 0 for r in rows)
+
+
+def _facts(spark, rows):
+    """Fact rows of (order_id, product_id, site, day, status, item_pos); the rest is fixed."""
+    given = spark.createDataFrame(rows, "order_id string, product_id string, source_site string, "
+                                  "order_date timestamp, order_status string, item_pos int")
+    fixed = {"product_sku": F.lit("s"), "synced_at": F.lit(dt.datetime(2001, 1, 1)).cast("timestamp")}
+    return given.select(*[F.col(f.name) if f.name in given.columns else
+                          fixed.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+                          for f in FACT_SCHEMA.fields], "item_pos")
+
+
+def test_status_only_carries_only_what_it_takes(spark):
+    from shopfold.operators.merge import merge_status_only
+    day = dt.datetime(2000, 5, 3)
+    target = _facts(spark, [("1", "a", "s", day, "old", 0), ("2", "a", "s", day, "old", 0), (None, "a", "s", day, "old", 0)])
+    source = _facts(spark, [("1", "a", "s", day, "first", 0), ("1", "a", "s", day, "last", 1), (None, "a", "s", day, "n", 0)])
+    merged = merge_status_only(target, source)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    packed = [x for x in plan if "max_by" in x]
+    assert packed and not any("order_total" in x or "order_date" in x for x in packed)
+    assert sorted(map(str, merged.select("order_id", "order_status").collect())) == sorted(
+        map(str, spark.createDataFrame([("1", "last"), ("2", "old"), (None, "old")], "order_id string, order_status string")
+            .collect()))
