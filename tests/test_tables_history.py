@@ -197,11 +197,14 @@ def _facts(spark, rows):
                           for f in FACT_SCHEMA.fields], "item_pos")
 
 
-def test_status_only_carries_only_what_it_takes(spark):
+def test_status_only_carries_only_what_it_takes(spark, tmp_path):
     from shopfold.operators.merge import merge_status_only
+    from shopfold.operators.tables import stage_source
     day = dt.datetime(2000, 5, 3)
     target = _facts(spark, [("1", "a", "s", day, "old", 0), ("2", "a", "s", day, "old", 0), (None, "a", "s", day, "old", 0)])
     source = _facts(spark, [("1", "a", "s", day, "first", 0), ("1", "a", "s", day, "last", 1), (None, "a", "s", day, "n", 0)])
+    staged = stage_source(spark, source, str(tmp_path / "staged"), status_only=True)
+    assert set(staged.columns) == {"order_id", "product_id", "product_sku", "source_site", "order_status", "synced_at"}
     merged = merge_status_only(target, source)
     plan = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
     packed = [x for x in plan if "max_by" in x]
