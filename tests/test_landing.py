@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from shopfold.session import size_shuffles
+from shopfold.session import MIN_PARTITIONS, size_shuffles
 from shopfold.sources.landing import land_pages, order_documents, page_envelopes
 from shopfold.sources.raw import read_raw_orders
 
@@ -64,3 +64,14 @@ def test_landing_holds_every_order_in_compressed_files(spark, tables, tmp_path):
     made = order_documents(spark, tables).where("source_site IS NOT NULL").selectExpr(
         "source_site", "platform", "to_json(parse_json(doc)) AS doc")
     assert landed.count() == 63 and as_text(landed) == as_text(made)
+
+
+def test_landing_sizes_its_own_shuffles(spark, tables, tmp_path):
+    """stream_upsert lands before it reads any other input: its landing can't count on an earlier call."""
+    before = spark.conf.get(KEY, None)
+    try:
+        spark.conf.unset(KEY)
+        land_pages(spark, tables, str(tmp_path / "pages"))
+        assert int(spark.conf.get(KEY, None) or 0) >= MIN_PARTITIONS
+    finally:
+        spark.conf.unset(KEY) if before is None else spark.conf.set(KEY, before)

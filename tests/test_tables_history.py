@@ -212,3 +212,25 @@ def test_status_only_carries_only_what_it_takes(spark, tmp_path):
     assert sorted(map(str, merged.select("order_id", "order_status").collect())) == sorted(
         map(str, spark.createDataFrame([("1", "last"), ("2", "old"), (None, "old")], "order_id string, order_status string")
             .collect()))
+
+
+def _files(spark, name):
+    return {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+
+
+def test_merge_without_a_match_appends_and_rewrites_nothing(spark):
+    day = dt.datetime(2000, 5, 3)
+    old = _facts(spark, [("1", "a", "s", day, "x", 0), ("1", "a", "s", day, "x", 1), (None, "a", "s", day, "x", 0)])
+    name = _table(spark, "t_new", old)
+    before = _files(spark, name)
+    new = _facts(spark, [("2", "a", "s", day, "first", 0), ("2", "a", "s", day, "last", 1),
+                         (None, "a", "s", day, "y", 0), ("3", "a", "t", None, "z", 0)])
+    assert merge_into_table(spark, name, new) == [("s", "2000-05"), ("t", "undated")]
+    assert before < _files(spark, name)
+    found = [tuple(r) for r in spark.table(name).select("order_id", "source_site", "order_status").collect()]
+    assert sorted(found, key=str) == sorted([
+        ("1", "s", "x"), ("1", "s", "x"), (None, "s", "x"), ("2", "s", "last"), (None, "s", "y"), ("3", "t", "z")],
+        key=str)
+    # The next merge finds the keys and changes them in place.
+    merge_into_table(spark, name, new.filter("order_id = '2'").withColumn("order_status", F.lit("again")))
+    assert sorted(r[0] for r in spark.table(name).filter("order_id = '2'").select("order_status").collect()) == ["again"]
