@@ -173,20 +173,6 @@ def test_unknown_and_disabled_sites_raise(spark):
     assert F is not None
 
 
-def test_truncate_all_flattens_once(spark, monkeypatch):
-    from shopfold.plans import q_tables
-    from shopfold.session import path_exists
-    loads, stored = [], []
-    append, store = q_tables.append_rows, q_tables.store_rows
-    monkeypatch.setattr(q_tables, "append_rows", lambda s, n, rows: (loads.append(rows.inputFiles()), append(s, n, rows)))
-    monkeypatch.setattr(q_tables, "store_rows", lambda rows, path: (stored.append(path), store(rows, path)))
-    rows = registry()["truncate_all"](spark, SF_SMALL).collect()
-    assert len(stored) == 1 and len(loads) == 2
-    assert all(f.endswith(".parquet") and stored[0] in f for files in loads for f in files)
-    assert not path_exists(spark, stored[0])
-    assert rows and all(r.rows_after == 0 and r.rows_again > 0 for r in rows)
-
-
 def _facts(spark, rows):
     """Fact rows of (order_id, product_id, site, day, status, item_pos); the rest is fixed."""
     given = spark.createDataFrame(rows, "order_id string, product_id string, source_site string, "
@@ -197,23 +183,6 @@ def _facts(spark, rows):
                           for f in FACT_SCHEMA.fields], "item_pos")
 
 
-def test_status_only_carries_only_what_it_takes(spark, tmp_path):
-    from shopfold.operators.merge import merge_status_only
-    from shopfold.operators.tables import stage_source
-    day = dt.datetime(2000, 5, 3)
-    target = _facts(spark, [("1", "a", "s", day, "old", 0), ("2", "a", "s", day, "old", 0), (None, "a", "s", day, "old", 0)])
-    source = _facts(spark, [("1", "a", "s", day, "first", 0), ("1", "a", "s", day, "last", 1), (None, "a", "s", day, "n", 0)])
-    staged = stage_source(spark, source, str(tmp_path / "staged"), status_only=True)
-    assert set(staged.columns) == {"order_id", "product_id", "product_sku", "source_site", "order_status", "synced_at"}
-    merged = merge_status_only(target, source)
-    plan = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    packed = [x for x in plan if "max_by" in x]
-    assert packed and not any("order_total" in x or "order_date" in x for x in packed)
-    assert sorted(map(str, merged.select("order_id", "order_status").collect())) == sorted(
-        map(str, spark.createDataFrame([("1", "last"), ("2", "old"), (None, "old")], "order_id string, order_status string")
-            .collect()))
-
-
 def _files(spark, name):
     return {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
 
@@ -234,3 +203,39 @@ def test_merge_without_a_match_appends_and_rewrites_nothing(spark):
     # The next merge finds the keys and changes them in place.
     merge_into_table(spark, name, new.filter("order_id = '2'").withColumn("order_status", F.lit("again")))
     assert sorted(r[0] for r in spark.table(name).filter("order_id = '2'").select("order_status").collect()) == ["again"]
+
+
+def test_status_only_carries_only_what_it_takes(spark, tmp_path):
+    from shopfold.operators.merge import merge_status_only
+    from shopfold.operators.tables import stage_source
+    day = dt.datetime(2000, 5, 3)
+    target = _facts(spark, [("1", "a", "s", day, "old", 0), ("2", "a", "s", day, "old", 0), (None, "a", "s", day, "old", 0)])
+    source = _facts(spark, [("1", "a", "s", day, "first", 0), ("1", "a", "s", day, "last", 1), (None, "a", "s", day, "n", 0)])
+    staged = stage_source(spark, source, str(tmp_path / "staged"), status_only=True)
+    assert set(staged.columns) == {"order_id", "product_id", "product_sku", "source_site", "order_status", "synced_at"}
+    merged = merge_status_only(target, source)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    packed = [x for x in plan if "max_by" in x]
+    assert packed and not any("order_total" in x or "order_date" in x for x in packed)
+    assert sorted(map(str, merged.select("order_id", "order_status").collect())) == sorted(
+        map(str, spark.createDataFrame([("1", "last"), ("2", "old"), (None, "old")], "order_id string, order_status string")
+            .collect()))
+
+
+def test_truncate_all_flattens_once(spark, monkeypatch):
+    from shopfold.plans import q_tables
+    from shopfold.session import path_exists
+    loads, stored = [], []
+    append, store = q_tables.append_rows, q_tables.store_rows
+    monkeypatch.setattr(q_tables, "append_rows", lambda s, n, rows: (loads.append(rows.inputFiles()), append(s, n, rows)))
+    monkeypatch.setattr(q_tables, "store_rows", lambda rows, path: (stored.append(path), store(rows, path)))
+    rows = registry()["truncate_all"](spark, SF_SMALL).collect()
+    assert len(stored) == 1 and len(loads) == 2
+    assert all(f.endswith(".parquet") and stored[0] in f for files in loads for f in files)
+    assert not path_exists(spark, stored[0])
+    assert rows and all(r.rows_after == 0 and r.rows_again > 0 for r in rows)
+
+
+def test_tables_are_stored_compressed_well(spark):
+    name = _table(spark, "t_zstd", _facts(spark, [("1", "a", "s", None, "x", 0)]).drop("item_pos"))
+    assert all(f.endswith(".zstd.parquet") for f in _files(spark, name))
