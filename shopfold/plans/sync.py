@@ -153,7 +153,7 @@ def run_into_table(spark: SparkSession, name: str, raw: DataFrame, sites: DataFr
         path = scratch_path(spark, "staging", unique=True)
         windowed_rows(rows, part, mappings, as_of, mode, sorted({todo[i] for i in ids})).write.parquet(path)
         staged = spark.read.parquet(path)
-        merge_into_table(spark, name, accepted(staged), ids, status_only=mode == "status_only")
+        merge_into_table(spark, name, accepted(staged), ids, status_only=mode == "status_only", stored=True)
         rejected(staged).write.mode("append").parquet(rejects)
         for r in staged.groupBy("source_site").agg(
                 F.count(F.lit(1)).alias("n"), F.count_if(F.col("reject_reason").isNotNull()).alias("bad")).collect():

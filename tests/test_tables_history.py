@@ -239,3 +239,61 @@ def test_truncate_all_flattens_once(spark, monkeypatch):
 def test_tables_are_stored_compressed_well(spark):
     name = _table(spark, "t_zstd", _facts(spark, [("1", "a", "s", None, "x", 0)]).drop("item_pos"))
     assert all(f.endswith(".zstd.parquet") for f in _files(spark, name))
+
+
+def test_dedup_of_stored_rows_sends_only_repeated_keys_through_the_dedup(spark, tmp_path, monkeypatch):
+    from shopfold.operators import merge
+    day = dt.datetime(2000, 5, 3)
+    rows = [(str(k), "a", "s", day, "x", 0) for k in range(50)]
+    rows += [("7", "a", "s", day, "last", 1), (None, "a", "s", day, "first", 0), (None, "a", "s", None, "last", 3),
+             ("7", None, "s", day, "y", 0), ("7", "a", None, day, "z", 0)]
+    _facts(spark, rows).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    given, dedup = [], merge.dedup_latest
+    monkeypatch.setattr(merge, "dedup_latest", lambda r, keys: given.append(r.count()) or dedup(r, keys))
+    as_text = lambda df: sorted(map(str, df.collect()))
+    expected = as_text(dedup(stored))
+    found = merge.dedup_stored(stored, str(tmp_path / "repeated"))
+    assert len(expected) == 53 and as_text(found) == expected and found.columns == stored.columns
+    assert given == [4]  # order 7 and the order without an id, twice each
+    monkeypatch.setattr(merge, "MOST_REPEATED", 1)
+    assert as_text(merge.dedup_stored(stored, str(tmp_path / "many"))) == expected and given == [4, 55]
+    unique = stored.filter("order_id <> '7'")
+    assert as_text(merge.dedup_stored(unique, str(tmp_path / "none"))) == as_text(unique) and given == [4, 55]
+
+
+def test_map_of_orders_loses_no_row_and_spares_the_others_a_shuffle(spark, tmp_path, monkeypatch):
+    from shopfold.operators import tables
+    day = lambda k: dt.datetime(2000, 1 + k % 12, 3)
+    name = _table(spark, "t_map", _facts(spark, [(str(k), "a", "s", day(k), "x", 0) for k in range(3000)]
+                                         + [(None, "a", "s", day(0), "x", 0)]).drop("item_pos"))
+    source = _facts(spark, [(str(k), "a", "s", day(5), "new", 0) for k in range(0, 3000, 24)]
+                    + [(None, "a", "s", day(3), "n", 0), ("7", "other", "s", day(3), "n", 0)])
+    staged = tables.stage_source(spark, source, str(tmp_path / "staged"))
+    small = tables.held_partitions(spark, name, staged, ["s"])
+    assert small == [("s", "2000-01")]
+    keys = spark.table(name).select("order_id", "product_id", "product_sku", "source_site", "order_month")
+    kept = {r.order_id for r in tables._maybe_in(keys, staged).collect()}
+    assert {str(k) for k in range(0, 3000, 24)} <= kept and len(kept) < 200
+    monkeypatch.setattr(tables, "SMALL_SOURCE", -1)
+    assert tables.held_partitions(spark, name, staged, ["s"]) == small
+
+
+def test_large_and_small_sources_merge_alike_and_new_sites_are_appended(spark, monkeypatch):
+    from shopfold.operators import tables
+    day, later = dt.datetime(2000, 5, 3), dt.datetime(2000, 6, 3)
+    old = _facts(spark, [("1", "a", "s", day, "x", 0), ("1", "a", "s", day, "x", 1), ("2", "a", "s", day, "x", 0),
+                         (None, "a", "s", day, "x", 0), ("9", "a", "t", day, "x", 0)])
+    new = _facts(spark, [("1", "a", "s", later, "y", 0), ("3", "a", "s", day, "y", 0), (None, "a", "s", day, "y", 0),
+                         ("1", "a", "t", day, "y", 0), ("1", "a", "u", None, "y", 0)])
+    expected = sorted(map(str, [("1", "s", "y"), ("1", "s", "y"), ("2", "s", "x"), ("3", "s", "y"), (None, "s", "x"),
+                                (None, "s", "y"), ("9", "t", "x"), ("1", "t", "y"), ("1", "u", "y")]))
+    for limit in (tables.SMALL_SOURCE, -1):
+        monkeypatch.setattr(tables, "SMALL_SOURCE", limit)
+        name = _table(spark, "t_both", old.drop("item_pos"))
+        other = {f for f in _files(spark, name) if "source_site=t" in f}
+        assert merge_into_table(spark, name, new) == [
+            ("s", "2000-05"), ("s", "2000-06"), ("t", "2000-05"), ("u", "undated")]
+        assert other and other < _files(spark, name)  # the site's key is new: its file stays as it is
+        assert sorted(map(str, map(tuple, spark.table(name).select("order_id", "source_site", "order_status").collect()))
+                      ) == expected
