@@ -297,3 +297,18 @@ def test_large_and_small_sources_merge_alike_and_new_sites_are_appended(spark, m
         assert other and other < _files(spark, name)  # the site's key is new: its file stays as it is
         assert sorted(map(str, map(tuple, spark.table(name).select("order_id", "source_site", "order_status").collect()))
                       ) == expected
+
+
+def test_queries_that_merge_twice_flatten_once(spark, monkeypatch):
+    from shopfold.plans import q_tables
+    from shopfold.session import path_exists
+    for query in ("merge_named_sites", "merge_moved_months"):
+        stored, merged, store, merge = [], [], q_tables.store_rows, q_tables.merge_into_table
+        with monkeypatch.context() as m:
+            m.setattr(q_tables, "store_rows", lambda rows, path: (stored.append(path), store(rows, path)))
+            m.setattr(q_tables, "merge_into_table", lambda s, n, rows, **kw: (
+                merged.append(rows.inputFiles()), merge(s, n, rows, **kw)))
+            registry()[query](spark, SF_SMALL)
+        assert len(stored) == 1 and merged
+        assert all(f.endswith(".parquet") and stored[0] in f for files in merged for f in files)
+        assert not path_exists(spark, stored[0])
